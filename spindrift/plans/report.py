@@ -25,7 +25,7 @@ def plan_text(df: DataFrame) -> str:
 def operators_of(text: str) -> list[str]:
     """Operator names of the tree part of a formatted plan."""
     tree = text.split("\n\n\n")[0]
-    return re.findall(r"(?:^|[-+:* ])([A-Z][A-Za-z]+)(?: [A-Za-z_.]+)? \(\d+\)", tree, flags=re.M)
+    return re.findall(r"^[-+:* ]*([A-Z][A-Za-z]+)[^(\n]*\(\d+\)", tree, flags=re.M)
 
 
 def plan_report(df: DataFrame) -> DataFrame:
