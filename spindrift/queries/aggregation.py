@@ -11,6 +11,7 @@ from spindrift.plans import retail
 from spindrift.queries import query
 from spindrift.queries.snippets import LINE_TOTAL, davg, dsum
 from spindrift.session import new_dir
+from spindrift.sources.versions import read_version, write_version
 
 
 @query("a01_group_having", f"""
@@ -227,10 +228,10 @@ def a17(spark, t):
     path = new_dir(spark, "a17")
     early = t.events.filter("ts < TIMESTAMP_NTZ '2024-01-20 00:00:00'")
     late = t.events.filter("ts >= TIMESTAMP_NTZ '2024-01-20 00:00:00'")
-    aggregates.running_stats(early, ["event_type"], "value", "ts", "event_id").write.parquet(f"{path}/v=0")
+    write_version(aggregates.running_stats(early, ["event_type"], "value", "ts", "event_id"), path)
     news = aggregates.running_stats(late, ["event_type"], "value", "ts", "event_id")
-    aggregates.merge_stats(spark.read.parquet(f"{path}/v=0"), news, ["event_type"]).write.parquet(f"{path}/v=1")
-    return aggregates.read_stats(spark.read.parquet(f"{path}/v=1"), ["event_type"]).select("event_type", "n", "mean_value", "max_value")
+    write_version(aggregates.merge_stats(read_version(spark, path), news, ["event_type"]), path)
+    return aggregates.read_stats(read_version(spark, path), ["event_type"]).select("event_type", "n", "mean_value", "max_value")
 
 
 @query("a17_view_recompute", f"""

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from spindrift.operators.sets import dedup_latest
+from spindrift.sources.versions import last_version, read_version, write_version
 
 Body = Callable[[DataFrame, int], None]
 
@@ -27,20 +30,6 @@ def multi_sink(sinks: Mapping[str, Callable[[DataFrame], DataFrame]]) -> Body:
     return body
 
 
-def last_version(spark: SparkSession, path: str, below: int | None = None) -> int:
-    """Highest version (under ``below``) whose write committed, -1 if there is none."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/_SUCCESS")
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [int(f.getPath().getParent().getName()[2:]) for f in (fs.globStatus(where) or [])]
-    return max([v for v in found if below is None or v < below], default=-1)
-
-
-def read_state(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version of a folded state."""
-    last = last_version(spark, path)
-    return None if last < 0 else spark.read.parquet(f"{path}/v={last}")
-
-
 def fold_batches(path: str, summarise: Callable[[DataFrame], DataFrame],
                  combine: Callable[[DataFrame, DataFrame], DataFrame]) -> Body:
     """Keep a running state per key across micro-batches, one version folder per batch.
@@ -56,16 +45,14 @@ def fold_batches(path: str, summarise: Callable[[DataFrame], DataFrame],
             return
         base = last_version(spark, path, below=batch_id)
         news = summarise(batch)
-        old = spark.read.parquet(f"{path}/v={base}") if base >= 0 else None
-        (news if old is None else combine(old, news)).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        old = read_version(spark, path, base)
+        write_version(news if old is None else combine(old, news), path, batch_id)
 
     return body
 
 
 def upsert_batches(path: str, keys: Sequence[str], order_by: Sequence[str]) -> Body:
     """Keep the latest row per key across micro-batches; safe to replay."""
-    from spindrift.operators.sets import dedup_latest
-
     return fold_batches(
         path,
         lambda batch: dedup_latest(batch, keys, order_by),
