@@ -31,11 +31,11 @@ def compact(spark: SparkSession, path: str, out: str, target_bytes: int = 128 <<
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6, error: float = 0.01) -> Column:
     """Interleaved bits of each column's quantile number: rows near in every column get near keys."""
     edges = df.approxQuantile(list(cols), [i / (1 << bits) for i in range(1, 1 << bits)], error)
-    buckets = []
-    for c, e in zip(cols, edges):
-        array = F.array(*[F.lit(x) for x in sorted(set(e))])
-        position = F.aggregate(array, F.lit(0), lambda acc, x, c=c: acc + F.when(F.col(c) >= x, 1).otherwise(0))
-        buckets.append(F.coalesce(position, F.lit(0)))
+    def bucket_of(c: str, bounds: Sequence[float]) -> Column:
+        below = F.filter(F.array(*[F.lit(x) for x in sorted(set(bounds))]), lambda x: x <= F.col(c))
+        return F.coalesce(F.size(below), F.lit(0))
+
+    buckets = [bucket_of(c, e) for c, e in zip(cols, edges)]
     key = F.lit(0).cast("long")
     for b in range(bits):
         for i, bucket in enumerate(buckets):

@@ -96,9 +96,11 @@ def m02(spark, t):
 
 
 @query("m03_update_delete", """
-SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment = 'FURNITURE' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
-       CASE WHEN c_mktsegment = 'FURNITURE' THEN 'HOME' ELSE c_mktsegment END AS c_mktsegment
-FROM customer WHERE NOT c_acctbal < -500 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000)""")
+WITH u AS (
+  SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment = 'FURNITURE' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
+         CASE WHEN c_mktsegment = 'FURNITURE' THEN 'HOME' ELSE c_mktsegment END AS c_mktsegment FROM customer
+)
+SELECT * FROM u WHERE NOT c_acctbal < -500 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000)""")
 def m03(spark, t):
     updated = merge.update_where(t.customer, "c_mktsegment = 'FURNITURE'", {"c_acctbal": "c_acctbal + 100", "c_mktsegment": "'HOME'"})
     kept = merge.delete_where(updated, "c_acctbal < -500")
@@ -208,7 +210,7 @@ def m07(spark, t):
 
 def feed_sql(old, new, version, ts):
     diff = "(n.c_acctbal IS DISTINCT FROM o.c_acctbal OR n.c_mktsegment IS DISTINCT FROM o.c_mktsegment OR n.c_name IS DISTINCT FROM o.c_name OR n.c_nationkey IS DISTINCT FROM o.c_nationkey)"
-    tail = f"{version} AS v, '{ts}' AS at"
+    tail = f"{version} AS v, '{ts}' AS committed"
     return f"""
   SELECT n.*, 'insert' AS kind, {tail} FROM {new} n WHERE n.c_custkey NOT IN (SELECT c_custkey FROM {old})
   UNION ALL SELECT o.*, 'delete', {tail} FROM {old} o WHERE o.c_custkey NOT IN (SELECT c_custkey FROM {new})
@@ -218,7 +220,7 @@ def feed_sql(old, new, version, ts):
 
 @query("m08_change_feed", f"""
 WITH {V2}, f AS ({feed_sql('customer', 'v1', 1, '2024-02-01 00:00:00')} UNION ALL {feed_sql('v1', 'v2', 2, '2024-03-01 00:00:00')})
-SELECT {COLS}, kind AS _change_type, CAST(v AS BIGINT) AS _commit_version, at AS _commit_timestamp FROM f""")
+SELECT {COLS}, kind AS _change_type, CAST(v AS BIGINT) AS _commit_version, committed AS _commit_timestamp FROM f""")
 def m08(spark, t):
     return shown_feed(feed(t, initial=False))
 
