@@ -255,10 +255,11 @@ SELECT user_id AS key, COUNT(*) AS n, CAST(SUM(CAST(round(value * 100) AS BIGINT
 def st14(spark, t):
     """Own state per user (salted by event); the last emission per part, added up."""
     src, path = split_files(spark, t, "st14-in"), new_dir(spark, "st14")
-    rows = file_stream(spark, src, t.events, 1).select(
-        "user_id", F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int").alias("salt"),
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-    totals = state.keyed_totals(rows, "user_id", "salt", "cents", "us")
+    # the files of one write come in any order, so the delay covers the span of the data
+    rows = event_time(file_stream(spark, src, t.events, 1), "ts", "90 days").select(
+        "user_id", "ts", F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int").alias("salt"),
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"), F.unix_micros("ts").alias("us"))
+    totals = state.keyed_totals(rows, "user_id", "salt", "cents", "us", timeout_ms=90 * 86_400_000)
     body = sinks.fold_batches(path, lambda b: b, lambda old, new: dedup_latest(old.unionByName(new), ["key", "salt"], ["n"]))
     run_available(totals, "st14", mode="update", on_batch=body)
     return read_version(spark, path, last_version(spark, path)).groupBy("key").agg(

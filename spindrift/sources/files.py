@@ -39,19 +39,19 @@ def read_binary(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def validate_load(spark: SparkSession, path: str, fmt: str, schema: str, **options) -> DataFrame:
-    """What a load would do, without writing: rows, rows that do not parse, values read, an example of a bad record."""
+    """What a load would do, without writing: rows, rows that do not parse, an example of one."""
     declared = T._parse_datatype_string(schema)
     with_bad = T.StructType([*declared.fields, T.StructField("_corrupt_record", T.StringType())])
     rows = (spark.read.schema(with_bad).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record").options(**options).format(fmt).load(path))
-    cells = F.lit(0)
+    filled = F.lit(0)
     for name in declared.names:  # every column takes part: a pruned scan would not parse the others
-        cells = cells + F.count(name)
+        filled = filled + F.col(name).isNotNull().cast("int")
+    bad = F.col("_corrupt_record").isNotNull() & (filled >= 0)
     return rows.agg(
         F.count(F.lit(1)).alias("rows_read"),
-        F.count("_corrupt_record").alias("bad_rows"),
-        cells.alias("filled_cells"),
-        F.min("_corrupt_record").alias("example"),
+        F.count(F.when(bad, 1)).alias("bad_rows"),
+        F.min(F.when(bad, F.col("_corrupt_record"))).alias("example"),
     )
 
 

@@ -12,12 +12,14 @@ OUTPUT = "key long, salt int, n long, total_cents long, last_us long"
 _STATE = "n long, total_cents long, last_us long"
 
 
-def keyed_totals(df: DataFrame, key: str, salt: str, cents: str, micros: str, timeout_ms: int = 3_600_000) -> DataFrame:
+def keyed_totals(df: DataFrame, key: str, salt: str, cents: str, micros: str, timeout_ms: int) -> DataFrame:
     """Running count, total and last time per (key, salt), emitted on every batch that touches it.
 
-    The state per key is three numbers and the rows of a batch arrive in Arrow pieces, so
-    no group is held whole; ``salt`` splits a hot key, and readers add its parts up.
-    State of a key idle for ``timeout_ms`` is dropped.
+    ``df`` needs a watermark. The state per key is three numbers and the rows of a batch
+    arrive in Arrow pieces, so no group is held whole; ``salt`` splits a hot key, and
+    readers add its parts up. The state of a key is dropped once the watermark is
+    ``timeout_ms`` past its last event. (A timeout on processing time would keep
+    ``availableNow`` running for ever.)
     """
 
     def update(group, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -30,9 +32,9 @@ def keyed_totals(df: DataFrame, key: str, salt: str, cents: str, micros: str, ti
             total += int(piece[cents].sum())
             last = max(last, int(piece[micros].max()))
         state.update((n, total, last))
-        state.setTimeoutDuration(timeout_ms)
+        state.setTimeoutTimestamp(last // 1000 + timeout_ms)
         yield pd.DataFrame({"key": [group[0]], "salt": [group[1]], "n": [n], "total_cents": [total], "last_us": [last]})
 
     return df.groupBy(key, salt).applyInPandasWithState(
-        update, OUTPUT, _STATE, "update", GroupStateTimeout.ProcessingTimeTimeout
+        update, OUTPUT, _STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
