@@ -119,6 +119,6 @@ def share_of_total(df: DataFrame, value: str, keys: Sequence[str], name: str = "
     """Each row's part of the sum over its key. The sums are joined back, not windowed."""
     if not keys:
         whole = df.agg(F.sum(value)).scalar()
-        return df.withColumn(name, F.col(value).cast("double") / whole.cast("double"))
+        return df.withColumn(name, F.col(value).cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)))
     joined = df.join(df.groupBy(*keys).agg(F.sum(value).alias("_all")), list(keys))
-    return joined.withColumn(name, F.col(value).cast("double") / F.col("_all").cast("double")).drop("_all")
+    return joined.withColumn(name, F.col(value).cast("double") / F.nullif(F.col("_all").cast("double"), F.lit(0.0))).drop("_all")

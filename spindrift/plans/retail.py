@@ -221,7 +221,7 @@ def monthly_trend(t: Tables) -> DataFrame:
     before = F.lag("rev").over(w).cast("double")
     return monthly.select(
         "r_name", "month", F.col("rev").cast("double").alias("revenue"),
-        ((F.col("rev").cast("double") - before) * 100.0 / before).alias("change_pct"),
+        ((F.col("rev").cast("double") - before) * 100.0 / F.nullif(before, F.lit(0.0))).alias("change_pct"),
         F.sum("rev").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("double").alias("running_revenue"),
         F.rank().over(Window.partitionBy("month").orderBy(F.desc("rev"))).alias("rank_in_month"),
     )

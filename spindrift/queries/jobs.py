@@ -79,7 +79,7 @@ WITH p AS (
   SELECT event_id, user_id, value, ts, lag(value) OVER w AS prev_amount, lag(ts) OVER w AS prev_ts
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 )
-SELECT event_id, user_id, value, prev_amount, value / prev_amount AS amount_jump,
+SELECT event_id, user_id, value, prev_amount, value / nullif(prev_amount, 0) AS amount_jump,
        (CAST(floor(epoch(ts)) AS BIGINT) - CAST(floor(epoch(prev_ts)) AS BIGINT)) / 60.0 AS minutes_gap
 FROM p
 WHERE value / nullif(prev_amount, 0) > 5
@@ -398,7 +398,7 @@ def o18(spark, t):
 @query("o19_monthly_trend", f"""
 WITH {SALES}, m AS (SELECT r_name, strftime(o_orderdate, '%Y-%m') AS month, SUM(line_total) AS rev FROM sales GROUP BY 1, 2)
 SELECT r_name, month, CAST(rev AS DOUBLE) AS revenue,
-       (CAST(rev AS DOUBLE) - CAST(lag(rev) OVER w AS DOUBLE)) * 100 / CAST(lag(rev) OVER w AS DOUBLE) AS change_pct,
+       (CAST(rev AS DOUBLE) - CAST(lag(rev) OVER w AS DOUBLE)) * 100 / nullif(CAST(lag(rev) OVER w AS DOUBLE), 0) AS change_pct,
        CAST(SUM(rev) OVER (PARTITION BY r_name ORDER BY month ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_revenue,
        rank() OVER (PARTITION BY month ORDER BY rev DESC) AS rank_in_month
 FROM m WINDOW w AS (PARTITION BY r_name ORDER BY month)""")

@@ -37,24 +37,24 @@ def w02(spark, t):
 
 @query("w03_lag_lead", """
 SELECT event_id, coalesce(lag(event_id) OVER w, -1) AS prev_id, coalesce(lead(event_id) OVER w, -1) AS next_id,
-       (value - lag(value) OVER w) * 100 / lag(value) OVER w AS change_pct
+       (value - lag(value) OVER w) * 100 / nullif(lag(value) OVER w, 0) AS change_pct
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def w03(spark, t):
     w = chunked_window(t.events, ["user_id"], ["ts", "event_id"], time_chunk("ts", DAY),
                        lag={"p": "event_id", "pv": "value"}, lead={"n": "event_id"})
     return w.select("event_id", F.coalesce("p", F.lit(-1)).alias("prev_id"), F.coalesce("n", F.lit(-1)).alias("next_id"),
-                    ((F.col("value") - F.col("pv")) * 100 / F.col("pv")).alias("change_pct"))
+                    ((F.col("value") - F.col("pv")) * 100 / F.nullif(F.col("pv"), F.lit(0.0))).alias("change_pct"))
 
 
 @query("w03_period_over_period", f"""
 WITH d AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, {dsum('value')} AS total FROM events GROUP BY 1, 2)
-SELECT event_type, day, total, (total - lag(total) OVER w) * 100 / lag(total) OVER w AS change_pct
+SELECT event_type, day, total, (total - lag(total) OVER w) * 100 / nullif(lag(total) OVER w, 0) AS change_pct
 FROM d WINDOW w AS (PARTITION BY event_type ORDER BY day)""")
 def w03_period(spark, t):
     daily = t.events.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
         F.sum(dec("value")).cast("double").alias("total"))
     before = F.lag("total").over(Window.partitionBy("event_type").orderBy("day"))  # one row per type and day
-    return daily.withColumn("change_pct", (F.col("total") - before) * 100 / before)
+    return daily.withColumn("change_pct", (F.col("total") - before) * 100 / F.nullif(before, F.lit(0.0)))
 
 
 @query("w04_running_total", """
@@ -80,13 +80,13 @@ def w04_global(spark, t):
 
 @query("w05_whole_partition", """
 SELECT o_orderkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) OVER w AS DOUBLE) AS customer_total,
-       o_totalprice / MAX(o_totalprice) OVER w AS share_of_largest
+       o_totalprice / nullif(MAX(o_totalprice) OVER w, 0) AS share_of_largest
 FROM orders WINDOW w AS (PARTITION BY o_custkey)""")
 def w05(spark, t):
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     both = with_group_values(o, ["o_custkey"], customer_total=F.sum(dec("o_totalprice")).cast("double"),
                              largest=F.max("o_totalprice"))
-    return both.select("o_orderkey", "customer_total", (F.col("o_totalprice") / F.col("largest")).alias("share_of_largest"))
+    return both.select("o_orderkey", "customer_total", (F.col("o_totalprice") / F.nullif(F.col("largest"), F.lit(0.0))).alias("share_of_largest"))
 
 
 @query("w06_trailing_hour_count", f"""
@@ -151,9 +151,9 @@ WITH b AS (
 ),
 p AS (SELECT *, lag(mean_value) OVER (PARTITION BY event_type ORDER BY slot) AS previous_mean FROM b)
 SELECT event_type, slot, mean_value, previous_mean, mean_value - previous_mean AS delta
-FROM p WHERE abs(mean_value - previous_mean) > sd * 0.5""")
+FROM p WHERE abs(mean_value - previous_mean) > sd * 0.1""")
 def w11(spark, t):
     slots = t.events.groupBy("event_type", time_chunk("ts", 21_600).alias("slot")).agg(
         (F.sum(dec("value")).cast("double") / F.count("value")).alias("mean_value"), F.stddev_samp("value").alias("sd"))
-    return iot.shifts(slots, ["event_type"], "slot", "mean_value", "sd", 0.5).select(
+    return iot.shifts(slots, ["event_type"], "slot", "mean_value", "sd", 0.1).select(
         "event_type", "slot", "mean_value", "previous_mean", "delta")
