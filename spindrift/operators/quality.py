@@ -230,15 +230,19 @@ def rescue(raw: DataFrame, schema: Mapping[str, str]) -> DataFrame:
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts of both sides, keys on one side only, duplicate keys and keys whose rows differ. One shuffle."""
     cols = [c for c in a.columns if c not in keys]
-    digest = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)") if cols else F.lit(0)
-    both = a.select(*keys, digest.alias("_h"), F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
-        b.select(*keys, digest.alias("_h"), F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    digest = F.xxhash64(*[F.col(c) for c in cols]) if cols else F.lit(0).cast("bigint")
+    # three sums of 22 bits: plain longs that stay in range for any number of copies
+    parts = {f"_h{i}": F.shiftrightunsigned(digest, 22 * i).bitwiseAND(F.lit((1 << 22) - 1).cast("bigint")) for i in range(3)}
+    both = a.select(*keys, *[p.alias(n) for n, p in parts.items()], F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        b.select(*keys, *[p.alias(n) for n, p in parts.items()], F.lit(0).alias("_a"), F.lit(1).alias("_b"))
     )
     per_key = both.groupBy(*keys).agg(
         F.sum("_a").alias("na"), F.sum("_b").alias("nb"),
-        F.sum(F.when(F.col("_a") == 1, F.col("_h"))).alias("ha"),
-        F.sum(F.when(F.col("_b") == 1, F.col("_h"))).alias("hb"),
+        *[F.sum(F.col(n) * (F.col("_a") - F.col("_b"))).alias(f"gap{n}") for n in parts],
     )
+    differs = F.lit(False)
+    for n in parts:
+        differs = differs | (F.col(f"gap{n}") != 0)
     zero = F.lit(0).cast("bigint")
     return per_key.agg(
         F.coalesce(F.sum("na"), zero).alias("rows_a"),
@@ -247,7 +251,7 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count(F.when(F.col("na") == 0, 1)).alias("only_b"),
         F.count(F.when(F.col("na") > 1, 1)).alias("duplicate_keys_a"),
         F.count(F.when(F.col("nb") > 1, 1)).alias("duplicate_keys_b"),
-        F.count(F.when((F.col("na") > 0) & (F.col("nb") > 0) & (F.col("ha") != F.col("hb")), 1)).alias("changed"),
+        F.count(F.when((F.col("na") > 0) & (F.col("nb") > 0) & differs, 1)).alias("changed"),
     )
 
 

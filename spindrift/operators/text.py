@@ -63,7 +63,7 @@ def redact_text(text: str | Column) -> Column:
 def words(text: str | Column) -> Column:
     """Words of a text, split at runs of whitespace."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(t, r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(t, r"\s+"), "")
 
 
 def chunk_text(df: DataFrame, id_col: str, col: str, size: int, overlap: int) -> DataFrame:
@@ -74,9 +74,10 @@ def chunk_text(df: DataFrame, id_col: str, col: str, size: int, overlap: int) ->
     split = df.select(id_col, words(col).alias("_w")).withColumn("_n", F.size("_w"))
     # the last piece starts before the words not yet covered run out
     last = F.greatest(F.ceil((F.col("_n") - F.lit(overlap)) / F.lit(step)) - 1, F.lit(0)).cast("int")
-    starts = split.filter("_n > 0").select(id_col, "_w", F.posexplode(F.sequence(F.lit(0), last)).alias("chunk_no", "_i"))
-    piece = F.slice("_w", F.col("_i") * F.lit(step) + F.lit(1), F.lit(size))
-    return starts.select(id_col, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("chunk"))
+    # cut inside the row: exploding first would copy the whole word list once per piece
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("_w", i * F.lit(step) + F.lit(1), F.lit(size)))
+    out = split.filter("_n > 0").select(id_col, F.posexplode(pieces).alias("chunk_no", "_piece"))
+    return out.select(id_col, "chunk_no", F.size("_piece").alias("n_words"), F.array_join("_piece", " ").alias("chunk"))
 
 
 def infer(df: DataFrame, cols: Sequence[str], load_model: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],

@@ -20,10 +20,10 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, *, query_id: str = "que
     scores Arrow batches by one matrix product and keeps ``k`` per query and batch, so
     k x batches rows are shuffled, not queries x corpus.
     """
-    n = queries.count()
-    if n <= max_queries:
-        return _rank(_scores(queries, corpus, k, query_id, corpus_id, vector), k, query_id, corpus_id)
-    blocks = -(-n * 2 // max_queries)
+    rows = queries.select(query_id, vector).limit(max_queries + 1).collect()  # never more than one block and a row
+    if len(rows) <= max_queries:
+        return _rank(_scores(rows, queries, corpus, k, query_id, corpus_id, vector), k, query_id, corpus_id)
+    blocks = -(-queries.count() * 2 // max_queries)
     out = None
     for b in range(blocks):
         part = queries.filter(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b)
@@ -37,8 +37,7 @@ def _rank(scored: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _scores(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str, vector: str) -> DataFrame:
-    rows = queries.select(query_id, vector).orderBy(query_id).collect()  # at most max_queries rows, counted above
+def _scores(rows: list, queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str, vector: str) -> DataFrame:
     if not rows:
         return corpus.limit(0).select(F.lit(None).cast(queries.schema[query_id].dataType).alias(query_id), corpus_id,
                                       F.lit(None).cast("double").alias("cosine"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from spindrift.functions.numeric import dec
 
 _ROW, _BEFORE, _AFTER = 1, 0, 2
+HOT_ROWS = 1_000_000  # rows of one key that a task may sort
 
 
 def time_chunk(ts: str | Column, seconds: int) -> Column:
@@ -29,6 +30,18 @@ def value_chunk(value: str | Column, width: float) -> Column:
     return F.floor(value / F.lit(width)).cast("long")
 
 
+def even_chunks(df: DataFrame, value: str, rows_per_chunk: int = HOT_ROWS) -> Column:
+    """Bands of one width, as many as the rows need at ``rows_per_chunk`` each.
+
+    Takes the count and bounds of the column in one small job.
+    """
+    one = df.agg(F.count(value).alias("n"), F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
+    if not one["n"] or one["hi"] == one["lo"]:
+        return F.lit(0).cast("long")
+    width = (one["hi"] - one["lo"]) / max(1, -(-one["n"] // rows_per_chunk))
+    return F.floor((F.col(value) - F.lit(one["lo"])) / F.lit(width)).cast("long")
+
+
 def _seconds(ts: str | Column) -> Column:
     return F.unix_seconds((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
@@ -47,16 +60,29 @@ def chunked_window(
     dense_rank: str | None = None,
     percent_rank: str | None = None,
     total: str | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add window columns over ``keys`` ordered by ``order`` (ascending, not NULL).
 
     ``lag``, ``lead`` and ``running`` map an output name to its input column;
     ``running`` sums from the first row, so give it decimals or integers. The other
     options name an output column. ``chunk`` must never fall when ``order`` rises.
+    With ``hot_rows`` only keys above that many rows are cut, so that the chunks may be
+    fine without costing the other keys a summary row each.
     """
     lag, lead, running = dict(lag or {}), dict(lead or {}), dict(running or {})
     keys, order = list(keys), list(order)
     rows = df.withColumn("_chunk", chunk)
+    if hot_rows is not None:
+        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+        side = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_rows")
+        match = F.lit(True)
+        for i, k in enumerate(keys):
+            one = F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+            match = one if i == 0 else match & one
+        # few rows by construction: adaptive execution broadcasts them, or splits the hot keys
+        rows = rows.join(side, match, "left").select(
+            *df.columns, F.when(F.col("_rows").isNotNull(), F.col("_chunk")).alias("_chunk"))
     position = F.struct(*order)
 
     parts = [F.count(F.lit(1)).alias("_n")]
@@ -128,6 +154,49 @@ def chunked_window(
     return windowed.filter(F.col("_kind") == _ROW).select(*df.columns, *out)
 
 
+def value_ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    chunk: Column,
+    *,
+    rank: str | None = None,
+    dense_rank: str | None = None,
+    percent_rank: str | None = None,
+) -> DataFrame:
+    """Ranks by value: equal values share a rank, so distinct values are ranked and joined back.
+
+    A value held by many rows is one row in the window, however large its group is.
+    """
+    keys, order = list(keys), list(order)
+    on = [*keys, *order]
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"))
+    summed = chunked_window(counted, keys, order, chunk, running={"_upto": "_copies"}, row_number="_position")
+    sizes = counted.groupBy(*keys).agg(F.sum("_copies").alias("_rows"))
+    first = F.col("_upto") - F.col("_copies")
+    out = {}
+    if rank:
+        out[rank] = first + F.lit(1)
+    if dense_rank:
+        out[dense_rank] = F.col("_position")
+    if percent_rank:
+        share = first.cast("double") / F.nullif((F.col("_rows") - F.lit(1)).cast("double"), F.lit(0.0))
+        out[percent_rank] = F.coalesce(share, F.lit(0.0))
+        summed = _join_null_safe(summed, sizes, keys, ["_rows"])
+    ranked = summed.select(*on, *[c.alias(o) for o, c in out.items()])
+    return _join_null_safe(df, ranked, on, list(out))
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], take: Sequence[str]) -> DataFrame:
+    """Left rows with columns of the matching right row; NULL keys match each other."""
+    side = right.select(*[F.col(k).alias(f"_r_{k}") for k in on], *take)
+    match = F.lit(True)
+    for i, k in enumerate(on):
+        one = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        match = one if i == 0 else match & one
+    return left.join(side, match).select(*left.columns, *take)
+
+
 def trailing_stats(
     df: DataFrame,
     keys: Sequence[str],
@@ -146,9 +215,12 @@ def trailing_stats(
     without it, both ends included, on whole seconds. Adds ``<prefix>_n`` and, when a
     value is given, ``<prefix>_sum``, ``_avg`` and ``_stddev``.
 
-    ``chunk_seconds`` must divide ``seconds``. Rows meet the frame's far end through
-    one shifted copy and the whole chunks in between through a summary, so a task
-    holds two chunks of a key, never its whole history.
+    Rows of one key and second share their frame, so they are added up before anything
+    else: the window then sees at most one row per key and second, whatever the number
+    of events. Those rows are cut into chunks of ``chunk_seconds`` (which divides
+    ``seconds``); a shifted copy of each meets the far end of the frame and a summary
+    gives the whole chunks in between. Prefix sums in decimals replace a sliding frame,
+    whose cost would grow with its length.
     """
     width = chunk_seconds or seconds
     if seconds % width:
@@ -156,39 +228,23 @@ def trailing_stats(
     spans = seconds // width
     keys = list(keys)
     own, far, between = 0, 1, 2
-    base = df.withColumn("_t", _seconds(ts))
-    amount = dec(value, scale) if value else F.lit(None).cast("decimal(12,2)")
-    base = base.withColumn("_v", amount)
-
-    others = [c for c in df.columns if c not in keys]
-    # the shifted copy carries only what the frame needs
-    copies = base.select(
-        *keys, "_t", "_v",
-        F.struct(*others).alias("_rest"),
-        F.explode(F.array(F.lit(own), F.lit(far))).alias("_kind"),
-    ).select(
-        *keys,
-        (F.col("_t") + F.when(F.col("_kind") == far, F.lit(seconds)).otherwise(F.lit(0))).alias("_t"),
-        "_v", "_kind",
-        F.when(F.col("_kind") == own, F.col("_rest")).alias("_rest"),
-        F.lit(1).cast("long").alias("_one"),
-        (F.col("_v") * F.col("_v")).alias("_vv"),
+    rows = df.withColumn("_t", _seconds(ts))
+    measures = {"n": F.count(F.lit(1))}
+    if value:
+        v = dec(value, scale)
+        measures |= {"c": F.count(value), "s": F.sum(v), "q": F.sum(v * v)}
+    per_second = rows.groupBy(*keys, "_t").agg(*[c.alias(f"_{m}") for m, c in measures.items()])
+
+    copies = per_second.withColumn("_kind", F.explode(F.array(F.lit(own), F.lit(far)))).withColumn(
+        "_t", F.col("_t") + F.when(F.col("_kind") == far, F.lit(seconds)).otherwise(F.lit(0))
     ).withColumn("_chunk", F.floor(F.col("_t") / F.lit(width)).cast("long"))
-
-    measures = {"n": "_one"} | ({"c": "_has", "s": "_v", "q": "_vv"} if value else {})
-    copies = copies.withColumn("_has", F.when(F.col("_v").isNotNull(), F.lit(1).cast("long")))
-
     if spans > 1:
-        summary = base.select(
-            *keys, F.floor(F.col("_t") / F.lit(width)).cast("long").alias("_chunk"),
-            F.lit(1).cast("long").alias("_one"), "_v", (F.col("_v") * F.col("_v")).alias("_vv"),
-            F.when(F.col("_v").isNotNull(), F.lit(1).cast("long")).alias("_has"),
-        ).groupBy(*keys, "_chunk").agg(*[F.sum(c).alias(f"_b{m}") for m, c in measures.items()])
+        summary = per_second.groupBy(*keys, F.floor(F.col("_t") / F.lit(width)).cast("long").alias("_chunk")).agg(
+            *[F.sum(f"_{m}").alias(f"_b{m}") for m in measures])
+        # one row per key and chunk: bounded by the calendar
         inner = Window.partitionBy(*keys).orderBy("_chunk").rangeBetween(-(spans - 1), -1)
         middle = summary.select(
-            *keys, "_chunk",
-            (F.col("_chunk") * F.lit(width)).alias("_t"),
-            F.lit(between).alias("_kind"),
+            *keys, "_chunk", (F.col("_chunk") * F.lit(width)).alias("_t"), F.lit(between).alias("_kind"),
             *[F.sum(f"_b{m}").over(inner).alias(f"_m{m}") for m in measures],
         )
         copies = copies.unionByName(middle, allowMissingColumns=True)
@@ -198,35 +254,31 @@ def trailing_stats(
     strictly = by_time.rangeBetween(Window.unboundedPreceding, -1)
     everything = by_time.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    def frame_total(measure: str, col: str) -> Column:
-        mine = F.sum(F.when(F.col("_kind") == own, F.col(col))).over(upto)
-        tail = F.when(F.col("_kind") == far, F.col(col))
-        pieces = [mine, F.sum(tail).over(everything), -F.sum(tail).over(strictly)]
+    def frame_total(m: str) -> Column:
+        mine = F.sum(F.when(F.col("_kind") == own, F.col(f"_{m}"))).over(upto)
+        tail = F.when(F.col("_kind") == far, F.col(f"_{m}"))
+        pieces = [F.sum(tail).over(everything), -F.sum(tail).over(strictly)]
         if spans > 1:
-            pieces.append(F.max(f"_m{measure}").over(everything))
-        acc = F.coalesce(pieces[0], F.lit(0))
-        for p in pieces[1:]:
+            pieces.append(F.max(f"_m{m}").over(everything))
+        acc = F.coalesce(mine, F.lit(0))
+        for p in pieces:
             acc = acc + F.coalesce(p, F.lit(0))
         return acc
 
-    framed = copies.select(
-        *keys, "_kind", "_rest",
-        *[frame_total(m, c).alias(f"_f{m}") for m, c in measures.items()],
-    ).filter(F.col("_kind") == own)
-    result = framed.select(*[F.col(c) if c in keys else F.col(f"_rest.{c}").alias(c) for c in df.columns],
-                           F.col("_fn").alias(f"{prefix}_n"),
-                           *([F.col("_fc"), F.col("_fs"), F.col("_fq")] if value else []))
-    if not value:
-        return result
-    n, s, q = F.col("_fc").cast("double"), F.col("_fs").cast("double"), F.col("_fq").cast("double")
-    # n*q - s*s from exact sums; the decimal difference avoids cancellation
-    spread = (F.col("_fc").cast("decimal(18,0)") * F.col("_fq").cast("decimal(20,4)")).cast("double") - s * s
-    return result.select(
-        *[c for c in result.columns if not c.startswith("_f")],
-        F.when(F.col("_fc") > 0, s).alias(f"{prefix}_sum"),
-        F.when(F.col("_fc") > 0, s / n).alias(f"{prefix}_avg"),
-        F.when(F.col("_fc") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n * (n - 1)))).alias(f"{prefix}_stddev"),
-    )
+    framed = copies.select(*keys, "_t", "_kind", *[frame_total(m).alias(f"_f{m}") for m in measures]).filter(
+        F.col("_kind") == own)
+    out = {f"{prefix}_n": F.col("_fn")}
+    if value:
+        n, s = F.col("_fc").cast("double"), F.col("_fs").cast("double")
+        # n*q - s*s from exact sums
+        spread = (F.col("_fc").cast("decimal(16,0)") * F.col("_fq").cast("decimal(22,4)")).cast("double") - s * s
+        some = F.col("_fc") > 0
+        out[f"{prefix}_sum"] = F.when(some, s)
+        out[f"{prefix}_avg"] = F.when(some, s / n)
+        out[f"{prefix}_stddev"] = F.when(
+            F.col("_fc") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n * (n - 1))))
+    frames = framed.select(*keys, "_t", *[c.alias(o) for o, c in out.items()])
+    return _join_null_safe(rows, frames, [*keys, "_t"], list(out)).drop("_t")
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:

@@ -11,7 +11,7 @@ from spindrift.operators.graph import link_counts, ring_tier
 from spindrift.operators.joins import nearest_other_place
 from spindrift.operators.merge import WhenMatched, WhenNotMatched, merge
 from spindrift.operators.sets import align_union
-from spindrift.operators.windows import chunked_window, time_chunk, trailing_stats
+from spindrift.operators.windows import HOT_ROWS, chunked_window, time_chunk, trailing_stats
 
 DAY = 86_400
 # fixed values: ring sizes and composite weights
@@ -46,7 +46,8 @@ def amount_scores(df: DataFrame, key: str, ts: str, amount: str, seconds: int =
 
 def jumps(df: DataFrame, key: str, ts: str, row_id: str, amount: str, factor: float = 5.0, minutes: int = 60) -> DataFrame:
     """Rows worth more than ``factor`` times the row before, less than ``minutes`` after it."""
-    prev = chunked_window(df, [key], [ts, row_id], time_chunk(ts, DAY), lag={"prev_amount": amount, "prev_ts": ts})
+    prev = chunked_window(df, [key], [ts, row_id], time_chunk(ts, 60), hot_rows=HOT_ROWS,
+                          lag={"prev_amount": amount, "prev_ts": ts})
     gap = (F.unix_seconds(F.col(ts).cast("timestamp")) - F.unix_seconds(F.col("prev_ts").cast("timestamp"))) / 60.0
     jump = F.col(amount) / F.nullif(F.col("prev_amount"), F.lit(0.0))
     return prev.withColumns({"amount_jump": jump, "minutes_gap": gap.cast("double")}).filter(
@@ -54,7 +55,7 @@ def jumps(df: DataFrame, key: str, ts: str, row_id: str, amount: str, factor: fl
 
 
 def travel(df: DataFrame, key: str, place: str, ts: str, row_id: str, max_seconds: int = 1800) -> DataFrame:
-    return nearest_other_place(df, key, place, ts, row_id, max_seconds, chunk_seconds=4 * 3600)
+    return nearest_other_place(df, key, place, ts, row_id, max_seconds)
 
 
 def linkage(accounts: DataFrame, account: str, attributes: Sequence[str]) -> DataFrame:

@@ -10,8 +10,8 @@ from spindrift.sources.tables import Tables
 
 
 def line_total() -> Column:
-    """Price after discount, exact to four digits."""
-    return dec("l_extendedprice") * (F.lit(1).cast("decimal(3,2)") - dec("l_discount", 2, 4))
+    """Price after discount, exact to four digits; 17 digits, so each value is a plain long."""
+    return dec("l_extendedprice", 2, 11) * (F.lit(1).cast("decimal(3,2)") - dec("l_discount", 2, 4))
 
 
 def sales_lines(t: Tables) -> DataFrame:
@@ -29,7 +29,7 @@ def sales_lines(t: Tables) -> DataFrame:
     sold = dim_join(sold, customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     sold = dim_join(sold, t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     sold = dim_join(sold, t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    cost = dec("l_quantity") * dec("p_retailprice")
+    cost = dec("l_quantity", 2, 6) * dec("p_retailprice", 2, 10)
     return sold.withColumns({
         "order_date": F.to_date("o_orderdate"),
         "line_profit": F.col("line_total") - cost,

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from spindrift.functions.numeric import dec
 from spindrift.operators import graph, joins
-from spindrift.operators.windows import chunked_window
+from spindrift.operators.windows import HOT_ROWS, chunked_window, time_chunk
 from spindrift.plans.report import operators_of, plan_text
 from spindrift.queries import query
 from spindrift.queries.jobs import accounts
@@ -108,7 +108,7 @@ def jn08(spark, t):
 @query("jn09_self_range_join", f"""
 WITH {TRAVEL} SELECT user_id, COUNT(*) AS arrivals, min(travel_seconds) AS fastest, COUNT(DISTINCT place_to) AS places FROM travel GROUP BY 1""")
 def jn09(spark, t):
-    near = joins.nearest_other_place(t.events, "user_id", "event_type", "ts", "event_id", 1800, 4 * 3600)
+    near = joins.nearest_other_place(t.events, "user_id", "event_type", "ts", "event_id", 1800)
     return near.groupBy("user_id").agg(F.count(F.lit(1)).alias("arrivals"), F.min("travel_seconds").alias("fastest"),
                                        F.count_distinct("place_to").alias("places"))
 
@@ -137,7 +137,7 @@ FROM events e JOIN v ON e.user_id = v.user_id AND e.ts >= start_ts AND (end_ts I
 WHERE e.event_type = 'purchase'""")
 def jn11(spark, t):
     marks = t.events.filter(F.col("event_type").isin("signup", "error")).select("user_id", "ts", "event_id", "event_type")
-    versions = chunked_window(marks, ["user_id"], ["ts", "event_id"], F.to_date("ts"), lead={"end_ts": "ts"}).select(
+    versions = chunked_window(marks, ["user_id"], ["ts", "event_id"], time_chunk("ts", 60), lead={"end_ts": "ts"}, hot_rows=HOT_ROWS).select(
         "user_id", F.col("ts").alias("start_ts"), "end_ts", F.col("event_type").alias("state"))
     facts = t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     return joins.interval_join(facts, versions, "user_id", "ts", "start_ts", "end_ts").select(
