@@ -167,6 +167,7 @@ def value_ranks(
     """Ranks by value: equal values share a rank, so distinct values are ranked and joined back.
 
     A value held by many rows is one row in the window, however large its group is.
+    ``chunk`` is taken over the columns of ``order``.
     """
     keys, order = list(keys), list(order)
     on = [*keys, *order]

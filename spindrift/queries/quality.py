@@ -282,12 +282,14 @@ SELECT COUNT(*) AS keys, CAST(SUM(n) AS BIGINT) AS total_rows, MIN(n) AS min_row
 def c16(spark, t):
     """Rows per key: bounds, quantiles and the share of the ten largest keys."""
     counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    whole = counts.withColumn("all", F.lit(0))
-    q = exact_quantiles(whole, ["all"], "n", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, F.floor(F.col("n") / 1000))
+    points = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    q = exact_quantiles(counts.withColumn("all", F.lit(0)), ["all"], "n", points, F.floor(F.col("n") / 1000))
     top = counts.orderBy(F.desc("n")).limit(10).agg(F.sum("n")).scalar()
-    basic = whole.groupBy("all").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("total_rows"), F.min("n").alias("min_rows"),
-                                     (F.sum("n").cast("double") / F.count(F.lit(1))).alias("avg_rows"), F.max("n").alias("max_rows"))
-    return basic.join(q, "all").withColumn("top10_share", top.cast("double") / F.col("total_rows")).drop("all")
+    basic = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("total_rows"), F.min("n").alias("min_rows"),
+                       (F.sum("n").cast("double") / F.count(F.lit(1))).alias("avg_rows"), F.max("n").alias("max_rows"))
+    return basic.withColumn("q", q.select(F.struct(*points)).scalar()).select(
+        "*", *[F.col(f"q.{p}").alias(p) for p in points]).withColumn(
+        "top10_share", top.cast("double") / F.col("total_rows")).drop("q")
 
 
 @query("c17_health_report")
