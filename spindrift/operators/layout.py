@@ -32,8 +32,11 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6, error: float =
     """Interleaved bits of each column's quantile number: rows near in every column get near keys."""
     edges = df.approxQuantile(list(cols), [i / (1 << bits) for i in range(1, 1 << bits)], error)
     def bucket_of(c: str, bounds: Sequence[float]) -> Column:
-        below = F.filter(F.array(*[F.lit(x) for x in sorted(set(bounds))]), lambda x: x <= F.col(c))
-        return F.coalesce(F.size(below), F.lit(0))
+        found = sorted(set(bounds))
+        below = F.size(F.filter(F.array(*[F.lit(x) for x in found]), lambda x: x <= F.col(c)))
+        # a column of few values has few bounds: spread them, so that its high bits count too
+        spread = F.floor(below * F.lit(1 << bits) / F.lit(len(found) + 1)).cast("int")
+        return F.coalesce(F.greatest(spread, F.lit(0)), F.lit(0))
 
     buckets = [bucket_of(c, e) for c, e in zip(cols, edges)]
     key = F.lit(0).cast("long")
