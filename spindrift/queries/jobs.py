@@ -400,7 +400,7 @@ WITH {SALES}, m AS (SELECT r_name, strftime(o_orderdate, '%Y-%m') AS month, SUM(
 SELECT r_name, month, CAST(rev AS DOUBLE) AS revenue,
        (CAST(rev AS DOUBLE) - CAST(lag(rev) OVER w AS DOUBLE)) * 100 / nullif(CAST(lag(rev) OVER w AS DOUBLE), 0) AS change_pct,
        CAST(SUM(rev) OVER (PARTITION BY r_name ORDER BY month ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_revenue,
-       rank() OVER (PARTITION BY month ORDER BY rev DESC) AS rank_in_month
+       CAST(rank() OVER (PARTITION BY month ORDER BY rev DESC) AS INTEGER) AS rank_in_month
 FROM m WINDOW w AS (PARTITION BY r_name ORDER BY month)""")
 def o19(spark, t):
     return retail.monthly_trend(t)
@@ -409,7 +409,7 @@ def o19(spark, t):
 @query("o19_product_rank", f"""
 WITH {SALES}, p AS (SELECT r_name, p_partkey, SUM(line_total) AS rev FROM sales GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY r_name ORDER BY rev DESC, p_partkey) AS rn FROM p)
-SELECT r_name, p_partkey, CAST(rev AS DOUBLE) AS revenue, rn FROM k WHERE rn <= 3""")
+SELECT r_name, p_partkey, CAST(rev AS DOUBLE) AS revenue, CAST(rn AS INTEGER) AS rn FROM k WHERE rn <= 3""")
 def o19_rank(spark, t):
     return retail.product_rank(t, 3)
 
@@ -460,7 +460,7 @@ p AS (
   FROM q JOIN d ON q.i = d.i GROUP BY 1, 2
 ),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) AS rank FROM p)
-SELECT query_id, vec_id, round(cosine, 6) AS cosine, rank FROM r WHERE rank <= 10""")
+SELECT query_id, vec_id, round(cosine, 6) AS cosine, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
 def o23(spark, t):
     # the queries are the class sums, one vector per label
     parts = t.embeddings.select("label", F.posexplode("embedding").alias("i", "x"))

@@ -14,7 +14,7 @@ from spindrift.queries.snippets import davg
 CTE = """
 WITH per AS (SELECT o_custkey, COUNT(*) AS n, SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS spend FROM orders GROUP BY o_custkey),
 named AS (SELECT c_custkey, n_name, spend, n FROM per JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
-ranked AS (SELECT n_name, c_custkey, n, CAST(spend AS DOUBLE) AS spend, RANK() OVER (PARTITION BY n_name ORDER BY spend DESC) AS rnk FROM named)
+ranked AS (SELECT n_name, c_custkey, n, CAST(spend AS DOUBLE) AS spend, CAST(RANK() OVER (PARTITION BY n_name ORDER BY spend DESC) AS INTEGER) AS rnk FROM named)
 SELECT n_name, c_custkey, n, spend, rnk FROM ranked WHERE rnk <= 5"""
 
 

@@ -117,7 +117,7 @@ WITH s AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   GROUP BY 1, 2
 )
-SELECT r_name, n_name, CAST(rev AS DOUBLE) AS rev, rank() OVER (PARTITION BY r_name ORDER BY rev DESC) AS rnk FROM s""")
+SELECT r_name, n_name, CAST(rev AS DOUBLE) AS rev, CAST(rank() OVER (PARTITION BY r_name ORDER BY rev DESC) AS INTEGER) AS rnk FROM s""")
 def w08(spark, t):
     t.views("orders", "customer", "nation", "region")
     return spark.sql("""
@@ -139,7 +139,7 @@ def w09(spark, t):
 
 @query("w10_top_k_per_group", """
 SELECT * FROM (SELECT o_custkey, o_orderkey, o_totalprice,
-  row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3""")
+  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rn FROM orders) WHERE rn <= 3""")
 def w10(spark, t):
     return top_per_group(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"],
                          [F.desc("o_totalprice"), F.asc("o_orderkey")], 3)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 from collections.abc import Callable
 
@@ -12,6 +13,23 @@ from spindrift.session import new_dir
 from spindrift.sources.tables import Tables
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession):
+    """Number of state partitions for queries started inside.
+
+    A stateful query fixes its partitions at its first start and adaptive execution does
+    not merge them, so more than two per core only add tasks and state files. A lower
+    setting of the session is kept.
+    """
+    key = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(given), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, given)
+
+
 def table_stream(tables: Tables, name: str, max_files: int | None = None) -> DataFrame:
     """A table as a stream of its files, with the table's schema."""
     return file_stream(tables.spark, tables.stream_path(name), getattr(tables, name), max_files)
@@ -37,7 +55,8 @@ def start(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", fm
     writer = df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return writer.trigger(**(trigger or {"availableNow": True})).start(path)
+    with state_partitions(df.sparkSession):
+        return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
 def run_available(df: DataFrame, label: str, *, mode: str = "append",
@@ -54,8 +73,9 @@ def run_available(df: DataFrame, label: str, *, mode: str = "append",
             # complete mode: each batch is the whole result
             batch.write.mode("overwrite").parquet(out)
 
-        query = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True).foreachBatch(on_batch or replace).start())
+        writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        with state_partitions(spark):
+            query = writer.foreachBatch(on_batch or replace).start()
     query.awaitTermination()
     return out, query
 
