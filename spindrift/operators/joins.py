@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spindrift.session import broadcast_if_small
+from spindrift.session import broadcast_few_rows, broadcast_if_small
 
 
 def row_salt(df: DataFrame, buckets: int) -> Column:
@@ -43,7 +43,7 @@ def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
 
 def hot_key_join(fact: DataFrame, dim: DataFrame, key: str, share: float = 0.01, buckets: int = 32) -> DataFrame:
     """Inner join that salts only the rows of heavy keys and joins the rest plainly."""
-    hot = F.broadcast(heavy_keys(fact, key, share))  # at most 1/share rows
+    hot = broadcast_few_rows(heavy_keys(fact, key, share))  # at most 1/share rows, counted once
     spread = salted_join(fact.join(hot, key, "left_semi"), dim.join(hot, key, "left_semi"), key, buckets)
     plain = fact.join(hot, key, "left_anti").join(dim, key)
     return plain.unionByName(spread)

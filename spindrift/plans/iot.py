@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from spindrift.functions.numeric import exact_avg
 from spindrift.operators.joins import latest_before
+from spindrift.session import broadcast_few_rows
 
 
 def ranges_by_type(readings: DataFrame, type_col: str, value: str) -> DataFrame:
@@ -14,6 +15,11 @@ def ranges_by_type(readings: DataFrame, type_col: str, value: str) -> DataFrame:
         type_col, F.lit(0.0).alias("normal_min"), (F.col("_mean") * 2.0).alias("normal_max"))
 
 
+def with_ranges(readings: DataFrame, history: DataFrame, type_col: str, value: str) -> DataFrame:
+    """Readings (batch or stream) beside the normal range of their type, taken from ``history``."""
+    return readings.join(broadcast_few_rows(ranges_by_type(history, type_col, value)), type_col)
+
+
 def mark_anomalies(readings: DataFrame, value: str, sensor: str, kind: str) -> DataFrame:
     """Distance from the middle of the normal range in sixths of the range, with severity and message.
 

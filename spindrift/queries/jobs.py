@@ -27,8 +27,7 @@ ACCOUNT = dict(account="c_custkey", attributes=["device", "network"])
 
 def readings(t):
     """Events as sensor readings beside the normal range of their type."""
-    ranges = iot.ranges_by_type(t.events, "event_type", "value")
-    return t.events.join(F.broadcast(ranges), "event_type")  # one row per sensor type
+    return iot.with_ranges(t.events, t.events, "event_type", "value")
 
 
 RANGES = f"""

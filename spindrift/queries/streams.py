@@ -7,7 +7,7 @@ from spindrift.operators import aggregates, joins
 from spindrift.operators.sets import dedup_latest
 from spindrift.plans import iot
 from spindrift.queries import query
-from spindrift.queries.jobs import RANGES
+from spindrift.queries.jobs import RANGES, readings
 from spindrift.queries.snippets import davg, dsum
 from spindrift.session import new_dir
 from spindrift.sources.versions import last_version, read_version
@@ -218,8 +218,7 @@ def st10(spark, t):
 @query("st11_stream_anomalies", f"""
 WITH {RANGES} SELECT event_id, user_id, event_type, value, deviation_sigma, severity FROM alerts""")
 def st11(spark, t):
-    ranges = iot.ranges_by_type(t.events, "event_type", "value")
-    rows = table_stream(t, "events").join(F.broadcast(ranges), "event_type")  # one row per sensor type
+    rows = iot.with_ranges(table_stream(t, "events"), t.events, "event_type", "value")
     alerts = iot.mark_anomalies(rows, "value", "user_id", "event_type").filter("is_anomaly")
     return result_of(alerts.select("event_id", "user_id", "event_type", "value", "deviation_sigma", "severity"), "st11")
 
@@ -302,8 +301,7 @@ def st17(spark, t):
 WITH {RANGES} SELECT severity, COUNT(*) AS alert_count, CAST(SUM(CAST(deviation_sigma AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_sigma,
  COUNT(DISTINCT user_id) AS affected_sensors FROM alerts GROUP BY 1""")
 def st17_severity(spark, t):
-    ranges = iot.ranges_by_type(t.events, "event_type", "value")
-    alerts = iot.mark_anomalies(t.events.join(F.broadcast(ranges), "event_type"), "value", "user_id", "event_type")
+    alerts = iot.mark_anomalies(readings(t), "value", "user_id", "event_type")
     return iot.severity_summary(alerts.filter("is_anomaly"), "user_id")
 
 

@@ -76,3 +76,13 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES)
     adaptive skew splitting.
     """
     return F.broadcast(df) if planned_bytes(df) <= limit_bytes else df
+
+
+def broadcast_few_rows(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast hint for a small result of large input, after counting its rows.
+
+    The optimiser's estimate is no help for an aggregate, so the result is computed once,
+    checkpointed and counted. Beyond ``max_rows`` it is returned without the hint.
+    """
+    done = cut_lineage(df)
+    return F.broadcast(done) if done.count() <= max_rows else done
