@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,36 +21,56 @@ def compact(spark: SparkSession, path: str, out: str, target_bytes: int = 128 <<
 
     ``out`` is a new folder: readers of ``path`` are not disturbed and a failed run leaves it whole.
     """
-    before = file_sizes(spark, path).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-    size = before.first()["bytes"]
-    n = max(1, -(-size // target_bytes))
-    spark.read.parquet(path).repartition(n).write.mode("error").parquet(out)
-    after = file_sizes(spark, out).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-    return before.select(F.lit("before").alias("stage"), "*").unionByName(after.select(F.lit("after").alias("stage"), "*"))
-
-
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6, error: float = 0.01) -> Column:
+    def sizes(folder: str) -> DataFrame:
+        return file_sizes(spark, folder).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+    with _settings(spark, {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }):
+        # the scan packs small files into tasks of the target size: nothing is shuffled
+        spark.read.parquet(path).write.mode("error").parquet(out)
+    return sizes(path).select(F.lit("before").alias("stage"), "*").unionByName(sizes(out).select(F.lit("after").alias("stage"), "*"))
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    given = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in given.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def with_zorder_key(df: DataFrame, cols: Sequence[str], name: str, bits: int = 6, error: float = 0.01) -> DataFrame:
     """Interleaved bits of each column's quantile number: rows near in every column get near keys."""
     edges = df.approxQuantile(list(cols), [i / (1 << bits) for i in range(1, 1 << bits)], error)
+
     def bucket_of(c: str, bounds: Sequence[float]) -> Column:
         found = sorted(set(bounds))
-        below = F.size(F.filter(F.array(*[F.lit(x) for x in found]), lambda x: x <= F.col(c)))
+        below = F.lit(0)
+        for x in found:
+            below = below + F.coalesce((F.col(c) >= F.lit(x)).cast("int"), F.lit(0))
         # a column of few values has few bounds: spread them, so that its high bits count too
-        spread = F.floor(below * F.lit(1 << bits) / F.lit(len(found) + 1)).cast("int")
-        return F.coalesce(F.greatest(spread, F.lit(0)), F.lit(0))
+        return F.floor(below * F.lit(1 << bits) / F.lit(len(found) + 1)).cast("int")
 
-    buckets = [bucket_of(c, e) for c, e in zip(cols, edges)]
+    numbers = [f"_{name}_{i}" for i in range(len(cols))]
+    marked = df.withColumns({n: bucket_of(c, e) for n, c, e in zip(numbers, cols, edges)})
     key = F.lit(0).cast("long")
     for b in range(bits):
-        for i, bucket in enumerate(buckets):
-            bit = F.shiftright(bucket, b).bitwiseAND(F.lit(1)).cast("long")
-            key = key + F.shiftleft(bit, b * len(buckets) + i)
-    return key
+        for i, n in enumerate(numbers):
+            bit = F.shiftright(F.col(n), b).bitwiseAND(F.lit(1)).cast("long")
+            key = key + F.shiftleft(bit, b * len(numbers) + i)
+    return marked.withColumn(name, key).drop(*numbers)
 
 
 def zorder_write(df: DataFrame, cols: Sequence[str], files: int, out: str) -> None:
     """Write a folder whose files each cover a small range of every clustering column."""
-    (df.withColumn("_z", zorder_key(df, cols)).repartitionByRange(files, "_z")
+    (with_zorder_key(df, cols, "_z").repartitionByRange(files, "_z")
      .sortWithinPartitions("_z").drop("_z").write.mode("error").parquet(out))
 
 
