@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,15 +37,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named by spark.checkpoint.dir.
 
-    Where the setting is absent a local master gets a temporary folder and any
-    other master a folder below the warehouse, which is shared by definition.
+    Where the setting is absent it is a folder below the warehouse, which every
+    executor can reach by definition.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if spark.sparkContext.master.startswith("local"):
-            root = tempfile.mkdtemp(prefix="spindrift-")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_spindrift"
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_spindrift"
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
@@ -58,6 +54,14 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by ``new_dir``; anything outside the scratch folder is refused."""
+    if not path.startswith(scratch_root(spark) + "/"):
+        raise ValueError(f"{path} is not below the scratch folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors."""
     scratch_root(df.sparkSession)
