@@ -10,24 +10,21 @@ from pyspark.sql import DataFrame, functions as F
 from spindrift.session import cut_lineage
 
 
-def reach(edges: DataFrame, starts: DataFrame, src: str = "src", dst: str = "dst", max_depth: int = 50) -> DataFrame:
+def reach(edges: DataFrame, starts: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Nodes reachable from ``starts`` (a column ``node``) with their least depth.
 
     Breadth-first by joins; each node is expanded once, so cycles end. Every round is
     checkpointed, which keeps the plan short and survives lost executors.
     """
-    hop = edges.select(F.col(src).alias("node"), F.col(dst).alias("_next")).distinct()
+    hop = cut_lineage(edges.select(F.col(src).alias("node"), F.col(dst).alias("_next")).distinct())
     seen = cut_lineage(starts.select("node").distinct().withColumn("depth", F.lit(0)))
-    frontier = seen
-    for depth in range(1, max_depth + 1):
+    frontier, depth = seen, 0
+    while not frontier.isEmpty():
+        depth += 1
         found = frontier.select("node").join(hop, "node").select(F.col("_next").alias("node")).distinct()
         frontier = cut_lineage(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
-        if frontier.isEmpty():
-            return seen
         seen = cut_lineage(seen.unionByName(frontier))
-    if frontier.join(hop, "node").join(seen.select(F.col("node").alias("_next")), "_next", "left_anti").isEmpty():
-        return seen
-    raise RuntimeError(f"nodes remain beyond depth {max_depth}")
+    return seen
 
 
 def impact(edges: DataFrame, starts: DataFrame, **kw) -> DataFrame:
@@ -90,19 +87,18 @@ def ring_tier(links: DataFrame, tiers: Mapping[int, str], column: str = "link_co
     return links.withColumn("risk_category", label).filter(F.col("risk_category").isNotNull())
 
 
-def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components as (node, component), the component being its least node.
 
     Alternates large-star and small-star rounds (Kiveris et al., 2014): every round links
     nodes to the least neighbour known, which needs few rounds even on long chains. The
     least neighbour is an aggregate joined back, so the edges of a hub may be split over
-    tasks. Each round is checkpointed.
+    tasks. Each round is checkpointed; the rounds end when one changes no edge.
     """
-    e = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).distinct()
-    nodes = cut_lineage(e.select(F.col("u").alias("node")).union(e.select("v")).distinct())
-    e = cut_lineage(e.filter("u <> v"))
-    before = None
-    for _ in range(max_rounds):
+    linked = cut_lineage(edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).distinct())
+    nodes = linked.select(F.col("u").alias("node")).union(linked.select("v")).distinct()
+    e = linked.filter("u <> v")
+    while True:
         # large star: every larger neighbour moves to the least of the node and its neighbours
         both = e.select(F.col("u").alias("n"), F.col("v").alias("m")).union(e.select(F.col("v"), F.col("u")))
         least = both.groupBy("n").agg(F.min("m").alias("_m")).select("n", F.least("n", "_m").alias("least"))
@@ -110,13 +106,11 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
         # small star: smaller neighbours and the node itself move to the least smaller neighbour
         low = large.filter("u <> v").groupBy("u").agg(F.min("v").alias("least"))
         moved = large.filter("u <> v").join(low, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        e = cut_lineage(moved.filter("u <> v").union(low.select("u", F.col("least"))).distinct())
-        state = e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
-        if before is not None and state == before:
+        after = cut_lineage(moved.filter("u <> v").union(low.select("u", F.col("least"))).distinct())
+        # stars on both sides: an edge of one that the other lacks shows up in either direction
+        if after.join(e, ["u", "v"], "left_anti").isEmpty() and e.join(after, ["u", "v"], "left_anti").isEmpty():
             break
-        before = state
-    else:
-        raise RuntimeError(f"components not stable after {max_rounds} rounds")
+        e = after
     labels = e.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.join(labels, F.col("node") == F.col("u"), "left").select(
         "node", F.coalesce("component", "node").alias("component")
