@@ -27,7 +27,7 @@ def exact_groups(active: DataFrame, start: int, size: int, growth: int = GROWTH)
     while True:
         keyed = active.withColumn("run", F.substring("bytes", start, size))
         shared = keyed.groupBy("group", "run").agg(F.count("*").alias("n"), F.min("row").alias("next")).filter("n > 1")
-        split = keyed.join(shared, ["group", "run"]).select(
+        split = keyed.join(shared.hint("merge"), ["group", "run"]).select(
             "row", F.col("next").alias("group"), (F.octet_length("run") < size).alias("ended"),
             F.when(F.octet_length("run") == size, F.col("bytes")).alias("bytes"),
         )
@@ -52,7 +52,8 @@ def exact_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text
     new = ("keep_id", "group_size", "kept", "text_sha256")
     columns = [c for c in df.columns if c not in new] if with_rows else [id_column]
     body = F.coalesce(name(text), F.lit(""))
-    # The first run is read by itself, so that texts are only carried on where it is shared.
+    # The first run is read by itself, so that texts are only carried on where it is shared. Shared runs grow with the
+    # data, so they are joined by a shuffle at every size.
     first = F.substring(lower_ascii(F.substring(body, 1, FIRST_RUN)).cast("binary"), 1, FIRST_RUN)
     shared, shared_in = written(
         df.select(first.alias("_run")).groupBy("_run").count().filter("count > 1").select(
@@ -62,7 +63,7 @@ def exact_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text
     numbered = df.select(*[name(c) for c in columns], name(id_column).alias("_id"), body.alias("_body"), first.alias("_run"))
     bytes_of = lower_ascii(F.col("_body")).cast("binary")
     base, _ = written(
-        numbered.join(shared, "_run", "left").withColumn("_bytes", bytes_of).select(
+        numbered.join(shared.hint("merge"), "_run", "left").withColumn("_bytes", bytes_of).select(
             *[name(c) for c in columns], "_id", "_group", F.when(F.col("_group").isNotNull(), F.col("_bytes")).alias("_bytes"),
             F.sha2("_bytes", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row"),
         ), "normal",
