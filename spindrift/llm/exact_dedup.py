@@ -26,13 +26,16 @@ def exact_groups(active: DataFrame, start: int, size: int, growth: int = GROWTH)
     folders: list[str] = []
     while True:
         keyed = active.withColumn("run", F.substring("bytes", start, size))
-        shared = keyed.groupBy("group", "run").agg(F.count("*").alias("n"), F.min("row").alias("next")).filter("n > 1")
+        # Written first: Spark splits a hot key of a join only where both sides come straight from a shuffle.
+        shared, counted = written(
+            keyed.groupBy("group", "run").agg(F.count("*").alias("n"), F.min("row").alias("next")).filter("n > 1"), "counted"
+        )
         split = keyed.join(shared.hint("merge"), ["group", "run"]).select(
             "row", F.col("next").alias("group"), (F.octet_length("run") < size).alias("ended"),
             F.when(F.octet_length("run") == size, F.col("bytes")).alias("bytes"),
         )
         kept, folder = written(split, "radix")
-        folders.append(folder)
+        folders += [counted, folder]
         ended = kept.filter("ended").select("row", "group")
         found = ended if found is None else found.unionByName(ended)
         active = kept.filter("NOT ended").select("row", "group", "bytes")
@@ -73,13 +76,13 @@ def exact_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text
     groups, folders = exact_groups(candidates, FIRST_RUN + 1, FIRST_RUN * GROWTH)
     named = base.select("_row", "_id").join(groups.withColumnRenamed("row", "_row"), "_row")
     best = F.max(F.struct(F.col("_id").isNotNull().alias("known"), F.col("_id").alias("id"), (-F.col("_row")).alias("row")))
-    heads = named.groupBy("group").agg(best.alias("best"), F.count("*").alias("group_size"))
+    heads, heads_in = written(named.groupBy("group").agg(best.alias("best"), F.count("*").alias("group_size")), "heads")
     members, _ = written(
-        named.join(heads, "group").select(
+        named.join(heads.hint("merge"), "group").select(
             "_row", F.col("best.id").alias("keep_id"), "group_size", (F.col("_row") == -F.col("best.row")).alias("kept")
         ), "members",
     )
-    discard(df.sparkSession, shared_in, *folders)
+    discard(df.sparkSession, shared_in, heads_in, *folders)
     alone = F.col("kept").isNull()
     return base.drop("_bytes").join(members, "_row", "left").select(
         *[name(c) for c in columns],

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spindrift.llm.rows import lower_ascii, name, slices
+from spindrift.llm.rows import lower_ascii, name, slices, written
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.DOTALL
@@ -246,7 +246,8 @@ def main_text(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """
     kept = [c for c in df.columns if c not in ("text", "n_chars", html)]
     source = df.select(name(html).alias("_html"), host_of(name(url)).alias("_host"), *[name(c) for c in kept])
-    paths = consensus_paths(df, url, html).select(F.col("host").alias("_of"), F.col("path").alias("_path"))
+    # Written first: Spark splits a hot key of a join only where both sides come straight from a shuffle.
+    paths, _ = written(consensus_paths(df, url, html).select(F.col("host").alias("_of"), F.col("path").alias("_path")), "paths")
     joined = source.join(paths, F.col("_host") == F.col("_of"), "left").select("_path", "_html", *[name(c) for c in kept])
     schema = df.select(*[name(c) for c in kept], F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
     return joined.mapInArrow(lambda batches: _cut(batches, schema.names), schema)

@@ -142,10 +142,9 @@ def _grouped(members: DataFrame, groups: DataFrame | None) -> DataFrame:
     return members.join(named, F.col("node") == F.col("same"), "left").withColumn("group", F.coalesce("to", "node")).drop("same", "to")
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members of the regions that hold more than one group."""
-    several = members.groupBy("region").agg(F.min("group").alias("a"), F.max("group").alias("b")).filter("a <> b").select("region")
-    return members.join(several, "region", "left_semi")
+def _several(members: DataFrame, of: str) -> DataFrame:
+    """Regions whose members differ in ``of``."""
+    return members.groupBy("region").agg(F.min(of).alias("a"), F.max(of).alias("b")).filter("a <> b").select("region")
 
 
 def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
@@ -162,6 +161,7 @@ def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
 
 def linked_groups(regions: DataFrame, grams_of, percent: int) -> tuple[DataFrame | None, list[str]]:
     """(node, component) of linked nodes, for the members (region, node, n) of first regions. ``grams_of`` gives the sets of nodes."""
+    # What is joined is written first: Spark splits a hot key only where both sides come straight from a shuffle.
     folders: list[str] = []
     groups: DataFrame | None = None
     edges: DataFrame | None = None
@@ -198,16 +198,19 @@ def linked_groups(regions: DataFrame, grams_of, percent: int) -> tuple[DataFrame
         # Pivots of a region were compared with all its members and leave it.
         left = pivots.select("region", F.col("p").alias("x"))
         placed = near.select("region", "x", "p", "n").join(left, ["region", "x"], "left_anti").join(within, ["x", "p"])
+        placed = keep(placed, "placed")
         home = placed.filter("linked").groupBy("region", "x").agg(F.min(F.struct("apart", "p")).alias("h")).select(
             "region", "x", F.col("h.p").alias("home")
         )
         # Cells of one pivot are one cell, whichever regions it was drawn in: copies share many regions.
-        cells = placed.join(home.select("region", F.col("home").alias("p")).distinct(), ["region", "p"]).select(
+        homes = keep(home.select("region", F.col("home").alias("p")).distinct(), "homes")
+        cells = placed.join(homes, ["region", "p"]).select(
             F.xxhash64("p", F.lit(turn)).alias("region"), F.col("x").alias("node"), "n"
         ).distinct()
         gone = home.select("region", F.col("x").alias("node")).unionByName(left.withColumnRenamed("x", "node"))
         outer = members.join(gone, ["region", "node"], "left_anti").select(F.xxhash64("region", F.lit(-1)).alias("region"), "node", "n")
-        members = keep(_mixed(_grouped(cells.unionByName(outer), groups)).select("region", "node", "n", "group"), "regions")
+        after = keep(_grouped(cells.unionByName(outer), groups).select("region", "node", "n", "group"), "after")
+        members = keep(after.join(keep(_several(after, "group"), "several"), "region", "left_semi"), "regions")
         if members.isEmpty():
             return groups, folders
         count, turn = count * GROWTH, turn + 1
@@ -232,13 +235,13 @@ def jaccard_groups(
     sketch, sketch_in = written(
         source.mapInArrow(partial(_prefixes, words, percent, order), f"id {kind}, n long, digest binary, first array<long>"), "sketch"
     )
-    classes = sketch.filter("n > 0").groupBy("digest").agg(F.min("id").alias("node"))
+    classes, classes_in = written(sketch.filter("n > 0").groupBy("digest").agg(F.min("id").alias("node")), "classes")
     nodes = sketch.filter("n > 0").join(
         classes.filter("node IS NOT NULL").select(F.col("digest").alias("d"), "node"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("node"))
     )
     spread = nodes.select("node", "n", F.explode("first").alias("region"))
-    shared = spread.groupBy("region").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("region")
-    regions = spread.join(shared, "region", "left_semi").select("region", "node", "n")
+    shared, shared_in = written(_several(spread, "node"), "shared")
+    regions = spread.join(shared.hint("merge"), "region", "left_semi").select("region", "node", "n")
 
     def grams_of(wanted: DataFrame) -> DataFrame:
         texts = source.join(wanted.select(F.col("node").alias("id")), "id", "left_semi")
@@ -257,5 +260,5 @@ def jaccard_groups(
             F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("id")).alias("component_id"),
         ), "jaccard",
     )
-    discard(spark, sketch_in, *folders)
+    discard(spark, sketch_in, classes_in, shared_in, *folders)
     return result

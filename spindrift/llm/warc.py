@@ -213,7 +213,8 @@ def write_archives(
         name(id_column).alias("id"), name(url).cast("string").alias("url"), F.coalesce(name(html), F.lit("")).alias("payload")
     ).withColumn("n", F.octet_length("payload")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     shared = pages.filter(F.col("n") >= min_shared).groupBy("digest", "n").agg(F.max("id").alias("head"), F.count("*").alias("rows"))
-    heads = shared.filter("rows > 1").select(F.col("digest").alias("d"), F.col("n").alias("m"), "head")
+    # Written first: Spark splits a hot key of a join only where both sides come straight from a shuffle.
+    heads, _ = written(shared.filter("rows > 1").select(F.col("digest").alias("d"), F.col("n").alias("m"), "head"), "heads")
     joined = pages.join(heads, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("m")), "left")
     revisit = F.col("head").isNotNull() & ~F.col("id").eqNullSafe(F.col("head"))
     rows = joined.select(
