@@ -32,6 +32,8 @@ WORDS = 4
 PERCENT = 85
 #: Slots of the frequency table: its size is fixed, whatever the data.
 SLOT_BITS, PART_BITS = 18, 12
+#: Bits of the filter that names documents whose whole sets are wanted: fixed as well.
+FILTER_BITS = 25
 FIRST_PIVOTS, GROWTH = 1, 8
 
 
@@ -42,6 +44,10 @@ class Shingles:
         self.words, self.hashes = words, WordHash()
 
     def __call__(self, text: str) -> np.ndarray:
+        return np.unique(self.all(text))
+
+    def all(self, text: str) -> np.ndarray:
+        """Every n-gram of the text in its order, repeated ones too."""
         found = text.encode().lower().split()
         if not found:
             return np.empty(0, np.uint64)
@@ -51,7 +57,7 @@ class Shingles:
         for i in range(size):
             mixed = (mixed ^ codes[i:len(codes) - size + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(32)
-        return np.unique(mixed * np.uint64(0xBF58476D1CE4E5B9))
+        return mixed * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def needed(size: int, percent: int) -> int:
@@ -64,7 +70,7 @@ def _slots(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     sets, counts = Shingles(words), np.zeros(1 << SLOT_BITS, dtype=np.int64)
     for batch in batches:
         for part in slices(batch):
-            found = np.concatenate([sets(text or "") for text in part.column(0).to_pylist()])
+            found = np.concatenate([sets.all(text or "") for text in part.column(0).to_pylist()])
             counts += np.bincount((found >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts))
     pieces = counts.reshape(-1, 1 << PART_BITS)
     yield pa.RecordBatch.from_arrays(
@@ -93,44 +99,94 @@ def slot_order(texts: DataFrame, words: int) -> np.ndarray:
     return (np.log2(table.ravel() + 1) * 64).astype(np.uint16)
 
 
+def stored(size: int, percent: int) -> int:
+    """How many first n-grams of a set are kept: enough that two sets without common ones among them are known to be further
+    apart than twice the distance e, which takes a share of e / (1 - e)."""
+    return min(size, -(-size * (100 - percent) * 115 // (percent * 100)) + 1)
+
+
 def _prefixes(words: int, percent: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document the size and digest of its set, and its first n-grams in the common order."""
+    """Per document the size and digest of its set, its first n-grams in the common order as ascending keys, and how many of
+    them open regions."""
     sets, order = Shingles(words), shared.value
     low = np.uint64((1 << 48) - 1)
     for batch in batches:
         for part in slices(batch):
-            sizes, digests, firsts = [], [], []
+            sizes, digests, kept, firsts = [], [], [], []
             for text in part.column(1).to_pylist():
                 own = sets(text or "")
                 keys = (order[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(48)) | (own & low)
-                first = len(own) - needed(len(own), percent) + 1 if len(own) else 0
+                keys.sort()
                 sizes.append(len(own))
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                firsts.append(own[np.argsort(keys, kind="stable")[:first]].view(np.int64))
-            offsets = np.concatenate(([0], np.cumsum([len(f) for f in firsts]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*firsts, np.empty(0, np.int64)])))
+                firsts.append(len(own) - needed(len(own), percent) + 1 if len(own) else 0)
+                kept.append(keys[:stored(len(own), percent)].view(np.int64))
+            offsets = np.concatenate(([0], np.cumsum([len(k) for k in kept]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)])))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], names=["id", "n", "digest", "first"]
+                [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(firsts, pa.int32()), lists],
+                names=["id", "n", "digest", "first", "keys"],
             )
 
 
-def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sets = Shingles(words)
+def _sets(words: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole sets of the documents whose bit is set."""
+    sets, bits = Shingles(words), shared.value
     for batch in batches:
-        for part in slices(batch):
+        marks = batch.column(2).to_numpy()
+        wanted = (bits[marks >> 3] >> (marks & 7)) & 1 == 1
+        for part in slices(batch.filter(pa.array(wanted))):
             own = [sets(t or "").view(np.int64) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "grams"])
 
 
+def _mark(node: Column) -> Column:
+    return F.pmod(F.xxhash64(node.cast("string")), F.lit(1 << FILTER_BITS))
+
+
+def whole_sets(source: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, grams) for at least the given nodes, from the rows (id, text).
+
+    The nodes go to the readers as a bit filter of fixed size (4 MB), so that texts need not be shuffled to be picked. Nodes that share a bit
+    are read needlessly, never left out; with very many nodes the filter only saves less.
+    """
+    spark = source.sparkSession
+    bit = _mark(F.col("node"))
+    filled = nodes.select(F.shiftright(bit, 15).alias("block"), bit.bitwiseAND(32767).alias("bit")).groupBy("block").agg(
+        F.bitmap_construct_agg("bit").alias("bits")
+    )
+    bits = np.zeros((1 << (FILTER_BITS - 15), 4096), dtype=np.uint8)
+    for block, found in filled.collect():  # at most 2^10 blocks of 4 KB
+        bits[block] = np.frombuffer(found, dtype=np.uint8)
+    shared = spark.sparkContext.broadcast(bits.ravel())
+    kind = source.schema["id"].dataType.simpleString()
+    marked = source.select("id", "text", _mark(F.col("id")).alias("mark")).filter("id IS NOT NULL")
+    return marked.mapInArrow(partial(_sets, words, shared), f"node {kind}, grams array<long>")
+
+
 def _reach(n: Column, m: Column, percent: int) -> Column:
     """Whether sets of these sizes can be within twice the distance."""
     return F.least(n, m) * 100 >= F.greatest(n, m) * (2 * percent - 100)
 
 
+def _possible(pairs: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, p) that may be within twice the distance, by their first n-grams.
+
+    Up to the smaller of the two last keys both sides are known in full; beyond, at most the smaller rest can be common.
+    """
+    of = lambda side: keys.select(F.col("node").alias(side), F.col("keys").alias(f"of_{side}"))
+    both = pairs.join(of("x").hint("merge"), "x").join(of("p").hint("merge"), "p")
+    last = lambda side, n: F.when(F.size(side) < F.col(n), F.element_at(side, -1))  # noqa: E731  null: the whole set is known
+    both = both.withColumn("until", F.least(last("of_x", "n"), last("of_p", "m")))  # least() passes over nulls
+    known = lambda side: F.size(F.filter(side, lambda k: F.coalesce(k <= F.col("until"), F.lit(True))))
+    most = F.size(F.array_intersect("of_x", "of_p")) + F.least(F.col("n") - known("of_x"), F.col("m") - known("of_p"))
+    return both.filter(most * 100 >= (F.col("n") + F.col("m") - most) * (2 * percent - 100)).select(*pairs.columns)
+
+
 def _measured(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     """Adds the size of the common part of the sets of x and p."""
-    left = pairs.join(grams.select(F.col("node").alias("x"), F.col("grams").alias("of_x")), "x")
-    both = left.join(grams.select(F.col("node").alias("p"), F.col("grams").alias("of_p")), "p")
+    of = lambda side: grams.select(F.col("node").alias(side), F.col("grams").alias(f"of_{side}"))
+    both = pairs.join(of("x").hint("merge"), "x").join(of("p").hint("merge"), "p")
     return both.select(*pairs.columns, F.size(F.array_intersect("of_x", "of_p")).cast("long").alias("common"))
 
 
@@ -159,8 +215,11 @@ def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
     return first.select("region", F.col("node").alias("p"), F.col("n").alias("m"), F.col("group").alias("of"))
 
 
-def linked_groups(regions: DataFrame, grams_of, percent: int) -> tuple[DataFrame | None, list[str]]:
-    """(node, component) of linked nodes, for the members (region, node, n) of first regions. ``grams_of`` gives the sets of nodes."""
+def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) -> tuple[DataFrame | None, list[str]]:
+    """(node, component) of linked nodes, for the members (region, node, n) of first regions.
+
+    ``keys`` holds the first n-grams (node, keys), ``sets_of`` gives the whole sets of nodes.
+    """
     # What is joined is written first: Spark splits a hot key only where both sides come straight from a shuffle.
     folders: list[str] = []
     groups: DataFrame | None = None
@@ -175,7 +234,7 @@ def linked_groups(regions: DataFrame, grams_of, percent: int) -> tuple[DataFrame
     members = keep(regions, "regions")
     if members.isEmpty():
         return None, folders
-    grams = keep(grams_of(members.select("node").distinct()), "grams")
+    grams: DataFrame | None = None
     members = members.withColumn("group", F.col("node"))
     count, turn = FIRST_PIVOTS, 0
     while True:
@@ -184,7 +243,15 @@ def linked_groups(regions: DataFrame, grams_of, percent: int) -> tuple[DataFrame
         near = keep(
             met.filter(_reach(F.col("n"), F.col("m"), percent)).select("region", F.col("node").alias("x"), "p", "n", "m", "group", "of"), "met"
         )
-        measured = keep(_measured(near.select("x", "p", "n", "m", "group", "of").distinct(), grams), "measured")
+        pairs = keep(_possible(near.select("x", "p", "n", "m", "group", "of").distinct(), keys, percent), "pairs")
+        wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("p").alias("node"))).distinct()
+        if grams is not None:
+            wanted = wanted.join(grams.select("node"), "node", "left_anti")
+        wanted = keep(wanted, "wanted")
+        if grams is None or not wanted.isEmpty():
+            found = keep(sets_of(wanted).join(wanted.hint("merge"), "node", "left_semi"), "grams")
+            grams = found if grams is None else grams.unionByName(found)
+        measured = keep(_measured(pairs, grams), "measured")
         union = F.col("n") + F.col("m") - F.col("common")
         linked = F.col("common") * 100 >= union * percent
         new = measured.filter(linked & (F.col("group") != F.col("of"))).select(F.col("x").alias("src"), F.col("p").alias("dst"))
@@ -233,21 +300,18 @@ def jaccard_groups(
     source = df.select(name(id_column).alias("id"), name(text).alias("text"))
     order = spark.sparkContext.broadcast(slot_order(source.select("text"), words))
     sketch, sketch_in = written(
-        source.mapInArrow(partial(_prefixes, words, percent, order), f"id {kind}, n long, digest binary, first array<long>"), "sketch"
+        source.mapInArrow(partial(_prefixes, words, percent, order), f"id {kind}, n long, digest binary, first int, keys array<long>"), "sketch"
     )
     classes, classes_in = written(sketch.filter("n > 0").groupBy("digest").agg(F.min("id").alias("node")), "classes")
     nodes = sketch.filter("n > 0").join(
-        classes.filter("node IS NOT NULL").select(F.col("digest").alias("d"), "node"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("node"))
+        classes.filter("node IS NOT NULL").select(F.col("digest").alias("d"), "node").hint("merge"),
+        (F.col("digest") == F.col("d")) & (F.col("id") == F.col("node")),
     )
-    spread = nodes.select("node", "n", F.explode("first").alias("region"))
-    shared, shared_in = written(_several(spread, "node"), "shared")
+    firsts, firsts_in = written(nodes.select("node", "n", "first", "keys"), "firsts")
+    spread = firsts.select("node", "n", F.explode(F.slice("keys", 1, F.col("first"))).alias("region"))
+    shared, shared_in = written(spread.groupBy("region").count().filter("count > 1").select("region"), "shared")
     regions = spread.join(shared.hint("merge"), "region", "left_semi").select("region", "node", "n")
-
-    def grams_of(wanted: DataFrame) -> DataFrame:
-        texts = source.join(wanted.select(F.col("node").alias("id")), "id", "left_semi")
-        return texts.mapInArrow(partial(_sets, words), f"node {kind}, grams array<long>").distinct()
-
-    groups, folders = linked_groups(regions, grams_of, percent)
+    groups, folders = linked_groups(regions, firsts.select("node", "keys"), lambda w: whole_sets(source, w, words), percent)
     classed = sketch.select("id", "n", "digest").join(classes, "digest", "left")
     if groups is None:
         found = classed.withColumn("component", F.col("node"))
@@ -260,5 +324,5 @@ def jaccard_groups(
             F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("id")).alias("component_id"),
         ), "jaccard",
     )
-    discard(spark, sketch_in, classes_in, shared_in, *folders)
+    discard(spark, sketch_in, classes_in, firsts_in, shared_in, *folders)
     return result
