@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from spindrift.llm.rows import WordHash, discard, name, slices, written
+from spindrift.llm.rows import WordCodes, discard, name, slices, written
 from spindrift.operators.graph import components
 
 WORDS = 4
@@ -38,24 +38,37 @@ FIRST_PIVOTS, GROWTH = 1, 8
 
 
 class Shingles:
-    """Sets of hashed word n-grams as sorted 64-bit numbers."""
+    """Hashed word n-grams of many texts at once."""
 
     def __init__(self, words: int):
-        self.words, self.hashes = words, WordHash()
-
-    def __call__(self, text: str) -> np.ndarray:
-        return np.unique(self.all(text))
-
-    def all(self, text: str) -> np.ndarray:
-        """Every n-gram of the text in its order, repeated ones too."""
-        found = text.encode().lower().split()
-        if not found:
-            return np.empty(0, np.uint64)
-        codes = np.fromiter(map(self.hashes.__getitem__, found), np.uint64, len(found))
-        size = min(self.words, len(found))
-        mixed = np.full(len(found) - size + 1, size, dtype=np.uint64)
+        self.words, self.codes = words, WordCodes()
+
+    def all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Every n-gram of each text in its order, repeated ones too."""
+        raw = [(t or "").encode().lower() for t in texts]
+        ends = np.cumsum([len(r) + 1 for r in raw])
+        codes, places = self.codes(b"\n".join(raw))
+        owner = np.searchsorted(ends, places, side="right")
+        counts = np.bincount(owner, minlength=len(raw))
+        whole = self._mixed(codes, self.words)
+        whole = whole[owner[: len(whole)] == owner[len(owner) - len(whole):]]
+        grams = np.maximum(counts - self.words + 1, 0)
+        out = np.split(whole, np.cumsum(grams)[:-1])
+        first = np.cumsum(counts) - counts
+        for i in np.flatnonzero((counts > 0) & (counts < self.words)):
+            out[i] = self._mixed(codes[first[i]:first[i] + counts[i]], int(counts[i]))
+        return out
+
+    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The set of each text, as sorted 64-bit numbers."""
+        return [np.unique(grams) for grams in self.all(texts)]
+
+    @staticmethod
+    def _mixed(codes: np.ndarray, size: int) -> np.ndarray:
+        grams = max(0, len(codes) - size + 1)
+        mixed = np.full(grams, size, dtype=np.uint64)
         for i in range(size):
-            mixed = (mixed ^ codes[i:len(codes) - size + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ codes[i:i + grams]) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(32)
         return mixed * np.uint64(0xBF58476D1CE4E5B9)
 
@@ -70,7 +83,7 @@ def _slots(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     sets, counts = Shingles(words), np.zeros(1 << SLOT_BITS, dtype=np.int64)
     for batch in batches:
         for part in slices(batch):
-            found = np.concatenate([sets.all(text or "") for text in part.column(0).to_pylist()])
+            found = np.concatenate(sets.all(part.column(0).to_pylist()))
             counts += np.bincount((found >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts))
     pieces = counts.reshape(-1, 1 << PART_BITS)
     yield pa.RecordBatch.from_arrays(
@@ -113,8 +126,7 @@ def _prefixes(words: int, percent: int, shared, batches: Iterator[pa.RecordBatch
     for batch in batches:
         for part in slices(batch):
             sizes, digests, kept, firsts = [], [], [], []
-            for text in part.column(1).to_pylist():
-                own = sets(text or "")
+            for own in sets.sets(part.column(1).to_pylist()):
                 keys = (order[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(48)) | (own & low)
                 keys.sort()
                 sizes.append(len(own))
@@ -136,7 +148,7 @@ def _sets(words: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         marks = batch.column(2).to_numpy()
         wanted = (bits[marks >> 3] >> (marks & 7)) & 1 == 1
         for part in slices(batch.filter(pa.array(wanted))):
-            own = [sets(t or "").view(np.int64) for t in part.column(1).to_pylist()]
+            own = [s.view(np.int64) for s in sets.sets(part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "grams"])
 
 
@@ -204,15 +216,20 @@ def _several(members: DataFrame, of: str) -> DataFrame:
 
 
 def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
-    """``count`` members of each region by a hash, which is the same in all regions, so that pairs repeat and are measured once."""
+    """``count`` members of each region, by a hash that is the same in all regions, so that pairs repeat and are measured once.
+
+    ``size`` is how many members of the region are in the member's group: small groups come first, as what is left of a region
+    are mostly a few documents beside one large group.
+    """
     draw = F.xxhash64(F.lit(turn), F.col("node"))
+    row = F.struct("node", "n", "group")
     if count == 1:
-        least = members.groupBy("region").agg(F.min(F.struct(draw.alias("draw"), "node", "n", "group")).alias("s"))
-        return least.select("region", F.col("s.node").alias("p"), F.col("s.n").alias("m"), F.col("s.group").alias("of"))
-    drawn = members.withColumn("draw", draw)
-    place = F.row_number().over(Window.partitionBy("region").orderBy("draw", "node"))
-    first = drawn.withColumn("place", place).filter(F.col("place") <= count)  # limited per task before the shuffle
-    return first.select("region", F.col("node").alias("p"), F.col("n").alias("m"), F.col("group").alias("of"))
+        first = members.groupBy("region").agg(F.min_by(row, F.struct("size", draw)).alias("s"))
+    else:
+        place = F.row_number().over(Window.partitionBy("region").orderBy("size", draw, "node"))
+        # limited per task before the shuffle
+        first = members.withColumn("place", place).filter(F.col("place") <= count).select("region", row.alias("s"))
+    return first.select("region", F.col("s.node").alias("p"), F.col("s.n").alias("m"), F.col("s.group").alias("of"))
 
 
 def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) -> tuple[DataFrame | None, list[str]]:
@@ -235,15 +252,13 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
     if members.isEmpty():
         return None, folders
     grams: DataFrame | None = None
-    members = members.withColumn("group", F.col("node"))
+    members = members.select("*", F.col("node").alias("group"), F.lit(1).cast("long").alias("size"))
     count, turn = FIRST_PIVOTS, 0
     while True:
         pivots = keep(_pivots(members, count, turn), "pivots")
-        met = members.join(pivots, "region").filter("node <> p")
-        near = keep(
-            met.filter(_reach(F.col("n"), F.col("m"), percent)).select("region", F.col("node").alias("x"), "p", "n", "m", "group", "of"), "met"
-        )
-        pairs = keep(_possible(near.select("x", "p", "n", "m", "group", "of").distinct(), keys, percent), "pairs")
+        met = members.join(pivots, "region").filter((F.col("group") != F.col("of")) & _reach(F.col("n"), F.col("m"), percent))
+        near = keep(met.select("region", F.col("node").alias("x"), "p", "n", "m"), "met")
+        pairs = keep(_possible(near.select("x", "p", "n", "m").distinct(), keys, percent), "pairs")
         wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("p").alias("node"))).distinct()
         if grams is not None:
             wanted = wanted.join(grams.select("node"), "node", "left_anti")
@@ -251,21 +266,21 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
         if grams is None or not wanted.isEmpty():
             found = keep(sets_of(wanted).join(wanted.hint("merge"), "node", "left_semi"), "grams")
             grams = found if grams is None else grams.unionByName(found)
-        measured = keep(_measured(pairs, grams), "measured")
         union = F.col("n") + F.col("m") - F.col("common")
-        linked = F.col("common") * 100 >= union * percent
-        new = measured.filter(linked & (F.col("group") != F.col("of"))).select(F.col("x").alias("src"), F.col("p").alias("dst"))
+        # Distances in whole numbers: the part of the union that is not common, against the threshold.
+        within = keep(
+            _measured(pairs, grams).filter((union - F.col("common")) * 100 <= union * far).select(
+                "x", "p", ((union - F.col("common")) / union).alias("apart"), (F.col("common") * 100 >= union * percent).alias("linked")
+            ), "measured",
+        )
+        new = within.filter("linked").select(F.col("x").alias("src"), F.col("p").alias("dst"))
         if not new.isEmpty():
             edges = new if edges is None else edges.unionByName(new)
             groups = keep(components(edges), "groups")
-        # Distances in whole numbers: the part of the union that is not common, against the threshold.
-        within = measured.filter((union - F.col("common")) * 100 <= union * far).select(
-            "x", "p", ((union - F.col("common")) / union).alias("apart"), linked.alias("linked")
-        )
-        # Pivots of a region were compared with all its members and leave it.
+        # Pivots of a region were compared with all members of other groups and leave it; so do documents linked to one of them, whose
+        # cell holds all that they can be linked to.
         left = pivots.select("region", F.col("p").alias("x"))
-        placed = near.select("region", "x", "p", "n").join(left, ["region", "x"], "left_anti").join(within, ["x", "p"])
-        placed = keep(placed, "placed")
+        placed = keep(near.select("region", "x", "p", "n").join(within, ["x", "p"]).join(left, ["region", "x"], "left_anti"), "placed")
         home = placed.filter("linked").groupBy("region", "x").agg(F.min(F.struct("apart", "p")).alias("h")).select(
             "region", "x", F.col("h.p").alias("home")
         )
@@ -277,7 +292,9 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
         gone = home.select("region", F.col("x").alias("node")).unionByName(left.withColumnRenamed("x", "node"))
         outer = members.join(gone, ["region", "node"], "left_anti").select(F.xxhash64("region", F.lit(-1)).alias("region"), "node", "n")
         after = keep(_grouped(cells.unionByName(outer), groups).select("region", "node", "n", "group"), "after")
-        members = keep(after.join(keep(_several(after, "group"), "several"), "region", "left_semi"), "regions")
+        sizes = after.groupBy("region", "group").agg(F.count("*").alias("size"))
+        several = keep(sizes.join(_several(after, "group"), "region", "left_semi"), "several")
+        members = keep(after.join(several.hint("merge"), ["region", "group"]), "regions")
         if members.isEmpty():
             return groups, folders
         count, turn = count * GROWTH, turn + 1

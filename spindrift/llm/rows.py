@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -63,6 +64,50 @@ def slices(batch: pa.RecordBatch, limit: int = 8 << 20) -> Iterator[pa.RecordBat
         yield batch.slice(start, step)
 
 
+class WordCodes:
+    """64-bit codes of the words of a byte string, all words of a stretch at once.
+
+    A word's code is the polynomial of its bytes in a fixed odd base, modulo 2^64: a difference of prefix sums, divided by the power at its
+    start. The text is taken in stretches of about ``stretch`` bytes that end at white space, so memory does not grow with it.
+    """
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, stretch: int = 1 << 20):
+        self.stretch = stretch
+        self.space = np.zeros(256, dtype=bool)
+        self.space[list(SPACE)] = True
+        self.powers = self.inverse = np.ones(1, dtype=np.uint64)
+
+    def _grow(self, size: int) -> None:
+        if len(self.powers) < size:
+            for at, base in enumerate((self.BASE, pow(self.BASE, -1, 1 << 64))):
+                steps = np.full(size, base, dtype=np.uint64)
+                steps[0] = 1
+                setattr(self, ("powers", "inverse")[at], np.cumprod(steps, dtype=np.uint64))
+
+    def __call__(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the words, and the places of their first bytes."""
+        data = np.frombuffer(raw, dtype=np.uint8)
+        codes, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+        while at < len(data):
+            end = min(len(data), at + self.stretch)
+            while end < len(data) and not self.space[data[end]]:
+                end += 1
+            part = data[at:end]
+            blank = np.concatenate(([True], self.space[part], [True]))
+            starts = np.flatnonzero(blank[:-1] & ~blank[1:])
+            ends = np.flatnonzero(~blank[:-1] & blank[1:])
+            self._grow(len(part))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((part + np.uint64(1)) * self.powers[: len(part)], dtype=np.uint64)))
+            if len(starts):
+                code = (sums[ends] - sums[starts]) * self.inverse[starts]
+                codes.append((code ^ (code >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93))
+                places.append(starts + at)
+            at = end
+        return np.concatenate(codes), np.concatenate(places)
+
+
 class WordHash(dict):
     """64-bit hashes of words, remembered; emptied when it holds ``limit`` words."""
 
