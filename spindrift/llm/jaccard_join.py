@@ -9,9 +9,10 @@ documents open no regions unless a document holds little else.
 Each region is then joined by rounds. Some of its documents become pivots, and the distance of every other one to each pivot is
 computed exactly. Documents within the threshold are linked, and live in the Voronoi cell of their nearest pivot. A document can only be
 linked to one of that cell if it is within twice the threshold of the pivot (triangle inequality): such boundary documents are
-replicated into the cell. What has no near pivot forms the outer region. Pivots leave, as they were compared with all; cells and outer
-regions are joined by the same rounds until each holds documents of one group only. Pivots per round grow eightfold, so the number
-of rounds is logarithmic, and copies of one text never meet pair by pair.
+replicated into the cell. What has no near pivot forms the outer region. Pivots leave, as they were compared with all, and cells and
+outer regions are joined by further rounds until each holds documents of one group only. Pivots per round grow eightfold, so the
+number of rounds is logarithmic, and documents already in one group never meet again. Only the first round cuts cells: with many
+pivots close to each other, boundary documents would be copied into most of their cells.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ PERCENT = 85
 SLOT_BITS, PART_BITS = 18, 12
 #: Bits of the filter that names documents whose whole sets are wanted: fixed as well.
 FILTER_BITS = 25
-FIRST_PIVOTS, GROWTH = 1, 8
+FIRST_PIVOTS, GROWTH, SMALL_FIRST = 1, 8, 3
 
 
 class Shingles:
@@ -176,13 +177,13 @@ def whole_sets(source: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return marked.mapInArrow(partial(_sets, words, shared), f"node {kind}, grams array<long>")
 
 
-def _reach(n: Column, m: Column, percent: int) -> Column:
-    """Whether sets of these sizes can be within twice the distance."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * (2 * percent - 100)
+def _reach(least: int) -> Column:
+    """Whether two sets can have a similarity of ``least`` percent, by their sizes and by what each shares with any other set."""
+    return F.least("most", "p_most") * (100 + least) >= (F.col("n") + F.col("m")) * least
 
 
-def _possible(pairs: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, p) that may be within twice the distance, by their first n-grams.
+def _possible(pairs: DataFrame, keys: DataFrame, least: int) -> DataFrame:
+    """The pairs (x, p) that may have a similarity of ``least`` percent, by their first n-grams.
 
     Up to the smaller of the two last keys both sides are known in full; beyond, at most the smaller rest can be common.
     """
@@ -192,7 +193,7 @@ def _possible(pairs: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
     both = both.withColumn("until", F.least(last("of_x", "n"), last("of_p", "m")))  # least() passes over nulls
     known = lambda side: F.size(F.filter(side, lambda k: F.coalesce(k <= F.col("until"), F.lit(True))))
     most = F.size(F.array_intersect("of_x", "of_p")) + F.least(F.col("n") - known("of_x"), F.col("m") - known("of_p"))
-    return both.filter(most * 100 >= (F.col("n") + F.col("m") - most) * (2 * percent - 100)).select(*pairs.columns)
+    return both.filter(most * 100 >= (F.col("n") + F.col("m") - most) * least).select(*pairs.columns)
 
 
 def _measured(pairs: DataFrame, grams: DataFrame) -> DataFrame:
@@ -218,22 +219,24 @@ def _several(members: DataFrame, of: str) -> DataFrame:
 def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
     """``count`` members of each region, by a hash that is the same in all regions, so that pairs repeat and are measured once.
 
-    ``size`` is how many members of the region are in the member's group: small groups come first, as what is left of a region
-    are mostly a few documents beside one large group.
+    The first rounds draw from all members: what is left of a region is mostly one large group and single documents, which link to one
+    of many. Later rounds take small groups first (``size`` is how many members of the region are in the member's group).
     """
     draw = F.xxhash64(F.lit(turn), F.col("node"))
-    row = F.struct("node", "n", "group")
+    row = F.struct("node", "n", "most", "group")
     if count == 1:
-        first = members.groupBy("region").agg(F.min_by(row, F.struct("size", draw)).alias("s"))
+        first = members.groupBy("region").agg(F.min_by(row, draw).alias("s"))
     else:
-        place = F.row_number().over(Window.partitionBy("region").orderBy("size", draw, "node"))
+        order = ["size", draw, "node"] if turn >= SMALL_FIRST else [draw, "node"]
+        place = F.row_number().over(Window.partitionBy("region").orderBy(*order))
         # limited per task before the shuffle
         first = members.withColumn("place", place).filter(F.col("place") <= count).select("region", row.alias("s"))
-    return first.select("region", F.col("s.node").alias("p"), F.col("s.n").alias("m"), F.col("s.group").alias("of"))
+    return first.select("region", F.col("s.node").alias("p"), F.col("s.n").alias("m"), F.col("s.most").alias("p_most"), F.col("s.group").alias("of"))
 
 
 def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) -> tuple[DataFrame | None, list[str]]:
-    """(node, component) of linked nodes, for the members (region, node, n) of first regions.
+    """(node, component) of linked nodes, for the members (region, node, n, most) of first regions; ``most`` is how many n-grams
+    of the node can be common with any other.
 
     ``keys`` holds the first n-grams (node, keys), ``sets_of`` gives the whole sets of nodes.
     """
@@ -241,8 +244,6 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
     folders: list[str] = []
     groups: DataFrame | None = None
     edges: DataFrame | None = None
-    far = 2 * (100 - percent)  # twice the distance, in hundredths
-
     def keep(df: DataFrame, label: str) -> DataFrame:
         done, folder = written(df, label)
         folders.append(folder)
@@ -256,9 +257,12 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
     count, turn = FIRST_PIVOTS, 0
     while True:
         pivots = keep(_pivots(members, count, turn), "pivots")
-        met = members.join(pivots, "region").filter((F.col("group") != F.col("of")) & _reach(F.col("n"), F.col("m"), percent))
-        near = keep(met.select("region", F.col("node").alias("x"), "p", "n", "m"), "met")
-        pairs = keep(_possible(near.select("x", "p", "n", "m").distinct(), keys, percent), "pairs")
+        # Only the first round needs distances beyond the threshold, for its cells.
+        least = 2 * percent - 100 if turn == 0 else percent
+        met = members.join(pivots, "region").filter((F.col("group") != F.col("of")) & _reach(least))
+        near = met.select("region", F.col("node").alias("x"), "p", "n", "m", "most")
+        near = keep(near, "met") if turn == 0 else near
+        pairs = keep(_possible(keep(near.select("x", "p", "n", "m").distinct(), "distinct"), keys, least), "pairs")
         wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("p").alias("node"))).distinct()
         if grams is not None:
             wanted = wanted.join(grams.select("node"), "node", "left_anti")
@@ -267,9 +271,8 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
             found = keep(sets_of(wanted).join(wanted.hint("merge"), "node", "left_semi"), "grams")
             grams = found if grams is None else grams.unionByName(found)
         union = F.col("n") + F.col("m") - F.col("common")
-        # Distances in whole numbers: the part of the union that is not common, against the threshold.
         within = keep(
-            _measured(pairs, grams).filter((union - F.col("common")) * 100 <= union * far).select(
+            _measured(pairs, grams).filter(F.col("common") * 100 >= union * least).select(
                 "x", "p", ((union - F.col("common")) / union).alias("apart"), (F.col("common") * 100 >= union * percent).alias("linked")
             ), "measured",
         )
@@ -277,29 +280,43 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
         if not new.isEmpty():
             edges = new if edges is None else edges.unionByName(new)
             groups = keep(components(edges), "groups")
-        # Pivots of a region were compared with all members of other groups and leave it; so do documents linked to one of them, whose
-        # cell holds all that they can be linked to.
-        left = pivots.select("region", F.col("p").alias("x"))
-        placed = keep(near.select("region", "x", "p", "n").join(within, ["x", "p"]).join(left, ["region", "x"], "left_anti"), "placed")
-        home = placed.filter("linked").groupBy("region", "x").agg(F.min(F.struct("apart", "p")).alias("h")).select(
-            "region", "x", F.col("h.p").alias("home")
-        )
-        # Cells of one pivot are one cell, whichever regions it was drawn in: copies share many regions.
-        homes = keep(home.select("region", F.col("home").alias("p")).distinct(), "homes")
-        cells = placed.join(homes, ["region", "p"]).select(
-            F.xxhash64("p", F.lit(turn)).alias("region"), F.col("x").alias("node"), "n"
-        ).distinct()
-        gone = home.select("region", F.col("x").alias("node")).unionByName(left.withColumnRenamed("x", "node"))
-        outer = members.join(gone, ["region", "node"], "left_anti").select(F.xxhash64("region", F.lit(-1)).alias("region"), "node", "n")
-        after = keep(_grouped(cells.unionByName(outer), groups).select("region", "node", "n", "group"), "after")
-        sizes = after.groupBy("region", "group").agg(F.count("*").alias("size"))
-        several = keep(sizes.join(_several(after, "group"), "region", "left_semi"), "several")
-        members = keep(after.join(several.hint("merge"), ["region", "group"]), "regions")
+        left = pivots.select("region", F.col("p").alias("node"))
+        if turn == 0:
+            after = _cells(members, pivots, near, within, keep)
+        else:
+            after = members.join(left, ["region", "node"], "left_anti")
+        after = keep(_grouped(after.select("region", "node", "n", "most", *(["p"] if turn == 0 else [])), groups), "after")
+        open_regions = keep(_several(after, "group"), "several")
+        if turn == 0:
+            # Outer regions of one pivot that still hold several groups become one: copies share many first n-grams.
+            after = keep(after.join(open_regions, "region", "left_semi").select(F.col("p").alias("region"), "node", "n", "most", "group").distinct(), "merged")
+            open_regions = keep(_several(after, "group"), "several")
+        live = after.join(open_regions, "region", "left_semi").select("region", "node", "n", "most", "group")
+        sizes = keep(live.groupBy("region", "group").agg(F.count("*").alias("size")), "sizes")
+        members = keep(live.join(sizes.hint("merge"), ["region", "group"]), "regions")
         if members.isEmpty():
             return groups, folders
         count, turn = count * GROWTH, turn + 1
 
 
+def _cells(members: DataFrame, pivots: DataFrame, near: DataFrame, within: DataFrame, keep) -> DataFrame:
+    """The cells of the pivots, with the boundary documents that their documents may be linked to, and the outer regions; p names the region
+    into which those with several groups are merged.
+
+    A pivot was compared with all members and leaves; so does a document linked to it, as its cell holds all that it can be linked to.
+    """
+    placed = near.select("region", "x", "p", "n", "most").join(within, ["x", "p"])
+    cells = placed.groupBy("p", "x").agg(*[F.first(c).alias(c) for c in ("n", "most", "linked")])
+    cells = keep(cells, "cells")
+    homes = keep(cells.filter("linked").select("p").distinct(), "homes")
+    inner = cells.join(homes, "p", "left_semi").select(F.xxhash64("p", F.lit("cell")).alias("region"), F.col("x").alias("node"), "n", "most")
+    gone = placed.filter("linked").select("region", F.col("x").alias("node")).unionByName(pivots.select("region", F.col("p").alias("node")))
+    outer = members.join(keep(gone, "gone"), ["region", "node"], "left_anti").join(
+        pivots.select("region", F.xxhash64("p", F.lit("outer")).alias("p")), "region"
+    )
+    return inner.withColumn("p", F.col("region")).unionByName(outer.select("region", "node", "n", "most", "p"))
+
+
 def jaccard_groups(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
@@ -325,9 +342,13 @@ def jaccard_groups(
         (F.col("digest") == F.col("d")) & (F.col("id") == F.col("node")),
     )
     firsts, firsts_in = written(nodes.select("node", "n", "first", "keys"), "firsts")
-    spread = firsts.select("node", "n", F.explode(F.slice("keys", 1, F.col("first"))).alias("region"))
+    spread = firsts.select("node", "n", "first", F.explode(F.slice("keys", 1, F.col("first"))).alias("region"))
     shared, shared_in = written(spread.groupBy("region").count().filter("count > 1").select("region"), "shared")
-    regions = spread.join(shared.hint("merge"), "region", "left_semi").select("region", "node", "n")
+    # First n-grams without a region are in no other document: they cannot be common. The window holds one document's rows.
+    own = F.count("*").over(Window.partitionBy("node"))
+    regions = spread.join(shared.hint("merge"), "region", "left_semi").select(
+        "region", "node", "n", (F.col("n") - F.col("first") + own).alias("most")
+    )
     groups, folders = linked_groups(regions, firsts.select("node", "keys"), lambda w: whole_sets(source, w, words), percent)
     classed = sketch.select("id", "n", "digest").join(classes, "digest", "left")
     if groups is None:
