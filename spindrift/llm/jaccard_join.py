@@ -35,6 +35,8 @@ PERCENT = 85
 SLOT_BITS, PART_BITS = 18, 12
 #: Bits of the filter that names documents whose whole sets are wanted: fixed as well.
 FILTER_BITS = 25
+#: Bits of a document's parity sketch: whether an odd number of its n-grams falls on the bit.
+PARITY_BITS = 512
 FIRST_PIVOTS, GROWTH, SMALL_FIRST = 1, 8, 3
 
 
@@ -126,7 +128,7 @@ def _prefixes(words: int, percent: int, shared, batches: Iterator[pa.RecordBatch
     low = np.uint64((1 << 48) - 1)
     for batch in batches:
         for part in slices(batch):
-            sizes, digests, kept, firsts = [], [], [], []
+            sizes, digests, kept, firsts, parities = [], [], [], [], []
             for own in sets.sets(part.column(1).to_pylist()):
                 keys = (order[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(48)) | (own & low)
                 keys.sort()
@@ -134,11 +136,13 @@ def _prefixes(words: int, percent: int, shared, batches: Iterator[pa.RecordBatch
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 firsts.append(len(own) - needed(len(own), percent) + 1 if len(own) else 0)
                 kept.append(keys[:stored(len(own), percent)].view(np.int64))
+                odd = np.bincount((own & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+                parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             offsets = np.concatenate(([0], np.cumsum([len(k) for k in kept]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)])))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(firsts, pa.int32()), lists],
-                names=["id", "n", "digest", "first", "keys"],
+                [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(firsts, pa.int32()), lists, pa.array(parities, pa.list_(pa.int64()))],
+                names=["id", "n", "digest", "first", "keys", "parity"],
             )
 
 
@@ -182,6 +186,13 @@ def _reach(least: int) -> Column:
     return F.least("most", "p_most") * (100 + least) >= (F.col("n") + F.col("m")) * least
 
 
+def _alike(least: int) -> Column:
+    """Whether two sets can have a similarity of ``least`` percent, by their parity sketches: sketches differ in at most as many bits as
+    the sets in n-grams."""
+    differing = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("p_parity")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    return differing * (100 + least) <= (F.col("n") + F.col("m")) * (100 - least)
+
+
 def _possible(pairs: DataFrame, keys: DataFrame, least: int) -> DataFrame:
     """The pairs (x, p) that may have a similarity of ``least`` percent, by their first n-grams.
 
@@ -223,7 +234,7 @@ def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
     of many. Later rounds take small groups first (``size`` is how many members of the region are in the member's group).
     """
     draw = F.xxhash64(F.lit(turn), F.col("node"))
-    row = F.struct("node", "n", "most", "group")
+    row = F.struct("node", "n", "most", "group", *([] if turn == 0 else ["parity"]))
     if count == 1:
         first = members.groupBy("region").agg(F.min_by(row, draw).alias("s"))
     else:
@@ -231,14 +242,14 @@ def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("region").orderBy(*order))
         # limited per task before the shuffle
         first = members.withColumn("place", place).filter(F.col("place") <= count).select("region", row.alias("s"))
-    return first.select("region", F.col("s.node").alias("p"), F.col("s.n").alias("m"), F.col("s.most").alias("p_most"), F.col("s.group").alias("of"))
+    return first.select("region", F.col("s.node").alias("p"), F.col("s.n").alias("m"), F.col("s.most").alias("p_most"), F.col("s.group").alias("of"), *([] if turn == 0 else [F.col("s.parity").alias("p_parity")]))
 
 
 def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) -> tuple[DataFrame | None, list[str]]:
     """(node, component) of linked nodes, for the members (region, node, n, most) of first regions; ``most`` is how many n-grams
     of the node can be common with any other.
 
-    ``keys`` holds the first n-grams (node, keys), ``sets_of`` gives the whole sets of nodes.
+    ``keys`` holds the first n-grams and sketches (node, keys, parity), ``sets_of`` gives the whole sets of nodes.
     """
     # What is joined is written first: Spark splits a hot key only where both sides come straight from a shuffle.
     folders: list[str] = []
@@ -259,7 +270,7 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
         pivots = keep(_pivots(members, count, turn), "pivots")
         # Only the first round needs distances beyond the threshold, for its cells.
         least = 2 * percent - 100 if turn == 0 else percent
-        met = members.join(pivots, "region").filter((F.col("group") != F.col("of")) & _reach(least))
+        met = members.join(pivots, "region").filter((F.col("group") != F.col("of")) & _reach(least) & (F.lit(True) if turn == 0 else _alike(least)))
         near = met.select("region", F.col("node").alias("x"), "p", "n", "m", "most")
         near = keep(near, "met") if turn == 0 else near
         pairs = keep(_possible(keep(near.select("x", "p", "n", "m").distinct(), "distinct"), keys, least), "pairs")
@@ -285,13 +296,14 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
             after = _cells(members, pivots, near, within, keep)
         else:
             after = members.join(left, ["region", "node"], "left_anti")
-        after = keep(_grouped(after.select("region", "node", "n", "most", *(["p"] if turn == 0 else [])), groups), "after")
+        after = keep(_grouped(after.select("region", "node", "n", "most", "p" if turn == 0 else "parity"), groups), "after")
         open_regions = keep(_several(after, "group"), "several")
         if turn == 0:
             # Outer regions of one pivot that still hold several groups become one: copies share many first n-grams.
-            after = keep(after.join(open_regions, "region", "left_semi").select(F.col("p").alias("region"), "node", "n", "most", "group").distinct(), "merged")
+            left_over = after.join(open_regions, "region", "left_semi").select(F.col("p").alias("region"), "node", "n", "most", "group").distinct()
+            after = keep(left_over.join(keys.select("node", "parity").hint("merge"), "node"), "merged")
             open_regions = keep(_several(after, "group"), "several")
-        live = after.join(open_regions, "region", "left_semi").select("region", "node", "n", "most", "group")
+        live = after.join(open_regions, "region", "left_semi").select("region", "node", "n", "most", "group", "parity")
         sizes = keep(live.groupBy("region", "group").agg(F.count("*").alias("size")), "sizes")
         members = keep(live.join(sizes.hint("merge"), ["region", "group"]), "regions")
         if members.isEmpty():
@@ -334,14 +346,14 @@ def jaccard_groups(
     source = df.select(name(id_column).alias("id"), name(text).alias("text"))
     order = spark.sparkContext.broadcast(slot_order(source.select("text"), words))
     sketch, sketch_in = written(
-        source.mapInArrow(partial(_prefixes, words, percent, order), f"id {kind}, n long, digest binary, first int, keys array<long>"), "sketch"
+        source.mapInArrow(partial(_prefixes, words, percent, order), f"id {kind}, n long, digest binary, first int, keys array<long>, parity array<long>"), "sketch"
     )
     classes, classes_in = written(sketch.filter("n > 0").groupBy("digest").agg(F.min("id").alias("node")), "classes")
     nodes = sketch.filter("n > 0").join(
         classes.filter("node IS NOT NULL").select(F.col("digest").alias("d"), "node").hint("merge"),
         (F.col("digest") == F.col("d")) & (F.col("id") == F.col("node")),
     )
-    firsts, firsts_in = written(nodes.select("node", "n", "first", "keys"), "firsts")
+    firsts, firsts_in = written(nodes.select("node", "n", "first", "keys", "parity"), "firsts")
     spread = firsts.select("node", "n", "first", F.explode(F.slice("keys", 1, F.col("first"))).alias("region"))
     shared, shared_in = written(spread.groupBy("region").count().filter("count > 1").select("region"), "shared")
     # First n-grams without a region are in no other document: they cannot be common. The window holds one document's rows.
@@ -349,7 +361,7 @@ def jaccard_groups(
     regions = spread.join(shared.hint("merge"), "region", "left_semi").select(
         "region", "node", "n", (F.col("n") - F.col("first") + own).alias("most")
     )
-    groups, folders = linked_groups(regions, firsts.select("node", "keys"), lambda w: whole_sets(source, w, words), percent)
+    groups, folders = linked_groups(regions, firsts.select("node", "keys", "parity"), lambda w: whole_sets(source, w, words), percent)
     classed = sketch.select("id", "n", "digest").join(classes, "digest", "left")
     if groups is None:
         found = classed.withColumn("component", F.col("node"))
