@@ -255,9 +255,11 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
     folders: list[str] = []
     groups: DataFrame | None = None
     edges: DataFrame | None = None
+    passing: list[str] = []  # folders of a round that the next one does not read
+
     def keep(df: DataFrame, label: str) -> DataFrame:
         done, folder = written(df, label)
-        folders.append(folder)
+        (folders if label in ("measured", "grams", "groups", "regions") else passing).append(folder)
         return done
 
     members = keep(regions, "regions")
@@ -306,6 +308,8 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
         live = after.join(open_regions, "region", "left_semi").select("region", "node", "n", "most", "group", "parity")
         sizes = keep(live.groupBy("region", "group").agg(F.count("*").alias("size")), "sizes")
         members = keep(live.join(sizes.hint("merge"), ["region", "group"]), "regions")
+        discard(members.sparkSession, *passing)
+        passing.clear()
         if members.isEmpty():
             return groups, folders
         count, turn = count * GROWTH, turn + 1
