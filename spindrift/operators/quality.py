@@ -227,10 +227,15 @@ def rescue(raw: DataFrame, schema: Mapping[str, str]) -> DataFrame:
 # ---- monitoring -------------------------------------------------------------------------
 
 
+def null_safe_hash(columns):
+    """64-bit hash of a row that also tells where its NULLs stand; xxhash64 alone passes over them."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts of both sides, keys on one side only, duplicate keys and keys whose rows differ. One shuffle."""
     cols = [c for c in a.columns if c not in keys]
-    digest = F.xxhash64(*[F.col(c) for c in cols]) if cols else F.lit(0).cast("bigint")
+    digest = null_safe_hash(cols) if cols else F.lit(0).cast("bigint")
     # three sums of 22 bits: plain longs that stay in range for any number of copies
     parts = {f"_h{i}": F.shiftrightunsigned(digest, 22 * i).bitwiseAND(F.lit((1 << 22) - 1).cast("bigint")) for i in range(3)}
     both = a.select(*keys, *[p.alias(n) for n, p in parts.items()], F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
@@ -345,7 +350,7 @@ def drift(old: DataFrame, new: DataFrame, column: str, bins: int = 10) -> DataFr
 def fingerprint(df: DataFrame, predicate: str | None = None) -> DataFrame:
     """Row count and order-free content sum; equal before and after a rerun means nothing changed."""
     rows = df.filter(predicate) if predicate else df
-    digest = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    digest = null_safe_hash(df.columns).cast("decimal(38,0)")
     return rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum(digest).cast("string").alias("content_sum"))
 
 

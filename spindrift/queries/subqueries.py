@@ -100,7 +100,8 @@ def q05(spark, t):
 
 
 def pandas_tier(balance: pd.Series) -> pd.Series:
-    return pd.cut(balance, [-float("inf"), 2500, 7500, float("inf")], right=False, labels=["BRONZE", "SILVER", "GOLD"]).astype(str)
+    # a missing balance is the lowest tier, as in the other forms
+    return pd.cut(balance.fillna(-float("inf")), [-float("inf"), 2500, 7500, float("inf")], right=False, labels=["BRONZE", "SILVER", "GOLD"]).astype(str)
 
 
 @query("q06_pandas_udf", TIER)

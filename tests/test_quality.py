@@ -117,3 +117,16 @@ def test_profile_exact_and_sketch(rows):
     exact = {r["column_name"]: r["distinct_values"] for r in q.profile(rows, exact_distinct=True).collect()}
     sketch = {r["column_name"]: r["distinct_values"] for r in q.profile(rows).collect()}
     assert exact == sketch == {"id": 4, "amount": 3, "status": 3}
+
+
+def test_hash_tells_where_nulls_stand(spark):
+    rows = spark.createDataFrame([("x", None), (None, "x")], "a string, b string")
+    assert rows.select(q.null_safe_hash(["a", "b"]).alias("h")).distinct().count() == 2
+
+
+def test_pandas_tier_of_a_missing_balance():
+    import pandas as pd
+
+    from spindrift.queries.subqueries import pandas_tier
+
+    assert pandas_tier(pd.Series([None, 0.0, 2500.0, 7500.0])).tolist() == ["BRONZE", "BRONZE", "SILVER", "GOLD"]
