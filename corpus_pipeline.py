@@ -9,6 +9,9 @@ from spindrift.llm.rows import written
 from spindrift.session import prepare
 from spindrift.sources.tables import Tables
 
+#: What counts as a near copy here; the registered join has limits of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts, fitted on the labels of these documents; without labels all stay."""
@@ -24,8 +27,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked texts: the one with the least id. Rows without an id stay."""
-    groups = jaccard_join.jaccard_groups(docs)
+    """One document of each group of texts linked by runs of five words at 0.8 or more: the one with the least id. Rows without an id stay."""
+    groups = jaccard_join.jaccard_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
