@@ -29,7 +29,8 @@ TOKENIZER = "byte_bpe_50k.json"
 PIECE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?%(letter)s+| ?%(number)s+| ?%(other)s+|\s+(?!\S)|\s+"""
 COLUMNS = "n_tokens long, ids array<int>, exact boolean"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-_REMEMBERED = 300_000
+#: The most pieces, and the most pairs, that a worker remembers: about 60 MB in all.
+_REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -79,7 +80,7 @@ class Codec:
         self._matcher()
         self._offsets()
         self._patterns()
-        self.seen: dict[str, tuple[bytes, str]] = {}
+        self.seen: dict[str, bytes] = {}
         self.fits = _Pairs(self.compatible)
 
     def _pairs(self, merges: list) -> None:
@@ -112,6 +113,7 @@ class Codec:
         self.sizes = np.array([len(t) for t in ordered], dtype=np.int64)
         self.offsets = np.concatenate(([0], np.cumsum(self.sizes)))
         self.bytes = np.frombuffer(b"".join(ordered), dtype=np.uint8)
+        self.decimal = list(map(str, range(len(ordered))))
 
     def _patterns(self) -> None:
         """Pieces as the tokenizer library cuts them: characters newer than its Unicode tables are no letters or numbers."""
@@ -177,28 +179,24 @@ class Codec:
                 before = tokens[-1] if tokens else -1
         return tokens
 
-    def _remember(self, piece: str) -> tuple[bytes, str]:
-        ids = self.encode_piece(piece.encode())
-        found = array("I", ids).tobytes(), ",".join(map(str, ids))
+    def _remember(self, piece: str) -> bytes:
+        found = array("I", self.encode_piece(piece.encode())).tobytes()
         if len(piece) <= 40:
             if len(self.seen) >= _REMEMBERED:
                 self.seen.clear()
             self.seen[piece] = found
         return found
 
-    def _encoded(self, text: str) -> list[tuple[bytes, str]]:
-        """Ids as 32-bit numbers and in decimal form, piece by piece."""
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of the text as 32-bit numbers, found piece by piece."""
         out, get, add = [], self.seen.get, self._remember
         for part in self.marks.split(text) if self.marks and self.marks.search(text) else [text]:
             if part in self.special:
-                out.append((np.uint32(self.special[part]).tobytes(), str(self.special[part])))
+                out.append(np.uint32(self.special[part]).tobytes())
                 continue
             odd = not part.isascii() and self.late.search(part) and self.newer.search(part)
             out.extend([get(p) or add(p) for p in (self.careful if odd else self.pieces).findall(part)])
-        return out
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join([ids for ids, _ in self._encoded(text)]), dtype=np.uint32)
+        return np.frombuffer(b"".join(out), dtype=np.uint32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the ids: one gather by the offset table."""
@@ -209,10 +207,9 @@ class Codec:
         return self.bytes[at + np.arange(len(at))].tobytes()
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        encoded = self._encoded(text)
-        ids = np.frombuffer(b"".join([i for i, _ in encoded]), dtype=np.uint32)
+        ids = self.encode(text)
         back = self.decode(ids).decode("utf-8", "replace").encode()
-        written = ",".join([t for _, t in encoded]).encode()
+        written = ",".join(map(self.decimal.__getitem__, ids.tolist())).encode()
         return len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(back).hexdigest()
 
 

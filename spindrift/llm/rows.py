@@ -57,11 +57,15 @@ def add_columns(df: DataFrame, column: str, ddl: str, make: Callable[[], Callabl
     return source.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of about ``limit`` bytes, so that long texts do not pile up in a worker."""
+def slices(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``limit`` bytes, so that long texts do not pile up in a worker.
+
+    What Arrow has freed goes back to the system after each batch: workers live on between tasks, and executors share their memory.
+    """
     step = max(1, int(batch.num_rows * limit / max(limit, batch.nbytes)))
     for start in range(0, batch.num_rows, step):
         yield batch.slice(start, step)
+    pa.default_memory_pool().release_unused()
 
 
 class WordCodes:
