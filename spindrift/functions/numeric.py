@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def dec(col: str | Column, scale: int = 2, precision: int = 12) -> Column:
+def dec(col: str | Column, scale: int = 2, precision: int = 18) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return c.cast(f"decimal({precision},{scale})")
 

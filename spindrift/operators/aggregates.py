@@ -43,7 +43,7 @@ def merge_stats(state: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
 def read_stats(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean and sample deviation of running statistics, with the plain columns beside them."""
     n, s = F.col("n").cast("double"), F.col("total").cast("double")
-    spread = (F.col("n").cast("decimal(16,0)") * F.col("total_sq").cast("decimal(22,4)")).cast("double") - s * s
+    spread = (F.col("n").cast("decimal(16,0)") * F.col("total_sq").cast("decimal(38,4)")).cast("double") - s * s
     return stats.select(
         *keys,
         "n",
@@ -74,24 +74,16 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
     ])
 
 
-def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str = "items",
-         max_items: int = 10_000, salts: int = 64) -> DataFrame:
-    """Rows to sorted arrays of structs per key.
+def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], order: str, span: int, name: str = "items") -> DataFrame:
+    """Rows to sorted arrays of structs per key and ``part``.
 
-    A key within ``max_items`` rows gives one array. A larger key gives several rows,
-    numbered by ``part``, so that no array grows with the data.
+    Parts are equal stretches of the whole number ``order``, ``span`` wide, whatever the size of the key. Where it is unique,
+    no array holds more than ``span`` items. Rows without it make a part of their own, NULL.
     """
-    keys, fields = list(keys), list(fields)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > max_items)
-    sizes = sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                         F.ceil(F.col("_size") / F.lit(max_items)).cast("int").alias("_parts"))
-    match = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    spread = df.withColumn("_salt", row_salt(df, 1 << 30)).join(sizes, match, "left")
-    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.col("_salt"), F.col("_parts")))
-    arrays = spread.withColumn("part", part).groupBy(*keys, "part").agg(
+    part = F.floor(F.col(order) / F.lit(span)).cast("long")
+    return df.withColumn("part", part).groupBy(*keys, "part").agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias(name)
-    )
-    return arrays.select(*keys, "part", name)
+    ).select(*keys, "part", name)
 
 
 def pandas_aggregate(

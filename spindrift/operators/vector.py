@@ -12,22 +12,26 @@ QUERY_BLOCK = 1024
 
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int, *, query_id: str = "query_id", corpus_id: str = "vec_id",
-          vector: str = "embedding", max_queries: int = QUERY_BLOCK) -> DataFrame:
+          vector: str = "embedding", max_queries: int = QUERY_BLOCK, level: int = 0) -> DataFrame:
     """The ``k`` corpus vectors of largest cosine per query, ties to the smaller id.
 
     The queries are the small side: at most ``max_queries`` are shipped to the tasks at a
     time, checked before, and more are worked off in blocks by their hash. Each task
     scores Arrow batches by one matrix product and keeps ``k`` per query and batch, so
-    k x batches rows are shuffled, not queries x corpus.
+    k x batches rows are shuffled, not queries x corpus. Rows without an id or a vector are left out; of several
+    vectors of one query id the least counts. ``level`` is how often the queries were split into blocks.
     """
+    if not level:
+        queries = queries.filter(F.col(query_id).isNotNull() & F.col(vector).isNotNull()).groupBy(query_id).agg(F.min(vector).alias(vector))
+        corpus = corpus.filter(F.col(corpus_id).isNotNull() & F.col(vector).isNotNull())
     rows = queries.select(query_id, vector).limit(max_queries + 1).collect()  # never more than one block and a row
     if len(rows) <= max_queries:
         return _rank(_scores(rows, queries, corpus, k, query_id, corpus_id, vector), k, query_id, corpus_id)
     blocks = -(-queries.count() * 2 // max_queries)
     out = None
     for b in range(blocks):
-        part = queries.filter(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b)
-        one = top_k(part, corpus, k, query_id=query_id, corpus_id=corpus_id, vector=vector, max_queries=max_queries)
+        part = queries.filter(F.pmod(F.xxhash64(F.lit(level), query_id), F.lit(blocks)) == b)
+        one = top_k(part, corpus, k, query_id=query_id, corpus_id=corpus_id, vector=vector, max_queries=max_queries, level=level + 1)
         out = one if out is None else out.unionByName(one)
     return out
 

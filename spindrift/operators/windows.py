@@ -272,7 +272,7 @@ def trailing_stats(
     if value:
         n, s = F.col("_fc").cast("double"), F.col("_fs").cast("double")
         # n*q - s*s from exact sums
-        spread = (F.col("_fc").cast("decimal(16,0)") * F.col("_fq").cast("decimal(22,4)")).cast("double") - s * s
+        spread = (F.col("_fc").cast("decimal(16,0)") * F.col("_fq").cast("decimal(38,4)")).cast("double") - s * s
         some = F.col("_fc") > 0
         out[f"{prefix}_sum"] = F.when(some, s)
         out[f"{prefix}_avg"] = F.when(some, s / n)

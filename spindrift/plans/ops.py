@@ -48,9 +48,9 @@ def stale_objects(log: DataFrame, obj: str, ts: str, now: str, days: int) -> Dat
         obj, F.col("_last").cast("string").alias("last_access"))
 
 
-def share_extract(df: DataFrame, where: str, keys: Sequence[str], amount: str, least_rows: int) -> DataFrame:
-    """Filtered, aggregated and formatted copy for a partner; groups under ``least_rows`` are withheld."""
+def share_extract(df: DataFrame, where: str, keys: Sequence[str], amount: str) -> DataFrame:
+    """Filtered, aggregated and formatted copy for a partner."""
     return df.filter(where).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum(dec(amount)).alias("_sum"),
-    ).filter(F.col("row_count") >= least_rows).select(
+    ).select(
         *keys, "row_count", F.format_number(F.col("_sum").cast("decimal(28,2)"), 2).alias("amount_text"))

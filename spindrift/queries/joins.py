@@ -157,24 +157,18 @@ STRATEGIES = {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin", "shuff
 
 
 @query("jn13_strategy_matrix", """
-WITH r AS (SELECT COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS units FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
-SELECT strategy, operator, n, units FROM r,
+WITH r AS (SELECT COUNT(*) AS n, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT strategy, operator, n, balance FROM r,
  (VALUES ('broadcast', 'BroadcastHashJoin'), ('merge', 'SortMergeJoin'), ('shuffle_hash', 'ShuffledHashJoin')) AS s(strategy, operator)""")
 def jn13(spark, t):
-    """The same join by each hash or merge strategy, with the operator found in the plan."""
-    from spindrift.session import BROADCAST_LIMIT_BYTES, planned_bytes
-
-    small = t.supplier.select("s_suppkey")
+    """The same join by each hash or merge strategy, with the operator found in the plan; the side that is broadcast has a fixed list of keys."""
+    nations = t.nation.select("n_nationkey")
     out = None
-    for name, operator in STRATEGIES.items():
-        if name == "broadcast" and planned_bytes(small) > BROADCAST_LIMIT_BYTES:
-            name_hint = "merge"  # too large to broadcast
-        else:
-            name_hint = name
-        j = t.lineitem.select("l_suppkey", "l_quantity").join(small.hint(name_hint), F.col("l_suppkey") == F.col("s_suppkey"))
+    for name in STRATEGIES:
+        j = t.customer.select("c_nationkey", "c_acctbal").join(nations.hint(name), F.col("c_nationkey") == F.col("n_nationkey"))
         used = next((o for o in STRATEGIES.values() if o in operators_of(plan_text(j))), "other")
-        one = j.agg(F.count(F.lit(1)).alias("n"), F.sum(dec("l_quantity")).cast("double").alias("units")).select(
-            F.lit(name).alias("strategy"), F.lit(used).alias("operator"), "n", "units")
+        one = j.agg(F.count(F.lit(1)).alias("n"), F.sum(dec("c_acctbal")).cast("double").alias("balance")).select(
+            F.lit(name).alias("strategy"), F.lit(used).alias("operator"), "n", "balance")
         out = one if out is None else out.unionByName(one)
     return out
 

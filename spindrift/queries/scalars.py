@@ -188,10 +188,10 @@ def f09(spark, t):
 
 
 @query("f10_nest", """
-SELECT o_custkey, CAST(0 AS INTEGER) AS part, CAST(COUNT(*) AS INTEGER) AS n, string_agg(o_orderkey || ':' || o_orderstatus, ',' ORDER BY o_orderkey) AS items
-FROM orders GROUP BY 1""")
+SELECT o_custkey, o_orderkey // 10000 AS part, CAST(COUNT(*) AS INTEGER) AS n, string_agg(o_orderkey || ':' || o_orderstatus, ',' ORDER BY o_orderkey) AS items
+FROM orders GROUP BY 1, 2""")
 def f10(spark, t):
-    arrays = nest(t.orders.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderkey", "o_orderstatus"])
+    arrays = nest(t.orders.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderkey", "o_orderstatus"], "o_orderkey", 10_000)
     text = F.transform("items", lambda s: F.concat(s["o_orderkey"].cast("string"), F.lit(":"), s["o_orderstatus"]))
     return arrays.select("o_custkey", "part", F.size("items").alias("n"), F.array_join(text, ",").alias("items"))
 

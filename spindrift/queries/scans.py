@@ -56,7 +56,7 @@ def src02_multiline(spark, t):
 def src02_inferred(spark, t):
     path = new_dir(spark, "csv-inferred")
     t.customer.write.option("header", "true").csv(path)
-    back = files.read_csv(spark, path, samplingRatio="0.5")
+    back = files.read_csv(spark, path)
     return back.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").cast("bigint").alias("keys"))
 
 

@@ -90,6 +90,9 @@ def test_vector_blocks_agree(spark):
     one = vector.top_k(queries, corpus, 3).orderBy("query_id", "rank").collect()
     many = vector.top_k(queries, corpus, 3, max_queries=5).orderBy("query_id", "rank").collect()
     assert len(one) == 21 and [(r["query_id"], r["vec_id"]) for r in one] == [(r["query_id"], r["vec_id"]) for r in many]
+    repeated = queries.union(queries).union(spark.createDataFrame([(None, vec()), (9, None)], queries.schema))
+    again = vector.top_k(repeated, corpus.union(spark.createDataFrame([(99, None)], corpus.schema)), 3, max_queries=3)
+    assert [(r["query_id"], r["vec_id"]) for r in again.orderBy("query_id", "rank").collect()] == [(r["query_id"], r["vec_id"]) for r in one]
 
 
 POLICY = {"boss": RolePolicy(), "clerk": RolePolicy("dept = 'a'", {"pay": masks.redact}, columns=["id", "pay"])}

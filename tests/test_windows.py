@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
+from spindrift.functions.numeric import exact_sum
 from spindrift.operators.aggregates import exact_quantiles, merge_stats, nest, read_stats, running_stats
 from spindrift.operators.windows import (
     chunked_window, even_chunks, time_chunk, top_per_group, trailing_stats, value_chunk, value_ranks, with_group_values,
@@ -93,10 +94,23 @@ def test_merged_stats_equal_one_pass(rows):
     same(final(whole), final(merge_stats(merge_stats(parts[2], parts[0], ["k"]), parts[1], ["k"])))
 
 
-def test_nest_splits_large_groups(rows):
-    arrays = nest(rows.select("k", "id"), ["k"], ["id"], max_items=100).withColumn("n", F.size("items"))
-    total = {r["k"]: (r["n"], r["parts"]) for r in arrays.groupBy("k").agg(F.sum("n").alias("n"), F.count("part").alias("parts")).collect()}
-    assert total["hot"][0] == 600 and total["hot"][1] > 1 and total["cold"][1] == 1 and total[None][0] == 14
+def test_nest_parts_follow_the_order_alone(rows, spark):
+    arrays = nest(rows.select("k", "id"), ["k"], ["id"], "id", 100).withColumn("n", F.size("items"))
+    assert {r["k"]: r["n"] for r in arrays.groupBy("k").agg(F.sum("n").alias("n")).collect()}["hot"] == 600
+    assert arrays.agg(F.max("n")).first()[0] <= 100
+    # one item over a stretch, and a single row far up: the same numbering at every size
+    many = spark.range(10_001).selectExpr("'a' AS k", "id").union(spark.sql("SELECT 'b', 25000L"))
+    parts = nest(many, ["k"], ["id"], "id", 10_000).select("k", "part", F.size("items")).collect()
+    assert sorted(map(tuple, parts)) == [("a", 0, 10_000), ("a", 1, 1), ("b", 2, 1)]
+
+
+def test_large_amounts_have_moments(spark):
+    rows = spark.range(2000).select(F.lit("a").alias("k"), F.lit(5e7).alias("v"), F.timestamp_seconds("id").alias("ts"), "id")
+    last = trailing_stats(rows, ["k"], "ts", "v", 3600, prefix="p").orderBy(F.desc("id")).first()
+    assert (last["p_n"], last["p_avg"], last["p_stddev"]) == (2000, 5e7, 0.0)
+    final = read_stats(running_stats(rows, ["k"], "v", "ts", "id"), ["k"]).first()
+    assert (final["mean_value"], final["stddev_value"]) == (5e7, 0.0)
+    assert spark.sql("SELECT 2e10 AS v").agg(exact_sum("v")).first()[0] == 2e10
 
 
 def test_group_values_and_top_k(rows):
