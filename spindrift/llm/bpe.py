@@ -29,8 +29,8 @@ TOKENIZER = "byte_bpe_50k.json"
 PIECE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?%(letter)s+| ?%(number)s+| ?%(other)s+|\s+(?!\S)|\s+"""
 COLUMNS = "n_tokens long, ids array<int>, exact boolean"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: The most pieces, and the most pairs, that a worker remembers: about 60 MB in all.
-_REMEMBERED = 200_000
+#: The most pieces, and the most pairs, that a worker remembers: about 90 MB in all.
+_REMEMBERED = 300_000
 
 
 def byte_letters() -> dict[str, int]:
