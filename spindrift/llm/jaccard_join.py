@@ -182,8 +182,12 @@ def whole_sets(source: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
 
 def _reach(least: int) -> Column:
-    """Whether two sets can have a similarity of ``least`` percent, by their sizes and by what each shares with any other set."""
-    return F.least("most", "p_most") * (100 + least) >= (F.col("n") + F.col("m")) * least
+    """Whether two sets can have a similarity of ``least`` percent, by their sizes and by their first n-grams.
+
+    Only the set whose first n-grams end earlier is sure to find all that it shares of them among the first of the other, so the
+    larger of the two counts is the bound.
+    """
+    return F.least("n", "m", F.greatest("most", "p_most")) * (100 + least) >= (F.col("n") + F.col("m")) * least
 
 
 def _alike(least: int) -> Column:
@@ -247,7 +251,7 @@ def _pivots(members: DataFrame, count: int, turn: int) -> DataFrame:
 
 def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) -> tuple[DataFrame | None, list[str]]:
     """(node, component) of linked nodes, for the members (region, node, n, most) of first regions; ``most`` is how many n-grams
-    of the node can be common with any other.
+    of the node can be common with one whose first n-grams end no earlier.
 
     ``keys`` holds the first n-grams and sketches (node, keys, parity), ``sets_of`` gives the whole sets of nodes.
     """
@@ -360,7 +364,8 @@ def jaccard_groups(
     firsts, firsts_in = written(nodes.select("node", "n", "first", "keys", "parity"), "firsts")
     spread = firsts.select("node", "n", "first", F.explode(F.slice("keys", 1, F.col("first"))).alias("region"))
     shared, shared_in = written(spread.groupBy("region").count().filter("count > 1").select("region"), "shared")
-    # First n-grams without a region are in no other document: they cannot be common. The window holds one document's rows.
+    # First n-grams without a region are in no document whose first n-grams end later; another may hold them beyond its first ones.
+    # The window holds one document's rows.
     own = F.count("*").over(Window.partitionBy("node"))
     regions = spread.join(shared.hint("merge"), "region", "left_semi").select(
         "region", "node", "n", (F.col("n") - F.col("first") + own).alias("most")
