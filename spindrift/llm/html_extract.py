@@ -7,6 +7,7 @@ own where it has none.
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
 from collections.abc import Iterator
@@ -41,6 +42,9 @@ MARKS = frozenset(
     "reply replies widget widgets toolbar pagination pager search skip complementary contentinfo dialog hidden form".split()
 )
 COMMENTS = frozenset("comment comments commentlist reply replies respond".split())
+#: First and last words of a class or id that state a layout (no-sidebar, comments-open) instead of naming a part.
+STATES_FIRST, STATES_LAST = frozenset("has no with without".split()), frozenset("open closed enabled disabled".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 HEADINGS = frozenset({"h1"})
 PATH_STEPS = 6
 
@@ -53,7 +57,10 @@ def steps_of(attributes: str) -> tuple[str, frozenset[str], bool]:
         if key == "class" and value.split():
             first = re.sub(r"\d+", "", value.split()[0].lower())
         if key in ("class", "id", "role"):
-            parts.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()))
+            for token in value.split():
+                named = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", token).lower())
+                if len(named) < 2 or named[0] not in STATES_FIRST and named[-1] not in STATES_LAST:
+                    parts.update(named)
         hidden |= key == "hidden" or key == "aria-hidden" and value.lower() == "true"
         hidden |= key == "style" and "display:none" in value.replace(" ", "").lower()
     return first, frozenset(parts), hidden
@@ -67,28 +74,28 @@ class Page:
         self.semantic: list[int] = []       # by container: 2 article, 1 main, 0 else
         self.parents: list[int] = []        # by container
         self.blocks: list[tuple[int, str, int, bool]] = []  # container, text, characters within links, first heading
+        self.marks: list[tuple[int, bool]] = []  # by marked element: marked one around, whether of comments
+        self.marked: list[int] = []         # by container: marked element it is or lies in
+        self.pieces: list[tuple[int, list[tuple[str, int, bool]], bool]] = []  # container, (text, marked element, link), first heading
         self._read(source)
+        self._settle()
 
     def _read(self, source: str) -> None:
-        # Open elements: tag, container it makes or -1, container around, dropped, link, path, header
-        stack: list[tuple[str, int, int, bool, bool, str, bool]] = []
-        text: list[str] = []
-        linked = 0
-        container, dropped, link, path, header, heading = -1, False, False, "", False, False
+        # Open elements: tag, container it makes or -1, container around, dropped, link, path, header, marked element
+        stack: list[tuple[str, int, int, bool, bool, str, bool, int]] = []
+        text: list[tuple[str, int, bool]] = []
+        container, dropped, link, path, header, heading, mark = -1, False, False, "", False, False, -1
 
         def flush() -> None:
-            nonlocal linked
             if text:
-                if body := " ".join(entities.unescape("".join(text)).split()):
-                    self.blocks.append((container, body, linked, heading))
+                self.pieces.append((container, text.copy(), heading))
                 text.clear()
-            linked = 0
 
         def close(depth: int) -> None:
-            nonlocal container, dropped, link, path, header, heading
+            nonlocal container, dropped, link, path, header, heading, mark
             if any(e[0] in BLOCKS for e in stack[depth:]):
                 flush()
-            _, _, container, dropped, link, path, header = stack[depth]
+            _, _, container, dropped, link, path, header, mark = stack[depth]
             heading = heading and not any(e[0] in HEADINGS for e in stack[depth:])
             del stack[depth:]
 
@@ -96,11 +103,10 @@ class Page:
         while position < size:
             found = TOKEN.search(source, position)
             end = found.start() if found else size
+            if stack and stack[-1][0] == "head" and source[position:end].strip():
+                close(len(stack) - 1)
             if end > position and not dropped and (not header or heading):
-                piece = source[position:end]
-                text.append(piece)
-                if link:
-                    linked += len(piece)
+                text.append((source[position:end], mark, link))
             if not found:
                 break
             position = found.end()
@@ -114,6 +120,10 @@ class Page:
                 elif tag in BLOCKS:
                     flush()
                 continue
+            if tag not in IN_HEAD:  # the end tag of a head is optional
+                depth = next((i for i, e in enumerate(stack) if e[0] == "head"), -1) if dropped else -1
+                if depth >= 0:
+                    close(depth)
             if tag in RAW:
                 ended = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, position)
                 position = ended.end() if ended else size
@@ -136,11 +146,15 @@ class Page:
             if tag in VOID or found[3].endswith("/") and tag not in BLOCKS:
                 continue
             first, parts, hidden = steps_of(found[3]) if found[3].strip() else ("", frozenset(), False)
-            before = (tag, -1, container, dropped, link, path, header)
+            before = (tag, -1, container, dropped, link, path, header, mark)
             inside = any(self.semantic[c] for c in self._around(container))
             marked = parts & (COMMENTS if tag == "article" else MARKS)
-            if tag not in ("html", "body", "main") and (tag in DROPPED or marked or hidden):
-                dropped = True
+            if tag not in ("html", "body", "main"):
+                if tag in DROPPED or hidden:
+                    dropped = True
+                elif marked:
+                    self.marks.append((mark, bool(parts & COMMENTS)))
+                    mark = len(self.marks) - 1
             if tag == "header" or tag not in ("html", "body", "main", "article") and "header" in parts:
                 header, dropped = True, dropped or not inside
             if tag in HEADINGS:
@@ -151,11 +165,76 @@ class Page:
                 self.paths.append(path)
                 self.semantic.append(2 if tag == "article" else 1 if tag == "main" or "main" in parts and tag == "div" else 0)
                 self.parents.append(container)
+                self.marked.append(mark)
                 before = (tag, len(self.paths) - 1, *before[2:])
                 container = len(self.paths) - 1
             stack.append(before)
         flush()
 
+    def _settle(self) -> None:
+        """Blocks of what is kept. A marked element goes, unless it turns out to wrap the page: no article shows outside of it, and it
+        holds most of the page's text, or the only article or main with text. Comments always go."""
+        split: list[tuple[int, bool, dict[int, list]]] = []
+        for container, pieces, heading in self.pieces:
+            of: dict[int, list] = {}
+            for piece in pieces:
+                of.setdefault(piece[1], []).append(piece)
+            split.append((container, heading, of))
+        kept = {-1} | (self._wrappers(split) if self.marks else set())
+        for (container, pieces, heading), (_, _, of) in zip(self.pieces, split):
+            own = [p for p in pieces if p[1] in kept] if len(of) > 1 or not kept.issuperset(of) else pieces
+            if body := " ".join(entities.unescape("".join(p[0] for p in own)).split()):
+                self.blocks.append((container, body, sum(len(p[0]) for p in own if p[2]), heading))
+        self.pieces.clear()
+
+    def _wrappers(self, split: list[tuple[int, bool, dict[int, list]]]) -> set[int]:
+        count = len(self.marks)
+        texts = [0] * (count + 1)                            # by marked element, the last outside of all: text without comments
+        shown: list[dict[int, int]] = [{} for _ in range(count + 1)]  # its own text alone: by kind of semantic container around
+        holds = [False] * (count + 1)                        # whether an article or main with text lies within
+        filled: set[int] = set()
+        talk = [False] * (count + 1)                         # whether within comments
+        for mark, (around, comments) in enumerate(self.marks):
+            talk[mark] = comments or talk[around]
+        kinds: list[int] = []                                # by container: 2 within an article, 1 within main, 0 else
+        for container, parent in enumerate(self.parents):
+            kinds.append(max(self.semantic[container], kinds[parent] if parent >= 0 else 0))
+        for container, _, of in split:
+            for mark, pieces in of.items():
+                size = sum(len(" ".join(t.split())) * (-1 if link else 1) for t, _, link in pieces)
+                if size > 0 and not talk[mark]:
+                    texts[mark] += size
+                    kind = kinds[container] if container >= 0 else 0
+                    shown[mark][kind] = shown[mark].get(kind, 0) + size
+                    at = container
+                    while at >= 0 and at not in filled:
+                        filled.add(at)
+                        if self.semantic[at]:
+                            holds[self.marked[at]] = True
+                        at = self.parents[at]
+        inner: dict[int, list[int]] = {}
+        for mark in range(count - 1, -1, -1):  # marked elements come after the ones they lie in
+            around, comments = self.marks[mark]
+            inner.setdefault(around, []).append(mark)
+            if not comments:
+                texts[around] += texts[mark]
+                holds[around] |= holds[mark]
+        kept: set[int] = set()
+        seen = dict(shown[-1])
+        open_marks = [(-texts[m], m) for m in inner.get(-1, [])]
+        heapq.heapify(open_marks)
+        while open_marks:
+            _, mark = heapq.heappop(open_marks)
+            most = 2 * texts[mark] > texts[-1]
+            if self.marks[mark][1] or seen.get(2) or not (most or holds[mark] and not seen.get(1)):
+                continue
+            kept.add(mark)
+            for kind, size in shown[mark].items():
+                seen[kind] = seen.get(kind, 0) + size
+            for m in inner.get(mark, []):
+                heapq.heappush(open_marks, (-texts[m], m))
+        return kept
+
     def _around(self, container: int) -> Iterator[int]:
         while container >= 0:
             yield container
