@@ -2,7 +2,7 @@
 
 First every page names its own best container and what it weighs; Spark sums the votes of a host by generalised path (tags and
 first class without digits). Then every page is cut again at the container with the host's path, and falls back on its
-own where it has none.
+own where it has none, or one with little of the page's text (a host may have several templates).
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ STATES_FIRST, STATES_LAST = frozenset("has no with without".split()), frozenset(
 IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 HEADINGS = frozenset({"h1"})
 PATH_STEPS = 6
+#: Share of the weight of a page's own best container that those with the host's path must have.
+HOST_SHARE = 0.5
 
 
 def steps_of(attributes: str) -> tuple[str, frozenset[str], bool]:
@@ -264,11 +266,15 @@ class Page:
         return at, own[at]
 
     def text(self, path: str | None) -> str:
-        """Blocks in the containers with ``path``, or in the page's own best one, and the first heading before them."""
+        """Blocks in the containers with ``path`` if they hold HOST_SHARE of the text of the page's own best one, else in that one, and
+        the first heading before them."""
         chosen = {i for i, p in enumerate(self.paths) if path and p == path}
+        at, weight = self.best()
         own = self.weights() if chosen else None
-        if not chosen or not any(own[c] > 0 for c in chosen):
-            chosen = {self.best()[0]}
+        outermost = [c for c in chosen if not chosen.intersection(self._around(self.parents[c]))]
+        share = sum(own[c] for c in outermost)
+        if share <= 0 or share < HOST_SHARE * weight:
+            chosen = {at}
         if -1 in chosen:
             return " ".join(body for _, body, _, _ in self.blocks)
         within = [False] * (len(self.paths) + 1)
