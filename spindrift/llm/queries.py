@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spindrift.llm import bpe, exact_dedup, html_extract, jaccard_join, mixing, quality_classifier, quality_rules, url_filter, warc, word_pieces
+from spindrift.llm import (
+    bpe, decontamination, exact_dedup, html_extract, jaccard_join, mixing, periodic_runs, quality_classifier, quality_rules, url_filter, warc, whitening,
+    word_pieces,
+)
 from spindrift.session import prepare
 from spindrift.sources.tables import Tables
 
@@ -81,3 +84,20 @@ def op10(t: Tables) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reason", "lost_words"
     )
+
+
+@_query("op11_whitening")
+def op11(t: Tables) -> DataFrame:
+    return whitening.whitened(t.embeddings)
+
+
+@_query("op12_decontamination", decontamination.CONTAMINATION_SQL)
+def op12(t: Tables) -> DataFrame:
+    found = decontamination.contamination(t.documents, t.benchmark)
+    digest = F.sha2(F.concat_ws(",", "items"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+@_query("op13_periodic_runs")
+def op13(t: Tables) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(t.documents, rewrite=periodic_runs.repeat_tail))
