@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 from spindrift.llm.rows import lower_ascii, name, slices, written
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.DOTALL
+    # a quote opens a value only after "=", and only if it is closed somewhere; a value may hold < and >
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=<]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)>""", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
@@ -41,6 +42,14 @@ MARKS = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments commentlist disqus respond "
     "reply replies widget widgets toolbar pagination pager search skip complementary contentinfo dialog hidden form".split()
 )
+#: Words beside a mark in an id that still name a part (ad-slot, related-posts); with any other word the id names a subject (share-prices).
+ID_PLAIN = frozenset(
+    "area articles bar block bottom box buttons container icons info inner items law left links list message outer page panel posts primary right "
+    "row secondary section site slot stories tools top unit wrap wrapper".split()
+)
+#: Elements that hold text of the article itself: only a class that is a mark as a whole, of these, drops one.
+CONTENT = frozenset("p table blockquote pre ul ol dl figure h1 h2 h3 h4 h5 h6".split())
+CONTENT_MARKS = MARKS - frozenset("alert dialog form menu notice notices rail reply search skip social toolbar widget widgets".split())
 COMMENTS = frozenset("comment comments commentlist reply replies respond".split())
 #: First and last words of a class or id that state a layout (no-sidebar, comments-open) instead of naming a part.
 STATES_FIRST, STATES_LAST = frozenset("has no with without".split()), frozenset("open closed enabled disabled".split())
@@ -49,10 +58,17 @@ HEADINGS = frozenset({"h1"})
 PATH_STEPS = 6
 #: Share of the weight of a page's own best container that those with the host's path must have.
 HOST_SHARE = 0.5
+#: Shares of the text that a container must hold to be gone down into: plain, article or main, and one with short blocks beside it.
+NEARLY, HALF, MOST = 0.9, 0.5, 0.6
+#: Characters from which a block may be prose.
+PROSE = 60
+
 
+def steps_of(attributes: str, tag: str = "div") -> tuple[str, frozenset[str], bool]:
+    """First class without digits, the parts of class, id and role that may mark the element, and whether it is hidden.
 
-def steps_of(attributes: str) -> tuple[str, frozenset[str], bool]:
-    """First class without digits, the parts of class, id and role, and whether the element is hidden."""
+    An id counts if it is made of marks and plain words alone, and never for an element of text; of the classes of those only whole ones that are marks count.
+    """
     first, parts, hidden = "", set(), False
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values)
@@ -61,6 +77,10 @@ def steps_of(attributes: str) -> tuple[str, frozenset[str], bool]:
         if key in ("class", "id", "role"):
             for token in value.split():
                 named = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", token).lower())
+                if tag in CONTENT and (key == "id" or len(named) > 1 or not CONTENT_MARKS.issuperset(named)):
+                    continue
+                if key == "id" and not (MARKS | ID_PLAIN | STATES_FIRST | STATES_LAST | {"main", "header", ""}).issuperset(named):
+                    continue
                 if len(named) < 2 or named[0] not in STATES_FIRST and named[-1] not in STATES_LAST:
                     parts.update(named)
         hidden |= key == "hidden" or key == "aria-hidden" and value.lower() == "true"
@@ -85,7 +105,11 @@ class Page:
     def _read(self, source: str) -> None:
         # Open elements: tag, container it makes or -1, container around, dropped, link, path, header, marked element
         stack: list[tuple[str, int, int, bool, bool, str, bool, int]] = []
+        places: dict[str, list[int]] = {}   # by tag: where it is open in the stack
+        ends: list[int] = []                # where elements that end a paragraph are open
+        last = lambda tags: max((places[t][-1] for t in tags if places.get(t)), default=-1)
         text: list[tuple[str, int, bool]] = []
+        within: list[bool] = []             # by container: whether it is or lies in a semantic one
         container, dropped, link, path, header, heading, mark = -1, False, False, "", False, False, -1
 
         def flush() -> None:
@@ -98,6 +122,10 @@ class Page:
             if any(e[0] in BLOCKS for e in stack[depth:]):
                 flush()
             _, _, container, dropped, link, path, header, mark = stack[depth]
+            for e in stack[depth:]:
+                places[e[0]].pop()
+            while ends and ends[-1] >= depth:
+                ends.pop()
             heading = heading and not any(e[0] in HEADINGS for e in stack[depth:])
             del stack[depth:]
 
@@ -116,14 +144,14 @@ class Page:
             if not tag:
                 continue
             if found[1]:
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
+                depth = last((tag,))
                 if depth >= 0:
                     close(depth)
                 elif tag in BLOCKS:
                     flush()
                 continue
             if tag not in IN_HEAD:  # the end tag of a head is optional
-                depth = next((i for i, e in enumerate(stack) if e[0] == "head"), -1) if dropped else -1
+                depth = places["head"][0] if dropped and places.get("head") else -1
                 if depth >= 0:
                     close(depth)
             if tag in RAW:
@@ -134,22 +162,16 @@ class Page:
                 continue
             if tag in BLOCKS:
                 if tag in ENDS_PARAGRAPH:
-                    depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ENDS_PARAGRAPH), -1)
-                    if depth >= 0 and stack[depth][0] == "p":
-                        close(depth)
-                if tag in CLOSES:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] in SCOPES[tag]:
-                            break
-                        if stack[i][0] in CLOSES[tag]:
-                            close(i)
-                            break
+                    if ends and stack[ends[-1]][0] == "p":
+                        close(ends[-1])
+                if tag in CLOSES and last(CLOSES[tag]) > last(SCOPES[tag]):
+                    close(last(CLOSES[tag]))
                 flush()
             if tag in VOID or found[3].endswith("/") and tag not in BLOCKS:
                 continue
-            first, parts, hidden = steps_of(found[3]) if found[3].strip() else ("", frozenset(), False)
+            first, parts, hidden = steps_of(found[3], tag) if found[3].strip() else ("", frozenset(), False)
             before = (tag, -1, container, dropped, link, path, header, mark)
-            inside = any(self.semantic[c] for c in self._around(container))
+            inside = container >= 0 and within[container]
             marked = parts & (COMMENTS if tag == "article" else MARKS)
             if tag not in ("html", "body", "main"):
                 if tag in DROPPED or hidden:
@@ -167,9 +189,13 @@ class Page:
                 self.paths.append(path)
                 self.semantic.append(2 if tag == "article" else 1 if tag == "main" or "main" in parts and tag == "div" else 0)
                 self.parents.append(container)
+                within.append(inside or bool(self.semantic[-1]))
                 self.marked.append(mark)
                 before = (tag, len(self.paths) - 1, *before[2:])
                 container = len(self.paths) - 1
+            places.setdefault(tag, []).append(len(stack))
+            if tag in ENDS_PARAGRAPH:
+                ends.append(len(stack))
             stack.append(before)
         flush()
 
@@ -185,7 +211,7 @@ class Page:
         kept = {-1} | (self._wrappers(split) if self.marks else set())
         for (container, pieces, heading), (_, _, of) in zip(self.pieces, split):
             own = [p for p in pieces if p[1] in kept] if len(of) > 1 or not kept.issuperset(of) else pieces
-            if body := " ".join(entities.unescape("".join(p[0] for p in own)).split()):
+            if body := " ".join("".join(entities.unescape(p[0]) for p in own).split()):
                 self.blocks.append((container, body, sum(len(p[0]) for p in own if p[2]), heading))
         self.pieces.clear()
 
@@ -237,11 +263,6 @@ class Page:
                 heapq.heappush(open_marks, (-texts[m], m))
         return kept
 
-    def _around(self, container: int) -> Iterator[int]:
-        while container >= 0:
-            yield container
-            container = self.parents[container]
-
     def weights(self) -> list[float]:
         """Text of each container with all it holds: its characters, those in links taken off twice."""
         own = [0.0] * (len(self.paths) + 1)
@@ -252,15 +273,27 @@ class Page:
         return own
 
     def best(self) -> tuple[int, float]:
-        """The page's own container: down from the top into whatever holds most of the text, at an article at the latest."""
+        """The page's own container: down from the top into the one that holds nearly all of the text, at an article at the latest.
+
+        An article or main may leave half of it outside; any other may leave more than a tenth only if that is mostly in blocks too short for
+        prose, as lists of links and captions are. Else what lies beside it belongs to the story too.
+        """
         own = self.weights()
+        prose = [0.0] * (len(self.paths) + 1)
+        for container, body, linked, _ in self.blocks:
+            prose[container] += max(0, len(body) - 2 * linked) if len(body) >= PROSE else 0
         inner: dict[int, list[int]] = {}
-        for container, parent in enumerate(self.parents):
-            inner.setdefault(parent, []).append(container)
+        for container in range(len(self.paths) - 1, -1, -1):
+            prose[self.parents[container]] += prose[container]
+            inner.setdefault(self.parents[container], []).append(container)
         at = -1
         while not (at >= 0 and self.semantic[at] == 2):
             down = max(inner.get(at, []), key=lambda c: (own[c] * (1 + self.semantic[c]), -c), default=-1)
-            if down < 0 or own[down] * (1 + self.semantic[down]) < 0.6 * own[at] or own[down] <= 0:
+            if down < 0 or own[down] <= 0:
+                break
+            share = own[down] / own[at]
+            short = prose[at] - prose[down] < HALF * (own[at] - own[down])
+            if not (share >= (HALF if self.semantic[down] else NEARLY) or short and share >= MOST):
                 break
             at = down
         return at, own[at]
@@ -271,8 +304,11 @@ class Page:
         chosen = {i for i, p in enumerate(self.paths) if path and p == path}
         at, weight = self.best()
         own = self.weights() if chosen else None
-        outermost = [c for c in chosen if not chosen.intersection(self._around(self.parents[c]))]
-        share = sum(own[c] for c in outermost)
+        covered = [False] * (len(self.paths) + 1)  # by container: whether one around it is chosen
+        share = 0.0
+        for c, parent in enumerate(self.parents):
+            covered[c] = parent >= 0 and (parent in chosen or covered[parent])
+            share += own[c] if c in chosen and not covered[c] else 0.0
         if share <= 0 or share < HOST_SHARE * weight:
             chosen = {at}
         if -1 in chosen:
