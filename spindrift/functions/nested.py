@@ -50,12 +50,8 @@ def with_ingest_metadata(df: DataFrame, source: str, batch_id: str, ts: str) ->
     })
 
 
-def dense_ids(df: DataFrame, order: Sequence[str], chunk: Column, name: str = "id") -> DataFrame:
-    """Consecutive ids 1..n in the given total order, without one task sorting everything.
-
-    ``chunk`` rises with ``order`` and cuts the table into pieces that fit a task.
-    """
+def dense_ids(df: DataFrame, order: Sequence[str], name: str = "id", hot_rows: int | None = None) -> DataFrame:
+    """Consecutive ids 1..n in the given total order. More than ``hot_rows`` rows are cut into ranges, so that no task sorts everything."""
     from spindrift.operators.windows import chunked_window
 
-    one = df.withColumn("_all", F.lit(0))
-    return chunked_window(one, ["_all"], order, chunk, row_number=name).drop("_all")
+    return chunked_window(df, [], order, hot_rows=hot_rows, row_number=name)

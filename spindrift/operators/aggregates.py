@@ -58,14 +58,14 @@ def read_stats(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float],
-                    chunk: Column) -> DataFrame:
-    """Discrete quantiles without holding a group: count equal values, sum upwards in chunks, pick.
+                    hot_rows: int | None = None) -> DataFrame:
+    """Discrete quantiles without holding a group: count equal values, sum upwards (in ranges beyond ``hot_rows`` values of a key), pick.
 
     Each quantile is the smallest value whose cumulative share reaches the probability.
     """
     keys = list(keys)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_copies"))
-    sums = chunked_window(counted, keys, [value], chunk, running={"_upto": "_copies"})
+    sums = chunked_window(counted, keys, [value], hot_rows=hot_rows, running={"_upto": "_copies"})
     totals = counted.groupBy(*keys).agg(F.sum("_copies").alias("_all"))
     joined = sums.join(totals, keys)
     return joined.groupBy(*keys).agg(*[

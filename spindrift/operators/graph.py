@@ -32,6 +32,15 @@ def impact(edges: DataFrame, starts: DataFrame, **kw) -> DataFrame:
     return reach(edges, starts, **kw)
 
 
+def lineage_edges(edges: DataFrame, starts: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """The edges behind an impact, whatever they bear (columns, transformations), with ``depth``: how far from the starts each begins.
+
+    ``starts`` holds a column ``node``. An edge belongs to the impact if its source is reached, which every edge out of a reached node is.
+    """
+    at = reach(edges, starts, src, dst).withColumnRenamed("node", "_node")
+    return edges.join(at, F.col(src) == F.col("_node")).drop("_node")
+
+
 def upstream(edges: DataFrame, ends: DataFrame, src: str = "src", dst: str = "dst", **kw) -> DataFrame:
     """Everything the ends depend on."""
     return reach(edges, ends, src=dst, dst=src, **kw)
@@ -87,31 +96,44 @@ def ring_tier(links: DataFrame, tiers: Mapping[int, str], column: str = "link_co
     return links.withColumn("risk_category", label).filter(F.col("risk_category").isNotNull())
 
 
+#: Edges that a task of ``components`` takes at least, and the tasks that even a small graph gets.
+EDGES_PER_TASK, LEAST_TASKS = 200_000, 4
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components as (node, component), the component being its least node.
 
     Alternates large-star and small-star rounds (Kiveris et al., 2014): every round links
     nodes to the least neighbour known, which needs few rounds even on long chains. The
     least neighbour is an aggregate joined back, so the edges of a hub may be split over
-    tasks. Each round is checkpointed; the rounds end when one changes no edge.
+    tasks. Each round is checkpointed; the rounds end when every node hangs on a root. The steps of a small graph run in few tasks,
+    as many as its edges need, whatever the number of shuffle partitions.
     """
     linked = cut_lineage(edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).distinct())
-    nodes = linked.select(F.col("u").alias("node")).union(linked.select("v")).distinct()
-    e = linked.filter("u <> v")
+    tasks = max(LEAST_TASKS, -(-linked.count() // EDGES_PER_TASK))
+
+    def packed(df: DataFrame) -> DataFrame:
+        return df.coalesce(tasks)
+
+    nodes = packed(linked.select(F.col("u").alias("node")).union(linked.select("v"))).distinct()
+    e = packed(linked.filter("u <> v"))
     while True:
         # large star: every larger neighbour moves to the least of the node and its neighbours
-        both = e.select(F.col("u").alias("n"), F.col("v").alias("m")).union(e.select(F.col("v"), F.col("u")))
+        both = packed(e.select(F.col("u").alias("n"), F.col("v").alias("m")).union(e.select(F.col("v"), F.col("u"))))
         least = both.groupBy("n").agg(F.min("m").alias("_m")).select("n", F.least("n", "_m").alias("least"))
-        large = both.filter("m > n").join(least, "n").select(F.col("m").alias("u"), F.col("least").alias("v")).distinct()
+        large = packed(both.filter("m > n").join(least, "n").select(F.col("m").alias("u"), F.col("least").alias("v")).filter("u <> v")).distinct()
         # small star: smaller neighbours and the node itself move to the least smaller neighbour
-        low = large.filter("u <> v").groupBy("u").agg(F.min("v").alias("least"))
-        moved = large.filter("u <> v").join(low, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        after = cut_lineage(moved.filter("u <> v").union(low.select("u", F.col("least"))).distinct())
-        # stars on both sides: an edge of one that the other lacks shows up in either direction
-        if after.join(e, ["u", "v"], "left_anti").isEmpty() and e.join(after, ["u", "v"], "left_anti").isEmpty():
+        large = packed(large)
+        low = large.groupBy("u").agg(F.min("v").alias("least"))
+        moved = large.join(low, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        after = packed(moved.filter("u <> v").union(low.select("u", F.col("least"))))
+        e = packed(cut_lineage(packed(after.distinct())))
+        # done when each u has one v and no v is a u
+        ends = e.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+        open_ends = packed(ends).groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR up = 1 AND down = 1")
+        if open_ends.isEmpty():
             break
-        e = after
-    labels = e.groupBy("u").agg(F.min("v").alias("component"))
+    labels = e.select("u", F.col("v").alias("component"))
     return nodes.join(labels, F.col("node") == F.col("u"), "left").select(
         "node", F.coalesce("component", "node").alias("component")
     )

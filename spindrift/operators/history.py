@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spindrift.operators.merge import insert_all, merge, update_all
+from spindrift.operators.merge import AmbiguousMerge, insert_all, merge, update_all
 from spindrift.operators.windows import chunked_window
 
 INSERT, PRE, POST, DELETE = "insert", "update_preimage", "update_postimage", "delete"
@@ -39,9 +39,13 @@ def scd2(dim: DataFrame, snapshot: DataFrame, keys: Sequence[str], tracked: Sequ
     """Type 2 from a snapshot: close changed current rows, open their new versions, insert new keys.
 
     Closed rows pass through without a shuffle. The outcome depends on its arguments
-    only, so a second run with the same snapshot and date changes nothing.
+    only, so a second run with the same snapshot and date changes nothing. A key that the snapshot holds more than once, which
+    would have two current versions, is an error, found in a job of its own; rows without a whole key match nothing and are new versions.
     """
     keys = list(keys)
+    doubled = snapshot.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    if not doubled.isEmpty():
+        raise AmbiguousMerge(f"several snapshot rows for one key, keys {keys}")
     closed = dim.filter(~F.col(flag))
     live = dim.filter(F.col(flag)).withColumn("_live", F.lit(True)).alias("d")
     snap = snapshot.select(*[c for c in dim.columns if c in snapshot.columns])
@@ -84,7 +88,7 @@ def as_of(dim: DataFrame, moment: Column | str, start: str = "eff_start", end: s
 
 def apply_cdc(
     log: DataFrame, keys: Sequence[str], sequence: str, op: str, scd_type: int = 1,
-    target: DataFrame | None = None, chunk: Column | None = None,
+    target: DataFrame | None = None, hot_rows: int | None = None,
 ) -> DataFrame:
     """Rows after a log of INSERT / UPDATE / DELETE events, in whatever order they arrive.
 
@@ -93,7 +97,7 @@ def apply_cdc(
     returns one interval [sequence, next sequence) per event, deletes closing the row
     before them. Pass an earlier type 1 result as ``target`` to continue from it. Of
     events with equal key and sequence the greatest row by all columns is kept.
-    ``chunk`` (rising with ``sequence``) splits the log of one key over tasks.
+    The log of a key of more than ``hot_rows`` events is split over tasks.
     """
     keys = list(keys)
     cols = [c for c in log.columns if c not in (op,)]
@@ -108,11 +112,7 @@ def apply_cdc(
     unique = log.groupBy(*keys, sequence).agg(F.max(F.struct(*rest)).alias("_r")).select(
         *keys, sequence, *[F.col(f"_r.{c}").alias(c) for c in rest]
     )
-    if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(sequence)
-        timed = unique.withColumn("valid_to", F.lead(sequence).over(w))
-    else:
-        timed = chunked_window(unique, keys, [sequence], chunk, lead={"valid_to": sequence})
+    timed = chunked_window(unique, keys, [sequence], hot_rows=hot_rows, lead={"valid_to": sequence})
     return timed.filter(F.col(op) != "DELETE").select(
         *[c for c in log.columns if c not in (op, sequence)],
         F.col(sequence).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from spindrift.operators.windows import HOT_ROWS, by_parts
 from spindrift.session import broadcast_few_rows, broadcast_if_small
 
 
@@ -60,14 +61,34 @@ def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFra
 
 
 def interval_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, start: str, end: str,
-                  how: str = "inner") -> DataFrame:
+                  how: str = "inner", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each fact row beside the version valid at its time: start <= ts < end, open end = NULL.
 
-    Versions of one key do not overlap, so a fact row meets at most one.
+    Versions of one key do not overlap (or one is empty), so the one valid at a time is the last to start by then, if it has not ended. Facts and versions are put in one order of
+    time and the last version is carried to the facts, over the ranges of a large key too: the work follows facts plus versions, not their product.
+    ``how`` is inner or left; facts without key or time meet no version, versions without key or start meet no fact.
     """
-    v = versions.withColumnRenamed(key, "_vkey")
-    when = (F.col(ts) >= F.col(start)) & (F.col(end).isNull() | (F.col(ts) < F.col(end)))
-    return fact.join(v, (F.col(key) == F.col("_vkey")) & when, how).drop("_vkey")
+    if how not in ("inner", "left"):
+        raise ValueError(f"an interval join is inner or left: {how}")
+    added = [c for c in versions.columns if c != key]
+    both = versions.filter(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(start).alias("_at"), F.lit(0).alias("_side"), F.col(end).isNull().alias("_open"),
+        F.coalesce(F.col(end), F.col(start)).alias("_until"), F.lit(0).cast("long").alias("_salt"), F.struct(*added).alias("_version"),
+    )
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    # facts of one moment are told apart by their content, so that a moment with very many of them can be cut
+    facts = fact.filter(known).select(
+        F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_side"), F.lit(False).alias("_open"),
+        F.col(ts).alias("_until"), row_salt(fact, 1 << 20).cast("long").alias("_salt"), F.struct(*fact.columns).alias("_fact"),
+    )
+    order = ["_at", "_side", "_open", "_until", "_salt"]
+    met = by_parts(both.unionByName(facts, allowMissingColumns=True), ["_key"], order,
+                   lambda part, window: window(part, latest={"_met": "_version"}), hot_rows=hot_rows).filter("_side = 1")
+    valid = F.col(f"_met.{end}").isNull() | (F.col("_at") < F.col(f"_met.{end}"))
+    valid = F.col("_met").isNotNull() & valid
+    out = met.filter(valid) if how == "inner" else met.withColumn("_met", F.when(valid, F.col("_met")))
+    out = out.select(*[F.col(f"_fact.{c}").alias(c) for c in fact.columns], *[F.col(f"_met.{c}").alias(c) for c in added])
+    return out if how == "inner" else out.unionByName(fact.filter(~known), allowMissingColumns=True)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
@@ -82,43 +103,31 @@ def replicate(df: DataFrame, name: str, values: Sequence) -> DataFrame:
 
 
 def nearest_other_place(
-    df: DataFrame, key: str, place: str, ts: str, row_id: str, max_seconds: int, chunk_seconds: int | None = None
+    df: DataFrame, key: str, place: str, ts: str, row_id: str, max_seconds: int, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """For each row the closest earlier row of its key at another place, at most ``max_seconds`` before.
 
     One result per arrival and no pairs: sort the moments of a key, and look back
-    past the run of moments spent at the same place. Rows are cut into chunks of time;
-    each chunk also sees the moments of the chunk before it, so a task holds two
-    chunks of a key.
+    past the run of moments spent at the same place. What a moment must know (the moment before, and the one before
+    that one's run) is carried over the ranges of a large key, so no task holds a span of it.
     """
-    width = chunk_seconds or max_seconds + 1
-    if width <= max_seconds:
-        raise ValueError("chunk_seconds must exceed max_seconds")
     seconds = F.unix_seconds(F.col("_ts").cast("timestamp"))
     visits = df.select(key, F.col(place).alias("_place"), F.col(ts).alias("_ts"), F.col(row_id).alias("_id"))
     # one moment per (key, time): the smallest and largest place tell if it is mixed
     moments = visits.filter(F.col("_place").isNotNull()).groupBy(key, "_ts").agg(
         F.min(F.struct("_place", "_id")).alias("_lo"), F.max(F.struct("_place", (-F.col("_id")).alias("_neg"))).alias("_hi"),
     ).withColumn("_hi", F.struct(F.col("_hi._place").alias("_place"), (-F.col("_hi._neg")).alias("_id")))
-    chunk = F.floor(seconds / F.lit(width)).cast("long")
-    halo = moments.withColumn("_own", chunk).withColumn(
-        "_chunk", F.explode(F.array(F.col("_own"), F.col("_own") + F.lit(1)))
-    )
-    w = Window.partitionBy(key, "_chunk").orderBy("_ts")
-    moment = F.struct("_ts", "_lo", "_hi")
     pure = F.when(F.col("_lo._place") == F.col("_hi._place"), F.col("_lo._place"))
-    seq = halo.withColumn("_pure", pure).withColumn("_prev", F.lag(moment).over(w)).withColumn(
-        "_prev_pure", F.lag("_pure").over(w)
-    )
+    moments = moments.withColumns({"_pure": pure, "_moment": F.struct("_ts", "_lo", "_hi")})
     starts_run = F.col("_pure").isNull() | F.col("_prev_pure").isNull() | (F.col("_pure") != F.col("_prev_pure"))
-    # the moment before the run that the previous moment belongs to
-    seq = seq.withColumn("_run_prev", F.struct(starts_run.alias("s"), F.col("_prev").alias("m"))).withColumn(
-        "_before_run",
-        F.last(F.when(F.col("_run_prev.s"), F.col("_run_prev")), ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, -1)
-        ),
-    )
-    seq = seq.filter(F.col("_own") == F.col("_chunk")).select(
+
+    def looked_back(part: DataFrame, window) -> DataFrame:
+        seen = window(part, lag={"_prev": "_moment", "_prev_pure": "_pure"})
+        # the moment before the run that the previous moment belongs to
+        seen = seen.withColumn("_run", F.when(starts_run, F.struct(F.col("_prev").alias("m"))))
+        return window(seen, before={"_before_run": "_run"})
+
+    seq = by_parts(moments, [key], ["_ts"], looked_back, hot_rows=hot_rows).select(
         F.col(key).alias("_mkey"), F.col("_ts").alias("_mts"), "_prev", "_prev_pure", F.col("_before_run.m").alias("_back")
     )
     arrivals = visits.join(seq, (F.col(key) == F.col("_mkey")) & (F.col("_ts") == F.col("_mts")))
@@ -141,41 +150,29 @@ def nearest_other_place(
 
 def latest_before(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, max_seconds: int,
-    right_cols: Sequence[str], tie: str, count_col: str = "matches",
+    right_cols: Sequence[str], tie: str, count_col: str = "matches", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For each right row the latest left row of its key with left_ts <= right_ts <= left_ts + max_seconds.
 
-    Also counts the left rows in that span. Rows of both sides are merged in time
-    order within chunks of time (the left side also reaches into the next chunk), so
-    the work follows the rows, not the pairs.
+    Also counts the left rows in that span, on whole seconds. Both sides and the moments at which left rows expire are put in one order of time: the
+    last left row and a count that rises and falls are carried along it, so the work follows the rows, not the pairs.
     """
-    width = max_seconds + 1
-    l = left.select(
-        F.col(key).alias("_key"), F.unix_seconds(F.col(left_ts).cast("timestamp")).alias("_sec"),
-        F.struct(F.col(left_ts).alias("_at"), F.col(tie).alias("_tie")).alias("_pos"),
-        F.struct(*left.columns).alias("_left"),
-    ).withColumn("_own", F.floor(F.col("_sec") / F.lit(width)).cast("long"))
-    l = l.withColumn("_chunk", F.explode(F.array(F.col("_own"), F.col("_own") + F.lit(1)))).select(
-        "_key", "_chunk", "_sec", F.col("_pos._at").alias("_at"), F.lit(0).alias("_side"),
-        F.col("_pos._tie").alias("_tie"), "_left",
-    )
-    r = right.select(
-        F.col(key).alias("_key"), F.unix_seconds(F.col(right_ts).cast("timestamp")).alias("_sec"),
-        F.col(right_ts).alias("_at"), F.struct(*right_cols).alias("_right"),
-    ).withColumn("_chunk", F.floor(F.col("_sec") / F.lit(width)).cast("long")).withColumn("_side", F.lit(1))
-    both = l.unionByName(r, allowMissingColumns=True)
-    in_order = Window.partitionBy("_key", "_chunk").orderBy("_at", "_side", "_tie").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    by_sec = Window.partitionBy("_key", "_chunk").orderBy("_sec")
-    is_left = F.when(F.col("_side") == 0, 1)
-    out = both.select(
-        "*",
-        F.last("_left", ignorenulls=True).over(in_order).alias("_hit"),
-        F.count(is_left).over(in_order).alias("_upto"),
-        F.count(is_left).over(by_sec.rangeBetween(Window.unboundedPreceding, -(max_seconds + 1))).alias("_expired"),
-    ).filter(F.col("_side") == 1)
-    out = out.withColumn(count_col, F.col("_upto") - F.col("_expired")).filter(F.col(count_col) > 0)
+    kind = left.schema[left_ts].dataType.simpleString()
+    second = F.unix_seconds(F.col(left_ts).cast("timestamp"))
+    one = lambda n: F.lit(n).cast("long").alias("_one")
+    l = left.filter(F.col(left_ts).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(left_ts).alias("_at"), F.lit(1).alias("_side"), F.col(tie).alias("_tie"), one(1),
+        F.lit(0).cast("long").alias("_salt"), F.struct(*left.columns).alias("_left"))
+    gone = left.filter(F.col(left_ts).isNotNull()).select(
+        F.col(key).alias("_key"), F.timestamp_seconds(second + F.lit(max_seconds + 1)).cast(kind).alias("_at"), F.lit(0).alias("_side"),
+        F.col(tie).alias("_tie"), one(-1), F.lit(0).cast("long").alias("_salt"))
+    r = right.filter(F.col(right_ts).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(right_ts).cast(kind).alias("_at"), F.lit(2).alias("_side"), one(0),
+        row_salt(right, 1 << 20).cast("long").alias("_salt"), F.struct(*right_cols).alias("_right"))
+    both = l.unionByName(gone, allowMissingColumns=True).unionByName(r, allowMissingColumns=True)
+    out = by_parts(both, ["_key"], ["_at", "_side", "_tie", "_salt"],
+                   lambda part, window: window(part, running={count_col: "_one"}, latest={"_hit": "_left"}), hot_rows=hot_rows)
+    out = out.filter((F.col("_side") == 2) & (F.col(count_col) > 0))
     return out.select(
         F.col("_key").alias(key),
         *[F.col(f"_hit.{c}").alias(f"left_{c}") for c in left.columns if c != key],

@@ -347,6 +347,49 @@ def drift(old: DataFrame, new: DataFrame, column: str, bins: int = 10) -> DataFr
     return shares.select("bin", "old_rows", "new_rows", term.alias("psi_term"))
 
 
+#: Rank error of the quantile sketch, as one part of so many.
+SKETCH_ACCURACY = 10_000
+
+
+def quantile_drift(old: DataFrame, new: DataFrame, column: str, bins: int = 10, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Population stability index of a numeric column over bins of equal share of the old rows.
+
+    The edges are quantiles of a sketch that tasks build apart and merge, off by 1/accuracy of the rows at most; both snapshots are counted against them. A bin holds
+    the values above its lower edge up to its upper one; equal edges leave empty bins out. NULLs are a bin of their own, numbered -1. Empty shares count as 1e-4.
+    """
+    points = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    edges = old.agg(F.array_distinct(F.coalesce(F.percentile_approx(column, points, accuracy), F.array())).alias("e"))
+
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        inside = F.size(F.filter(F.col("_e"), lambda e: e < F.col(column)))
+        bin_no = F.when(F.col(column).isNull(), F.lit(-1)).otherwise(inside)
+        return df.select(column).withColumn("_e", edges.scalar()).groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias(name))
+
+    return _stability(counts(old, "old_rows"), counts(new, "new_rows"), "bin")
+
+
+def category_drift(old: DataFrame, new: DataFrame, column: str) -> DataFrame:
+    """Stability index and frequency distance of a categorical column, by category: NULL is one, as are those that only one side has.
+
+    The distances add up to the total variation distance of the two snapshots, 0 to 1.
+    """
+    count = lambda df, name: df.groupBy(F.col(column).alias("category")).agg(F.count(F.lit(1)).alias(name))
+    return _stability(count(old, "old_rows"), count(new, "new_rows"), "category")
+
+
+def _stability(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """(key, old_rows, new_rows, psi_term, distance) of two counts by key."""
+    side = new.withColumnRenamed(key, "_key").withColumn("_new", F.lit(True))
+    both = old.withColumn("_old", F.lit(True)).join(side, F.col(key).eqNullSafe(F.col("_key")), "full_outer")
+    both = both.select(F.when(F.col("_old"), F.col(key)).otherwise(F.col("_key")).alias(key),
+                       *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("old_rows", "new_rows")])
+    total = both.agg(F.struct(F.sum("old_rows").alias("o"), F.sum("new_rows").alias("n"))).scalar()
+    share = lambda c, of: F.coalesce(F.col(c) / F.nullif(F.col(of), F.lit(0)), F.lit(0.0))
+    shares = both.withColumn("_t", total).withColumns({"_p": share("old_rows", "_t.o"), "_q": share("new_rows", "_t.n")})
+    p, q = F.greatest("_p", F.lit(1e-4)), F.greatest("_q", F.lit(1e-4))
+    return shares.select(key, "old_rows", "new_rows", ((q - p) * F.log(q / p)).alias("psi_term"), (F.abs(F.col("_q") - F.col("_p")) / 2).alias("distance"))
+
+
 def fingerprint(df: DataFrame, predicate: str | None = None) -> DataFrame:
     """Row count and order-free content sum; equal before and after a rerun means nothing changed."""
     rows = df.filter(predicate) if predicate else df

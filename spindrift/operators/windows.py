@@ -1,22 +1,27 @@
 """Window functions that split a hot key over many tasks.
 
-A plain window sends every row of a key to one task. Here each key is cut into
-chunks by a value that rises with the order of the window (a day, a price band).
-A small summary per (key, chunk) is windowed over the key, and what each chunk
+A plain window sends every row of a key to one task. Here the rows of small keys
+stay with it, and each larger key is cut into chunks that rise with the order of the window:
+ranges whose bounds are sampled from the rows, or a given value (a day).
+A small summary per (key, chunk) is combined up and down a tree, and what each chunk
 must know of the others travels as one carry row placed in front of (or behind)
-its rows. The table is shuffled once, by (key, chunk).
+its rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spindrift.functions.numeric import dec
+from spindrift.session import cut_lineage, written
 
 _ROW, _BEFORE, _AFTER = 1, 0, 2
+_MAPS, _NAMES = ("lag", "lead", "running", "latest", "before"), ("row_number", "rank", "dense_rank", "percent_rank", "total")
 HOT_ROWS = 1_000_000  # rows of one key that a task may sort
+MAX_RANGES = 20_000  # ranges that one sampling serves; with more rows they grow
+FAN_OUT = 512  # chunks of a key combined in one task
 
 
 def time_chunk(ts: str | Column, seconds: int) -> Column:
@@ -24,155 +29,242 @@ def time_chunk(ts: str | Column, seconds: int) -> Column:
     return F.floor(_seconds(ts) / F.lit(seconds)).cast("long")
 
 
-def value_chunk(value: str | Column, width: float) -> Column:
-    """Number of the band of ``width`` that holds a value."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.floor(value / F.lit(width)).cast("long")
+def _seconds(ts: str | Column) -> Column:
+    return F.unix_seconds((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
-def even_chunks(df: DataFrame, value: str, rows_per_chunk: int = HOT_ROWS) -> Column:
-    """Bands of one width, as many as the rows need at ``rows_per_chunk`` each.
+def key_match(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of key columns that also matches NULL with NULL; true without keys."""
+    match = F.lit(True)
+    for i, (a, b) in enumerate(zip(left, right)):
+        one = F.col(a).eqNullSafe(F.col(b))
+        match = one if i == 0 else match & one
+    return match
 
-    Takes the count and bounds of the column in one small job.
-    """
-    one = df.agg(F.count(value).alias("n"), F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
-    if not one["n"] or one["hi"] == one["lo"]:
-        return F.lit(0).cast("long")
-    width = (one["hi"] - one["lo"]) / max(1, -(-one["n"] // rows_per_chunk))
-    return F.floor((F.col(value) - F.lit(one["lo"])) / F.lit(width)).cast("long")
 
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS, rows_per_range: int | None = None,
+              chunk: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of keys that fit a task, and those of larger ones with ``_chunk``, the number of their range.
 
-def _seconds(ts: str | Column) -> Column:
-    return F.unix_seconds((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+    Ranges are contiguous in the compound order of ``keys`` and ``order``. Spark samples their bounds from the rows themselves, so
+    they hold about ``rows_per_range`` each however the values are spread; only rows equal in all of these columns stay together. There are
+    at most ``MAX_RANGES``, beyond which ranges grow. The rows are written by range to the shared scratch folder, so that a range's number never
+    changes. With ``chunk`` the larger keys are cut by that column instead. Keys are counted first, in a job of its own; without large keys there is no second part.
+    """
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    hot = cut_lineage(counts)
+    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
+    if not found["keys"]:
+        return df, None
+    side = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    if found["keys"] <= MAX_RANGES:
+        side = F.broadcast(side)
+    names = [f"_h_{k}" for k in keys]
+    large = df.join(side, key_match(keys, names), "left_semi") if keys else df
+    small = df.join(side, key_match(keys, names), "left_anti") if keys else df.filter("false")
+    if chunk is not None:
+        return small, large.withColumn("_chunk", chunk)
+    ranges = min(MAX_RANGES, max(2, -(-found["rows"] // (rows_per_range or hot_rows))))
+    numbered = large.repartitionByRange(ranges, *keys, *order).withColumn("_chunk", F.spark_partition_id().cast("long"))
+    return small, written(numbered, "ranges")
+
+
+def _plain(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Mapping) -> DataFrame:
+    """The window columns by Spark's own windows: a key per task."""
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    so_far = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out: dict[str, Column] = {o: F.lag(c).over(whole) for o, c in spec["lag"].items()}
+    out |= {o: F.lead(c).over(whole) for o, c in spec["lead"].items()}
+    out |= {o: F.sum(c).over(so_far) for o, c in spec["running"].items()}
+    out |= {o: F.last(c, ignorenulls=True).over(so_far) for o, c in spec["latest"].items()}
+    out |= {o: F.last(c, ignorenulls=True).over(whole.rowsBetween(Window.unboundedPreceding, -1)) for o, c in spec["before"].items()}
+    ranks = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
+    out |= {spec[k]: fn().over(whole).cast("long") for k, fn in ranks.items() if spec[k]}
+    if spec["percent_rank"]:
+        out[spec["percent_rank"]] = F.percent_rank().over(whole)
+    if spec["total"]:
+        out[spec["total"]] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return df.select("*", *[c.alias(o) for o, c in out.items()])
+
+
+def carry(summary: DataFrame, keys: Sequence[str], sums: Sequence[str] = (), lasts: Sequence[str] = (), firsts: Sequence[str] = (),
+          levels: int = 2) -> DataFrame:
+    """What each chunk of a key must know of its other chunks, as (keys, ``_chunk``, the same columns).
+
+    ``sums`` become sums over the chunks before, ``lasts`` the nearest value before that is not NULL, ``firsts`` the nearest one after. These combine
+    associatively, so chunks are first combined in blocks of ``FAN_OUT``, the blocks are carried the same way, and each
+    chunk adds what its block knows to what it finds within it. A task thus sees ``FAN_OUT`` rows of a key below the top, and at the top one for each
+    FAN_OUT ^ levels chunk numbers.
+    """
+    keys = list(keys)
+    up = Window.partitionBy(*keys, *(["_block"] if levels else [])).orderBy("_chunk")
+    down = Window.partitionBy(*keys, *(["_block"] if levels else [])).orderBy(F.desc("_chunk"))
+    earlier, later = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (up, down))
+    inner = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in sums]
+    inner += [F.last(c, ignorenulls=True).over(earlier).alias(c) for c in lasts] + [F.last(c, ignorenulls=True).over(later).alias(c) for c in firsts]
+    if not levels:
+        return summary.select(*keys, "_chunk", *inner)
+    blocked = summary.withColumn("_block", F.floor(F.col("_chunk") / F.lit(FAN_OUT)).cast("long"))
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col("_chunk"))
+    blocks = blocked.groupBy(*keys, "_block").agg(
+        F.count(F.lit(1)).alias("_chunks"), *[F.sum(c).alias(c) for c in sums], *[F.max_by(c, at(c)).alias(c) for c in lasts],
+        *[F.min_by(c, at(c)).alias(c) for c in firsts],
+    )
+    above = carry(blocks.withColumnRenamed("_block", "_chunk"), keys, sums, lasts, firsts, levels - 1)
+    above = above.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.col("_chunk").alias("_a_block"), *[F.col(c).alias(f"_a{c}") for c in (*sums, *lasts, *firsts)])
+    within = blocked.select(*keys, "_chunk", "_block", *inner)
+    joined = within.join(above, key_match([*keys, "_block"], [*[f"_a_{k}" for k in keys], "_a_block"]), "left")
+    return joined.select(
+        *keys, "_chunk", *[(F.col(c) + F.col(f"_a{c}")).alias(c) for c in sums],
+        *[F.coalesce(F.col(c), F.col(f"_a{c}")).alias(c) for c in (*lasts, *firsts)],
+    )
 
 
-def chunked_window(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    chunk: Column,
-    *,
-    lag: Mapping[str, str] | None = None,
-    lead: Mapping[str, str] | None = None,
-    running: Mapping[str, str] | None = None,
-    row_number: str | None = None,
-    rank: str | None = None,
-    dense_rank: str | None = None,
-    percent_rank: str | None = None,
-    total: str | None = None,
-    hot_rows: int | None = None,
-) -> DataFrame:
-    """Add window columns over ``keys`` ordered by ``order`` (ascending, not NULL).
-
-    ``lag``, ``lead`` and ``running`` map an output name to its input column;
-    ``running`` sums from the first row, so give it decimals or integers. The other
-    options name an output column. ``chunk`` must never fall when ``order`` rises.
-    With ``hot_rows`` only keys above that many rows are cut, so that the chunks may be
-    fine without costing the other keys a summary row each.
-    """
-    lag, lead, running = dict(lag or {}), dict(lead or {}), dict(running or {})
-    keys, order = list(keys), list(order)
-    rows = df.withColumn("_chunk", chunk)
-    if hot_rows is not None:
-        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-        side = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_rows")
-        match = F.lit(True)
-        for i, k in enumerate(keys):
-            one = F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-            match = one if i == 0 else match & one
-        # few rows by construction: adaptive execution broadcasts them, or splits the hot keys
-        rows = rows.join(side, match, "left").select(
-            *df.columns, F.when(F.col("_rows").isNotNull(), F.col("_chunk")).alias("_chunk"))
+def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Mapping) -> DataFrame:
+    """The window columns of rows cut by ``_chunk``; the column stays."""
+    lag, lead, running, latest, before = (spec[k] for k in ("lag", "lead", "running", "latest", "before"))
     position = F.struct(*order)
-
     parts = [F.count(F.lit(1)).alias("_n")]
     if lag:
         parts.append(F.max_by(F.struct(*[F.col(c).alias(o) for o, c in lag.items()]), position).alias("_last"))
     if lead:
         parts.append(F.min_by(F.struct(*[F.col(c).alias(o) for o, c in lead.items()]), position).alias("_first"))
-    if dense_rank:
+    if spec["dense_rank"]:
         parts.append(F.count_distinct(position).alias("_distinct"))
     parts += [F.sum(c).alias(f"_sum_{o}") for o, c in running.items()]
+    held = {**latest, **before}
+    parts += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(f"_held_{o}") for o, c in held.items()]
     summary = rows.groupBy(*keys, "_chunk").agg(*parts)
-
-    over_key = Window.partitionBy(*keys)
-    in_order = over_key.orderBy("_chunk")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys,
-        "_chunk",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_before"),
-        F.sum("_n").over(over_key).alias("_n_all"),
-        *([F.coalesce(F.sum("_distinct").over(earlier), F.lit(0)).alias("_d_before")] if dense_rank else []),
-        *([F.lag("_last").over(in_order).alias("_last")] if lag else []),
-        *([F.lead("_first").over(in_order).alias("_first")] if lead else []),
-        *[F.sum(f"_sum_{o}").over(earlier).alias(f"_sum_{o}") for o in running],
-    )
+    sums = ["_n", *(["_distinct"] if spec["dense_rank"] else []), *[f"_sum_{o}" for o in running]]
+    known = carry(summary, keys, sums, [*(["_last"] if lag else []), *[f"_held_{o}" for o in held]], ["_first"] if lead else [])
+    if spec["percent_rank"] or spec["total"]:
+        known = _join_null_safe(known, summary.groupBy(*keys).agg(F.sum("_n").alias("_n_all")), keys, ["_n_all"])
+    else:
+        known = known.withColumn("_n_all", F.lit(None).cast("long"))
 
     marked = rows.select(
         "*",
         F.lit(_ROW).alias("_kind"),
-        *[F.col(c).alias(f"_in_{o}") for o, c in {**lag, **lead, **running}.items()],
+        *[F.col(c).alias(f"_in_{o}") for o, c in {**lag, **lead, **running, **held}.items()],
     )
-    before = carry.select(
-        *keys, "_chunk", "_n_before", "_n_all",
-        *(["_d_before"] if dense_rank else []),
+    front = known.select(
+        *keys, "_chunk", F.col("_n").alias("_n_before"), "_n_all",
+        *([F.col("_distinct").alias("_d_before")] if spec["dense_rank"] else []),
         F.lit(_BEFORE).alias("_kind"),
         *[F.col(f"_last.{o}").alias(f"_in_{o}") for o in lag],
         *[F.col(f"_sum_{o}").alias(f"_in_{o}") for o in running],
+        *[F.col(f"_held_{o}").alias(f"_in_{o}") for o in held],
     )
-    stacked = marked.unionByName(before, allowMissingColumns=True)
+    stacked = marked.unionByName(front, allowMissingColumns=True)
     if lead:
-        after = carry.select(
+        behind = known.select(
             *keys, "_chunk", F.lit(_AFTER).alias("_kind"),
             *[F.col(f"_first.{o}").alias(f"_in_{o}") for o in lead],
         )
-        stacked = stacked.unionByName(after, allowMissingColumns=True)
+        stacked = stacked.unionByName(behind, allowMissingColumns=True)
 
     whole = Window.partitionBy(*keys, "_chunk").orderBy("_kind", *order)
     so_far = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     n_before = F.max("_n_before").over(so_far)
-    n_all = F.max("_n_all").over(so_far)
     # the carry row is row 1 of its chunk, so positions within a chunk start at 2
     rank_value = n_before + F.rank().over(whole) - F.lit(1)
     out: dict[str, Column] = {o: F.lag(f"_in_{o}").over(whole) for o in lag}
     out |= {o: F.lead(f"_in_{o}").over(whole) for o in lead}
     out |= {o: F.sum(f"_in_{o}").over(so_far) for o in running}
-    if row_number:
-        out[row_number] = n_before + F.row_number().over(whole) - F.lit(1)
-    if rank:
-        out[rank] = rank_value
-    if dense_rank:
-        out[dense_rank] = F.max("_d_before").over(so_far) + F.dense_rank().over(whole) - F.lit(1)
-    if percent_rank:
-        out[percent_rank] = F.when(
+    out |= {o: F.last(f"_in_{o}", ignorenulls=True).over(so_far) for o in latest}
+    out |= {o: F.last(f"_in_{o}", ignorenulls=True).over(whole.rowsBetween(Window.unboundedPreceding, -1)) for o in before}
+    if spec["row_number"]:
+        out[spec["row_number"]] = n_before + F.row_number().over(whole) - F.lit(1)
+    if spec["rank"]:
+        out[spec["rank"]] = rank_value
+    if spec["dense_rank"]:
+        out[spec["dense_rank"]] = F.max("_d_before").over(so_far) + F.dense_rank().over(whole) - F.lit(1)
+    n_all = F.max("_n_all").over(so_far)
+    if spec["percent_rank"]:
+        out[spec["percent_rank"]] = F.when(
             n_all > 1, (rank_value - F.lit(1)).cast("double") / (n_all - F.lit(1)).cast("double")
         ).otherwise(F.lit(0.0))
-    if total:
-        out[total] = n_all
+    if spec["total"]:
+        out[spec["total"]] = n_all
     windowed = stacked.select("*", *[c.alias(o) for o, c in out.items()])
-    return windowed.filter(F.col("_kind") == _ROW).select(*df.columns, *out)
+    return windowed.filter(F.col("_kind") == _ROW).select(*rows.columns, *out)
+
+
+def by_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], work: Callable[[DataFrame, Callable], DataFrame], *, chunk: Column | None = None,
+             hot_rows: int | None = HOT_ROWS, rows_per_range: int | None = None) -> DataFrame:
+    """``work(part, window)`` over the rows of small keys and of large ones, put together.
+
+    ``window(part, lag=..., ...)`` adds window columns over ``keys`` in ``order`` (see ``chunked_window``) and may be called several times: rows are cut once, and
+    the plain windows of small keys share one shuffle.
+    """
+    keys, order = list(keys), list(order)
+
+    def windows(how: Callable) -> Callable:
+        def window(part: DataFrame, **options) -> DataFrame:
+            unknown = set(options) - {*_MAPS, *_NAMES}
+            if unknown:
+                raise TypeError(f"no window columns {sorted(unknown)}")
+            return how(part, keys, order, {k: dict(options.get(k) or {}) for k in _MAPS} | {k: options.get(k) for k in _NAMES})
+        return window
+
+    if hot_rows is None:
+        return work(df.withColumn("_chunk", chunk), windows(_carried)).drop("_chunk")
+    small, large = split_hot(df, keys, order, hot_rows, rows_per_range, chunk)
+    done = work(small, windows(_plain))
+    return done if large is None else done.unionByName(work(large, windows(_carried)).drop("_chunk"))
+
+
+def chunked_window(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    chunk: Column | None = None,
+    *,
+    hot_rows: int | None = None,
+    rows_per_range: int | None = None,
+    **columns,
+) -> DataFrame:
+    """Add window columns over ``keys`` ordered by ``order`` (ascending, not NULL).
+
+    ``lag``, ``lead``, ``running``, ``latest`` and ``before`` map an output name to its input column. ``running`` sums from the first row, so give
+    it decimals or integers; ``latest`` is the nearest value that is not NULL up to the row, ``before`` the one strictly before
+    it. ``row_number``, ``rank``, ``dense_rank``, ``percent_rank`` and ``total`` name an output column.
+
+    ``chunk``, a whole number or a date that never falls when ``order`` rises, cuts every key, or with ``hot_rows`` only keys above that many rows. Without it
+    keys above ``hot_rows`` (``HOT_ROWS`` unless given) are cut into sampled ranges of ``rows_per_range`` rows, see ``split_hot``.
+    """
+    if chunk is None:
+        hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    else:
+        chunk = F.when(chunk.isNotNull(), F.datediff(chunk, F.lit("1970-01-01").cast("date"))).cast("long") if _is_date(df, chunk) else chunk.cast("long")
+    return by_parts(df, keys, order, lambda part, window: window(part, **columns), chunk=chunk, hot_rows=hot_rows, rows_per_range=rows_per_range)
+
+
+def _is_date(df: DataFrame, column: Column) -> bool:
+    return df.select(column.alias("c")).schema["c"].dataType.typeName() == "date"
 
 
 def value_ranks(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    chunk: Column,
+    chunk: Column | None = None,
     *,
+    hot_rows: int | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
     percent_rank: str | None = None,
 ) -> DataFrame:
     """Ranks by value: equal values share a rank, so distinct values are ranked and joined back.
 
-    A value held by many rows is one row in the window, however large its group is.
-    ``chunk`` is taken over the columns of ``order``.
+    A value held by many rows is one row in the window, however large its group is. Keys with many distinct values are cut as in
+    ``chunked_window``; ``chunk`` is taken over the columns of ``order``.
     """
     keys, order = list(keys), list(order)
     on = [*keys, *order]
     counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"))
-    summed = chunked_window(counted, keys, order, chunk, running={"_upto": "_copies"}, row_number="_position")
+    summed = chunked_window(counted, keys, order, chunk, hot_rows=hot_rows, running={"_upto": "_copies"}, row_number="_position")
     sizes = counted.groupBy(*keys).agg(F.sum("_copies").alias("_rows"))
     first = F.col("_upto") - F.col("_copies")
     out = {}
@@ -191,11 +283,7 @@ def value_ranks(
 def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], take: Sequence[str]) -> DataFrame:
     """Left rows with columns of the matching right row; NULL keys match each other."""
     side = right.select(*[F.col(k).alias(f"_r_{k}") for k in on], *take)
-    match = F.lit(True)
-    for i, k in enumerate(on):
-        one = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        match = one if i == 0 else match & one
-    return left.join(side, match).select(*left.columns, *take)
+    return left.join(side, key_match(on, [f"_r_{k}" for k in on])).select(*left.columns, *take)
 
 
 def trailing_stats(

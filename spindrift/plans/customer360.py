@@ -10,7 +10,7 @@ from spindrift.operators.joins import interval_join
 from spindrift.operators.merge import upsert
 from spindrift.operators.quality import Rule, flag
 from spindrift.operators.sets import dedup_latest
-from spindrift.operators.windows import HOT_ROWS, chunked_window
+from spindrift.operators.windows import chunked_window
 from spindrift.session import new_dir
 from spindrift.sources.tables import Tables
 
@@ -85,7 +85,6 @@ def training_rows(t: Tables) -> DataFrame:
     labels = t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderdate")
     daily = t.orders.groupBy("o_custkey", F.col("o_orderdate").alias("feature_time")).agg(
         F.sum(dec("o_totalprice")).cast("double").alias("day_spend"), F.count(F.lit(1)).alias("day_orders"))
-    versions = chunked_window(daily, ["o_custkey"], ["feature_time"], F.to_date("feature_time"), lead={"until": "feature_time"},
-                              hot_rows=HOT_ROWS)
+    versions = chunked_window(daily, ["o_custkey"], ["feature_time"], lead={"until": "feature_time"})
     return interval_join(labels, versions, "o_custkey", "o_orderdate", "feature_time", "until").select(
         "o_orderkey", "o_custkey", F.col("feature_time").cast("string").alias("feature_time"), "day_spend", "day_orders")

@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 from spindrift.functions.numeric import dec, exact_avg, exact_sum, ratio
 from spindrift.operators import aggregates
 from spindrift.operators.sets import latest_per_key
-from spindrift.operators.windows import value_chunk
 from spindrift.plans import retail
 from spindrift.queries import query
 from spindrift.queries.snippets import LINE_TOTAL, davg, dsum
 from spindrift.session import new_dir
-from spindrift.sources.versions import read_version, write_version
+from spindrift.streaming.buckets import fold, read_state
 
 
 @query("a01_group_having", f"""
@@ -51,8 +50,7 @@ def a04(spark, t):
 @query("a05_exact_quantiles", """
 SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.9) AS p90, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY 1""")
 def a05(spark, t):
-    return aggregates.exact_quantiles(t.events, ["event_type"], "value", {"p50": 0.5, "p90": 0.9, "p99": 0.99},
-                                      value_chunk("value", 10))
+    return aggregates.exact_quantiles(t.events, ["event_type"], "value", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
 
 
 @query("a05_approx_quantiles")
@@ -226,12 +224,13 @@ SELECT event_type, COUNT(value) AS n, {davg('value')} AS mean_value, MAX(value)
 def a17(spark, t):
     """A stored summary brought up to date by the summary of the new rows only."""
     path = new_dir(spark, "a17")
+    keys = ["event_type"]
     early = t.events.filter("ts < TIMESTAMP_NTZ '2024-01-20 00:00:00'")
     late = t.events.filter("ts >= TIMESTAMP_NTZ '2024-01-20 00:00:00'")
-    write_version(aggregates.running_stats(early, ["event_type"], "value", "ts", "event_id"), path)
-    news = aggregates.running_stats(late, ["event_type"], "value", "ts", "event_id")
-    write_version(aggregates.merge_stats(read_version(spark, path), news, ["event_type"]), path)
-    return aggregates.read_stats(read_version(spark, path), ["event_type"]).select("event_type", "n", "mean_value", "max_value")
+    for load, rows in enumerate((early, late)):
+        news = aggregates.running_stats(rows, keys, "value", "ts", "event_id")
+        fold(news, path, keys, load, lambda old, new: aggregates.merge_stats(old, new, keys))
+    return aggregates.read_stats(read_state(spark, path), keys).select("event_type", "n", "mean_value", "max_value")
 
 
 @query("a17_view_recompute", f"""

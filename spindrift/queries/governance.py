@@ -108,6 +108,24 @@ def g05_upstream(spark, t):
     return graph.upstream(edges(spark, t), spark.sql("SELECT 'market:BUILDING' AS node"))
 
 
+COLUMN_EDGES = """
+SELECT DISTINCT 'region:' || r_name AS src, 'nation:' || n_name AS dst, 'r_regionkey' AS src_column, 'n_regionkey' AS dst_column, 'copy' AS transformation
+FROM region JOIN nation ON n_regionkey = r_regionkey
+UNION SELECT DISTINCT 'nation:' || n_name, 'segment:' || n_name || '/' || c_mktsegment, 'n_nationkey', 'c_nationkey', 'join customer' FROM nation JOIN customer ON c_nationkey = n_nationkey
+UNION SELECT DISTINCT 'segment:' || n_name || '/' || c_mktsegment, 'market:' || c_mktsegment, 'c_acctbal', 'balance', 'sum by c_mktsegment' FROM nation JOIN customer ON c_nationkey = n_nationkey
+UNION SELECT DISTINCT 'segment:' || n_name || '/' || c_mktsegment, 'market:' || c_mktsegment, 'c_custkey', 'customers', 'count by c_mktsegment' FROM nation JOIN customer ON c_nationkey = n_nationkey"""
+
+
+@query("g05_column_lineage", f"""
+WITH RECURSIVE e AS ({COLUMN_EDGES}), r AS (SELECT 'region:ASIA' AS node, 0 AS depth UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.node),
+d AS (SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY 1)
+SELECT e.*, depth FROM e JOIN d ON e.src = d.node""")
+def g05_columns(spark, t):
+    """Every edge below a source, with the columns it joins and what is done to them."""
+    t.views("region", "nation", "customer")
+    return graph.lineage_edges(spark.sql(COLUMN_EDGES), spark.sql("SELECT 'region:ASIA' AS node"))
+
+
 @query("g06_access_log", """
 SELECT user_id, COUNT(*) AS accesses, COUNT(*) FILTER (event_type = 'error') AS denied, COUNT(*) FILTER (hour(ts) < 8 OR hour(ts) >= 18) AS off_hours,
  CAST(MAX(ts) AS VARCHAR) AS last_access, COUNT(DISTINCT event_type) AS actions FROM events GROUP BY 1""")
@@ -142,10 +160,15 @@ def g07(spark, t):
     return secure.pii_scan(people(t), PII_VALUES, PII_NAMES, 0.5)
 
 
-@query("g07_pii_in_documents", r"""
-SELECT 'text' AS column_name, 'email' AS pattern, COUNT(*) FILTER (regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS matches, COUNT(text) AS non_null FROM documents""")
+def _documents_sql():
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{p}' AS pattern, COUNT(*) FILTER (regexp_matches({c}, '{pattern}')) AS matches, COUNT({c}) AS non_null FROM documents"
+        for c in ("text", "lang", "source") for p, pattern in PII_VALUES.items())
+
+
+@query("g07_pii_in_documents", _documents_sql())
 def g07_documents(spark, t):
-    return secure.pii_scan(t.documents.select("text"), {"email": PII_VALUES["email"]}, {}).select("column_name", "pattern", "matches", "non_null")
+    return secure.pii_scan(t.documents, PII_VALUES, PII_NAMES).select("column_name", "pattern", "matches", "non_null")
 
 
 @query("g08_share_extract", """

@@ -8,6 +8,7 @@ from spindrift.queries import query
 from spindrift.queries.snippets import (
     DEVICE, LINE_TOTAL, LINKS, NETWORK, SALES, TRAILING_30D, TRAVEL, VELOCITY, WORDS, davg, dsum,
 )
+from spindrift.session import written
 
 DAY = fraud.DAY
 
@@ -166,11 +167,14 @@ cases AS (
   SELECT 'CASE_LNK_' || c_custkey, c_custkey, 'LINKAGE', CAST(least(link_count * 20.0, 100) AS DOUBLE), 'OPEN',
          1, c_custkey, c_custkey FROM links WHERE link_count >= 2
 )"""
+OPENED, LATER = "2024-02-01 00:00:00", "2024-02-02 00:00:00"
+NOTE = "detection_type || ': ' || evidence_rows || ' evidence rows'"
 
 
-@query("o09_fraud_cases", f"WITH {CASES} SELECT * FROM cases")
+@query("o09_fraud_cases", f"WITH {CASES} SELECT *, {NOTE} AS notes, '{OPENED}' AS created_at, '{OPENED}' AS updated_at FROM cases")
 def o09(spark, t):
-    return fraud.cases(t.events, accounts(t), **EVENT, **ACCOUNT, velocity_seconds=DAY)
+    found = fraud.cases(t.events, accounts(t), **EVENT, **ACCOUNT, velocity_seconds=DAY, opened=OPENED)
+    return found.withColumns({c: F.col(c).cast("string") for c in ("created_at", "updated_at")})
 
 
 @query("o09_case_escalation", f"""
@@ -178,14 +182,17 @@ WITH {CASES},
 fresh AS (SELECT DISTINCT user_id FROM vel WHERE recent_n > 4 AND user_id NOT IN (SELECT account_id FROM cases WHERE detection_type = 'VELOCITY'))
 SELECT case_id, account_id, detection_type,
        CASE WHEN risk_score > 50 THEN least(risk_score * 1.1::DOUBLE, 100) ELSE risk_score END AS risk_score,
-       CASE WHEN risk_score > 50 THEN 'INVESTIGATING' ELSE status END AS status
+       CASE WHEN risk_score > 50 THEN 'INVESTIGATING' ELSE status END AS status,
+       {NOTE} || CASE WHEN risk_score > 50 THEN '; escalated' ELSE '' END AS notes, '{OPENED}' AS created_at,
+       CASE WHEN risk_score > 50 THEN '{LATER}' ELSE '{OPENED}' END AS updated_at
 FROM cases
 UNION ALL
-SELECT 'CASE_VEL_NEW_' || user_id, user_id, 'VELOCITY', 75.0, 'OPEN' FROM fresh""")
+SELECT 'CASE_VEL_NEW_' || user_id, user_id, 'VELOCITY', 75.0, 'OPEN', 'opened by a later alert', '{LATER}', '{LATER}' FROM fresh""")
 def o09_escalate(spark, t):
-    table = fraud.cases(t.events, accounts(t), **EVENT, **ACCOUNT, velocity_seconds=DAY)
+    table = written(fraud.cases(t.events, accounts(t), **EVENT, **ACCOUNT, velocity_seconds=DAY, opened=OPENED), "cases")
     again = fraud.velocity_alerts(t.events, "user_id", "ts", DAY, 4)
-    return fraud.escalate(table, again, "user_id").select("case_id", "account_id", "detection_type", "risk_score", "status")
+    return fraud.escalate(table, again, "user_id", LATER).select(
+        "case_id", "account_id", "detection_type", "risk_score", "status", "notes", *[F.col(c).cast("string").alias(c) for c in ("created_at", "updated_at")])
 
 
 @query("o09_case_evidence", f"""
@@ -470,6 +477,15 @@ def o23(spark, t):
     return vector.top_k(queries, t.embeddings, 10).withColumn("cosine", F.round("cosine", 6))
 
 
+@query("o23_vector_index")
+def o23_index(spark, t):
+    """Ten neighbours of every vector whose id is divisible by 100 among all vectors, by centroid lists."""
+    index = vector.fit_lists(t.embeddings, 10)
+    built = vector.build_index(t.embeddings, index)
+    asked = t.embeddings.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return vector.search(asked, built, index, 10).withColumn("cosine", F.round("cosine", 6))
+
+
 @query("o24_feature_label_join", f"""
 WITH lab AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'),
 chg AS (

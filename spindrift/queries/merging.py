@@ -184,7 +184,7 @@ def m06(spark, t):
 SELECT user_id, value, event_id AS valid_from, coalesce(nxt, -1) AS valid_to, nxt IS NULL AS is_current FROM (
   SELECT *, {OPS} AS op, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt FROM events) WHERE op <> 'DELETE'""")
 def m06_type2(spark, t):
-    hist = history.apply_cdc(change_log(t), ["user_id"], "seq", "op", scd_type=2, chunk=F.floor(F.col("seq") / 1000).cast("bigint"))
+    hist = history.apply_cdc(change_log(t), ["user_id"], "seq", "op", scd_type=2)
     return hist.select("user_id", "value", "valid_from", F.coalesce("valid_to", F.lit(-1)).alias("valid_to"), "is_current")
 
 
@@ -301,7 +301,7 @@ def m15(spark, t):
     """Share of files a keyed update would rewrite, in load order and after clustering."""
     plain, clustered = new_dir(spark, "m15-plain"), new_dir(spark, "m15-clustered")
     t.orders.repartition(16).write.parquet(plain)
-    layout.zorder_write(t.orders, ["o_custkey"], 16, clustered)
+    layout.zorder_write(t.orders, ["o_custkey"], clustered)
     keys = t.customer.filter("c_custkey BETWEEN 100 AND 140").select(F.col("c_custkey").alias("o_custkey"))
     out = None
     for name, path in (("plain", plain), ("clustered", clustered)):
@@ -329,6 +329,23 @@ def m16(spark, t):
     return customer360.golden_record(t)
 
 
+@query("m16_master_upsert", """
+WITH o AS (SELECT o_custkey, COUNT(*) AS total_orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS order_value FROM orders GROUP BY 1)
+SELECT c_custkey, c_name, c_acctbal, coalesce(total_orders, 0) AS total_orders, coalesce(order_value, 0) AS order_value
+FROM customer LEFT JOIN o ON c_custkey = o_custkey
+UNION ALL SELECT -1 - s_suppkey, s_name, s_acctbal, -1, 0.0 FROM supplier""")
+def m16_upsert(spark, t):
+    """The record goes into a master that holds stale rows of half the customers and rows of another system, which stay."""
+    record = customer360.golden_record(t)
+    stale = record.filter("c_custkey % 2 = 0").withColumns({"c_acctbal": F.lit(0.0), "total_orders": F.lit(-1).cast("long"), "order_value": F.lit(-1.0)})
+    others = t.supplier.select((-1 - F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal"),
+                               F.lit(-1).cast("long").alias("total_orders"), F.lit(0.0).alias("order_value"))
+    path = new_dir(spark, "m16")
+    write_version(stale.unionByName(others, allowMissingColumns=True), path)
+    write_version(customer360.golden_record(t, read_version(spark, path)), path)
+    return read_version(spark, path).select("c_custkey", "c_name", "c_acctbal", "total_orders", "order_value")
+
+
 @query("m17_first_bad_version", f"""
 WITH {V2}, b AS (SELECT 0 AS version, COUNT(*) AS n FROM customer WHERE NOT coalesce(c_mktsegment IN ('BUILDING','AUTOMOBILE','MACHINERY','HOUSEHOLD','FURNITURE','SUPPLIER','CONSTRUCTION','COLLECTIONS'), false)
  UNION ALL SELECT 1, COUNT(*) FROM v1 WHERE NOT coalesce(c_mktsegment IN ('BUILDING','AUTOMOBILE','MACHINERY','HOUSEHOLD','FURNITURE','SUPPLIER','CONSTRUCTION','COLLECTIONS'), false)

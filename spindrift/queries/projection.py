@@ -94,15 +94,21 @@ def prj09(spark, t):
 
 
 @query("prj10_temp_views", """
-SELECT 'local' AS scope, COUNT(*) AS n FROM customer WHERE c_acctbal > 0 UNION ALL SELECT 'global', COUNT(*) FROM supplier WHERE s_acctbal > 0""")
+SELECT 'local' AS scope, true AS listed, true AS gone, COUNT(*) AS n FROM customer WHERE c_acctbal > 0
+UNION ALL SELECT 'global', true, true, COUNT(*) FROM supplier WHERE s_acctbal > 0""")
 def prj10(spark, t):
     t.customer.filter("c_acctbal > 0").createOrReplaceTempView("solvent_customers")
     t.supplier.filter("s_acctbal > 0").createOrReplaceGlobalTempView("solvent_suppliers")
     out = spark.sql("""SELECT 'local' AS scope, COUNT(*) AS n FROM solvent_customers
                        UNION ALL SELECT 'global', COUNT(*) FROM global_temp.solvent_suppliers""")
+    names = {"local": (None, "solvent_customers"), "global": ("global_temp", "solvent_suppliers")}
+    here = lambda scope: names[scope][1] in {v.name for v in spark.catalog.listTables(names[scope][0])}
+    listed = {scope: here(scope) for scope in names}
     spark.catalog.dropTempView("solvent_customers")
     spark.catalog.dropGlobalTempView("solvent_suppliers")
-    return out
+    gone = {scope: not here(scope) for scope in names}
+    by_scope = lambda found: F.when(F.col("scope") == "local", F.lit(found["local"])).otherwise(F.lit(found["global"]))
+    return out.select("scope", by_scope(listed).alias("listed"), by_scope(gone).alias("gone"), "n")
 
 
 @query("prj11_sargable_dates", f"""

@@ -241,7 +241,7 @@ def f12_schema(spark, t):
 @query("f13_dense_ids", """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders""")
 def f13(spark, t):
-    return nested.dense_ids(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], F.to_date("o_orderdate")).select("o_orderkey", "id")
+    return nested.dense_ids(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
 
 
 @query("f13_engine_ids")

@@ -41,22 +41,23 @@ def u04(spark, t):
 
 @query("u05_align_union", """
 SELECT source, CAST(id AS VARCHAR) AS id, CAST(score AS DOUBLE) AS score, coalesce(note, '-') AS note FROM (
-  SELECT 'orders' AS source, o_orderkey AS id, o_totalprice AS score, o_orderstatus AS note FROM orders WHERE o_totalprice > 450000
-  UNION ALL SELECT 'events', event_id, value, NULL FROM events WHERE value > 200)""")
+  SELECT 'orders' AS source, o_orderkey AS id, o_totalprice AS score, o_orderstatus AS note FROM orders
+  UNION ALL SELECT 'events', event_id, value, NULL FROM events)""")
 def u05(spark, t):
-    a = t.orders.filter("o_totalprice > 450000").select(F.lit("orders").alias("source"), F.col("o_orderkey").alias("id"),
+    a = t.orders.select(F.lit("orders").alias("source"), F.col("o_orderkey").alias("id"),
                                                         F.col("o_totalprice").alias("score"), F.col("o_orderstatus").alias("note"))
-    b = t.events.filter("value > 200").select(F.lit("events").alias("source"), F.col("event_id").alias("id"),
+    b = t.events.select(F.lit("events").alias("source"), F.col("event_id").alias("id"),
                                               F.col("value").alias("score"), "props")
     out = align_union([a, b], {"source": "string", "id": "string", "score": "double", "note": "string"})
     return out.withColumn("note", F.coalesce("note", F.lit("-")))
 
 
 @query("u06_intersect", """
-SELECT c_nationkey AS nation FROM customer WHERE c_acctbal > 9000 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000""")
+SELECT c_nationkey AS nation, CAST(floor(c_acctbal / 100) AS BIGINT) AS band FROM customer
+INTERSECT SELECT s_nationkey, CAST(floor(s_acctbal / 100) AS BIGINT) FROM supplier""")
 def u06(spark, t):
-    a = t.customer.filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("nation"))
-    return a.intersect(t.supplier.filter("s_acctbal > 5000").select("s_nationkey"))
+    a = t.customer.select(F.col("c_nationkey").alias("nation"), F.floor(F.col("c_acctbal") / 100).alias("band"))
+    return a.intersect(t.supplier.select("s_nationkey", F.floor(F.col("s_acctbal") / 100)))
 
 
 @query("u06_except_all", """

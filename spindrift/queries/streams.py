@@ -4,14 +4,13 @@ from pyspark.sql import functions as F
 
 from spindrift.functions.numeric import exact_avg, exact_sum
 from spindrift.operators import aggregates, joins
-from spindrift.operators.sets import dedup_latest
 from spindrift.plans import iot
 from spindrift.queries import query
 from spindrift.queries.jobs import RANGES, readings
 from spindrift.queries.snippets import davg, dsum
 from spindrift.session import new_dir
-from spindrift.sources.versions import last_version, read_version
 from spindrift.streaming import sinks, state
+from spindrift.streaming.buckets import read_state
 from spindrift.streaming.runner import event_time, file_stream, progress, result_of, run_available, start, table_stream
 from spindrift.streaming.windows import time_bounded_join, windowed
 
@@ -65,7 +64,7 @@ def st02_update(spark, t):
     src, path = split_files(spark, t, "st02u-in"), new_dir(spark, "st02u")
     body = sinks.upsert_batches(path, ["event_type"], ["n"])
     run_available(by_type(file_stream(spark, src, t.events, 1)), "st02u", mode="update", on_batch=body)
-    return read_version(spark, path)
+    return read_state(spark, path)
 
 
 def window_sql(minutes, delay_minutes=None, slide=None):
@@ -111,19 +110,18 @@ def st05(spark, t):
 
 @query("st05_dropped_rows")
 def st05_dropped(spark, t):
-    _, q = _late(spark, t)
-    return progress(q).select("batch_id", "input_rows", "dropped_rows")
+    _, log = _late(spark, t)
+    return progress(spark, log).select("batch_id", "input_rows", "dropped_rows")
 
 
 def _late(spark, t):
-    src, out, mark = (new_dir(spark, f"st05-{x}") for x in ("in", "out", "checkpoint"))
-    q = None
+    src, out, mark, log = (new_dir(spark, f"st05-{x}") for x in ("in", "out", "checkpoint", "log"))
     for part in ("ts >= TIMESTAMP_NTZ '2024-01-20 00:00:00'", "ts < TIMESTAMP_NTZ '2024-01-20 00:00:00'"):
         t.events.filter(part).write.mode("append").parquet(src)
         events = event_time(file_stream(spark, src, t.events), "ts", "10 minutes")
         agg = windowed(events, "ts", ["event_type"], "value", "60 minutes").select("window_start", "event_type", "n")
-        _, q = run_available(agg, "st05", out=out, checkpoint=mark)
-    return spark.read.parquet(out), q
+        run_available(agg, "st05", out=out, checkpoint=mark, log=log)
+    return spark.read.parquet(out), log
 
 
 @query("st06_stream_static_enrichment", f"""
@@ -184,7 +182,7 @@ def st09(spark, t):
     """Running statistics per user over micro-batches; the last batch is delivered twice."""
     src, path = split_files(spark, t, "st09-in"), new_dir(spark, "st09")
     fold = sinks.fold_batches(
-        path, lambda b: aggregates.running_stats(b, ["user_id"], "value", "ts", "event_id"),
+        path, ["user_id"], lambda b: aggregates.running_stats(b, ["user_id"], "value", "ts", "event_id"),
         lambda old, new: aggregates.merge_stats(old, new, ["user_id"]))
 
     def twice(batch, batch_id):
@@ -192,7 +190,7 @@ def st09(spark, t):
         fold(batch, batch_id)
 
     run_available(file_stream(spark, src, t.events, 1), "st09", on_batch=twice)
-    return aggregates.read_stats(read_version(spark, path), ["user_id"]).select(
+    return aggregates.read_stats(read_state(spark, path), ["user_id"]).select(
         "user_id", "n", "mean_value", F.round("stddev_value", 4).alias("stddev_value"), "min_value", "max_value", "last_value")
 
 
@@ -202,7 +200,7 @@ def st09_latest(spark, t):
     src, path = split_files(spark, t, "st09l-in"), new_dir(spark, "st09l")
     rows = file_stream(spark, src, t.events, 1).select("user_id", "ts", "event_id", "event_type", "value")
     run_available(rows, "st09l", on_batch=sinks.upsert_batches(path, ["user_id"], ["ts", "event_id"]))
-    return read_version(spark, path).select("user_id", "event_type", "value", "event_id")
+    return read_state(spark, path).select("user_id", "event_type", "value", "event_id")
 
 
 @query("st10_restart", "SELECT event_id, user_id FROM events")
@@ -259,17 +257,18 @@ def st14(spark, t):
         "user_id", "ts", F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int").alias("salt"),
         F.round(F.col("value") * 100).cast("bigint").alias("cents"), F.unix_micros("ts").alias("us"))
     totals = state.keyed_totals(rows, "user_id", "salt", "cents", "us", timeout_ms=90 * 86_400_000)
-    body = sinks.fold_batches(path, lambda b: b, lambda old, new: dedup_latest(old.unionByName(new), ["key", "salt"], ["n"]))
-    run_available(totals, "st14", mode="update", on_batch=body)
-    return read_version(spark, path, last_version(spark, path)).groupBy("key").agg(
+    body = sinks.upsert_batches(path, ["key", "salt"], ["n"])
+    with state.keyed_state_store(spark):
+        run_available(totals, "st14", mode="update", on_batch=body)
+    return read_state(spark, path).groupBy("key").agg(
         F.sum("n").alias("n"), F.sum("total_cents").alias("total_cents"), F.max("last_us").alias("last_us"))
 
 
 @query("st15_progress")
 def st15(spark, t):
-    src = split_files(spark, t, "st15-in")
-    _, q = run_available(by_type(file_stream(spark, src, t.events, 1)), "st15", mode="complete")
-    return progress(q)
+    src, log = split_files(spark, t, "st15-in"), new_dir(spark, "st15-log")
+    run_available(by_type(file_stream(spark, src, t.events, 1)), "st15", mode="complete", log=log)
+    return progress(spark, log)
 
 
 @query("st16_trigger_equality", f"SELECT event_type, COUNT(*) AS n, {dsum('value')} AS total, true AS same FROM events GROUP BY 1")

@@ -4,15 +4,13 @@ from pyspark.sql import Window, functions as F
 
 from spindrift.functions.numeric import dec
 from spindrift.operators.windows import (
-    HOT_ROWS, chunked_window, even_chunks, time_chunk, top_per_group, trailing_stats, value_ranks, with_group_values,
+    chunked_window, time_chunk, top_per_group, trailing_stats, value_ranks, with_group_values,
 )
 from spindrift.plans import iot
 from spindrift.queries import query
 from spindrift.queries.snippets import SEC, TRAILING_30D, VELOCITY, davg, dsum
 
 DAY = 86_400
-MINUTE = 60
-ROWS = 10_000  # per chunk; a cluster may take more
 
 
 @query("w01_rank_family", """
@@ -22,9 +20,8 @@ SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_to
 FROM orders""")
 def w01(spark, t):
     o = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
-    by_price = chunked_window(o, ["o_orderpriority"], ["o_totalprice", "o_orderkey"],
-                              even_chunks(o, "o_totalprice", ROWS), row_number="rn")
-    by_date = value_ranks(by_price, ["o_orderpriority"], ["o_orderdate"], F.year("o_orderdate"), rank="rnk", dense_rank="dense")
+    by_price = chunked_window(o, ["o_orderpriority"], ["o_totalprice", "o_orderkey"], row_number="rn")
+    by_date = value_ranks(by_price, ["o_orderpriority"], ["o_orderdate"], rank="rnk", dense_rank="dense")
     return by_date.select("o_orderkey", "rn", "rnk", "dense")
 
 
@@ -32,8 +29,7 @@ def w01(spark, t):
 SELECT o_orderkey, percent_rank() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice) AS pr FROM orders""")
 def w02(spark, t):
     o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return value_ranks(o, ["o_orderstatus"], ["o_totalprice"], even_chunks(o, "o_totalprice", ROWS),
-                       percent_rank="pr").select("o_orderkey", "pr")
+    return value_ranks(o, ["o_orderstatus"], ["o_totalprice"], percent_rank="pr").select("o_orderkey", "pr")
 
 
 @query("w03_lag_lead", """
@@ -41,8 +37,7 @@ SELECT event_id, coalesce(lag(event_id) OVER w, -1) AS prev_id, coalesce(lead(ev
        (value - lag(value) OVER w) * 100 / nullif(lag(value) OVER w, 0) AS change_pct
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def w03(spark, t):
-    w = chunked_window(t.events, ["user_id"], ["ts", "event_id"], time_chunk("ts", MINUTE), hot_rows=HOT_ROWS,
-                       lag={"p": "event_id", "pv": "value"}, lead={"n": "event_id"})
+    w = chunked_window(t.events, ["user_id"], ["ts", "event_id"], lag={"p": "event_id", "pv": "value"}, lead={"n": "event_id"})
     return w.select("event_id", F.coalesce("p", F.lit(-1)).alias("prev_id"), F.coalesce("n", F.lit(-1)).alias("next_id"),
                     ((F.col("value") - F.col("pv")) * 100 / F.nullif(F.col("pv"), F.lit(0.0))).alias("change_pct"))
 
@@ -64,7 +59,7 @@ SELECT event_id, CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_
 FROM events""")
 def w04(spark, t):
     rows = t.events.withColumn("v", dec("value"))
-    return chunked_window(rows, ["user_id"], ["ts", "event_id"], time_chunk("ts", 6 * 3600), running={"r": "v"}).select(
+    return chunked_window(rows, ["user_id"], ["ts", "event_id"], running={"r": "v"}).select(
         "event_id", F.col("r").cast("double").alias("running"))
 
 
@@ -73,9 +68,8 @@ SELECT o_orderkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) OVER (ORDER BY
        ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running
 FROM orders""")
 def w04_global(spark, t):
-    rows = t.orders.select("o_orderkey", "o_orderdate", dec("o_totalprice").alias("v"), F.lit(0).alias("all"))
-    day = F.to_date("o_orderdate")
-    return chunked_window(rows, ["all"], ["o_orderdate", "o_orderkey"], day, running={"r": "v"}).select(
+    rows = t.orders.select("o_orderkey", "o_orderdate", dec("o_totalprice").alias("v"))
+    return chunked_window(rows, [], ["o_orderdate", "o_orderkey"], running={"r": "v"}).select(
         "o_orderkey", F.col("r").cast("double").alias("running"))
 
 

@@ -68,6 +68,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to a fresh scratch folder and read again: smaller than a checkpoint, and read by columns."""
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Upper estimate of the size of ``df`` from the optimiser's statistics."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

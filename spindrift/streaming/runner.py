@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import json
+import threading
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from spindrift.session import new_dir
 from spindrift.sources.tables import Tables
@@ -61,19 +63,28 @@ def start(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", fm
 
 def run_available(df: DataFrame, label: str, *, mode: str = "append",
                   on_batch: Callable[[DataFrame, int], None] | None = None,
-                  checkpoint: str | None = None, out: str | None = None) -> tuple[str, StreamingQuery]:
-    """Process all available input and stop; returns the output folder and the finished query."""
+                  checkpoint: str | None = None, out: str | None = None, log: str | None = None) -> tuple[str, StreamingQuery]:
+    """Process all available input and stop; returns the output folder and the finished query. ``log`` is a folder for ``progress``."""
     spark = df.sparkSession
     out = out or new_dir(spark, label)
     checkpoint = checkpoint or new_dir(spark, f"{label}-checkpoint")
+    if log is not None:
+        with progress_log(spark, log) as name:
+            return _run(df, mode, on_batch, checkpoint, out, name)
+    return _run(df, mode, on_batch, checkpoint, out)
+
+
+def _run(df: DataFrame, mode: str, on_batch, checkpoint: str, out: str, name: str | None = None) -> tuple[str, StreamingQuery]:
+    spark = df.sparkSession
     if on_batch is None and mode == "append":
-        query = start(df, out, checkpoint)
+        query = start(df, out, checkpoint, name=name)
     else:
         def replace(batch: DataFrame, batch_id: int) -> None:
             # complete mode: each batch is the whole result
             batch.write.mode("overwrite").parquet(out)
 
         writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        writer = writer.queryName(name) if name else writer
         with state_partitions(spark):
             query = writer.foreachBatch(on_batch or replace).start()
     query.awaitTermination()
@@ -87,16 +98,72 @@ def result_of(df: DataFrame, label: str, mode: str = "append") -> DataFrame:
     return plain.parquet(out)
 
 
-def progress(query: StreamingQuery) -> DataFrame:
-    """Rows, state rows, rows dropped by the watermark and durations of each micro-batch."""
-    lines = []
-    for p in query.recentProgress:
-        d = p if isinstance(p, dict) else json.loads(p.json)
-        state = d.get("stateOperators") or []
-        lines.append((
-            int(d["batchId"]), int(d["numInputRows"]), sum(int(s["numRowsTotal"]) for s in state),
-            sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in state),
-            int((d.get("durationMs") or {}).get("triggerExecution", 0)),
-        ))
-    schema = "batch_id bigint, input_rows bigint, state_rows bigint, dropped_rows bigint, duration_ms bigint"
-    return SparkSession.getActiveSession().createDataFrame(lines, schema)
+PROGRESS = "run_id string, batch_id bigint, input_rows bigint, state_rows bigint, dropped_rows bigint, duration_ms bigint"
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends a record of every micro-batch of the queries of one name to files in a folder, ``keep`` records a file.
+
+    Spark's own list of recent progress ends at its last hundred entries; this one holds all batches of a job of any length, and the driver at most
+    ``keep`` of them.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, folder: str, keep: int = 500):
+        self.spark, self.name, self.folder, self.keep = spark, name, folder, keep
+        self.lines: list[str] = []
+        self.runs: set[str] = set()
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.runs.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name != self.name:
+            return
+        state = p.stateOperators or []
+        self.lines.append(json.dumps({
+            "run_id": str(p.runId), "batch_id": p.batchId, "input_rows": p.numInputRows, "state_rows": sum(s.numRowsTotal for s in state),
+            "dropped_rows": sum(s.numRowsDroppedByWatermark for s in state), "duration_ms": int((p.durationMs or {}).get("triggerExecution", 0)),
+        }))
+        if len(self.lines) >= self.keep:
+            self._flush()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) in self.runs:
+            self._flush()
+            self.ended.set()
+
+    def _flush(self) -> None:
+        if self.lines:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{uuid.uuid4().hex}.json")
+            out = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(where)
+            out.write(bytearray("\n".join(self.lines).encode()))
+            out.close()
+            self.lines = []
+
+
+@contextlib.contextmanager
+def progress_log(spark: SparkSession, folder: str, wait_seconds: int = 60):
+    """The name to give to a query whose batches are to be logged; its records are complete when the block is left."""
+    log = ProgressLog(spark, f"logged-{uuid.uuid4().hex[:8]}", folder)
+    spark.streams.addListener(log)
+    try:
+        yield log.name
+        if log.runs and not log.ended.wait(wait_seconds):
+            raise TimeoutError("the stream's last events did not arrive")
+    finally:
+        spark.streams.removeListener(log)
+
+
+def progress(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, state rows, rows dropped by the watermark and duration of each logged micro-batch.
+
+    A trigger without a new batch reports the last one again, so of equal batches of a run the largest figures count.
+    """
+    rows = spark.read.schema(PROGRESS).json(folder)
+    return rows.groupBy("run_id", "batch_id").agg(*[F.max(c).alias(c) for c in ("input_rows", "state_rows", "dropped_rows", "duration_ms")]).drop("run_id")

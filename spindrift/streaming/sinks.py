@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from spindrift.operators.sets import dedup_latest
-from spindrift.sources.versions import last_version, read_version, write_version
+from spindrift.streaming.buckets import BUCKETS, fold
 
 Body = Callable[[DataFrame, int], None]
 
@@ -30,31 +30,24 @@ def multi_sink(sinks: Mapping[str, Callable[[DataFrame], DataFrame]]) -> Body:
     return body
 
 
-def fold_batches(path: str, summarise: Callable[[DataFrame], DataFrame],
-                 combine: Callable[[DataFrame, DataFrame], DataFrame]) -> Body:
-    """Keep a running state per key across micro-batches, one version folder per batch.
+def fold_batches(path: str, keys: Sequence[str], summarise: Callable[[DataFrame], DataFrame],
+                 combine: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = BUCKETS) -> Body:
+    """Keep a running state per key across micro-batches, in hash buckets of which each batch writes those it touches.
 
-    Version N is version N-1 combined with the summary of batch N. A replay of batch N
-    starts from N-1 again and overwrites N, so nothing is counted twice; batches older than
-    the newest version are skipped.
+    A replay of batch N starts again from the state before N, so nothing is counted twice; batches older than
+    the newest one are skipped. Read it with ``buckets.read_state``.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id < last_version(spark, path):
-            return
-        base = last_version(spark, path, below=batch_id)
-        news = summarise(batch)
-        old = read_version(spark, path, base)
-        write_version(news if old is None else combine(old, news), path, batch_id)
+        fold(summarise(batch), path, keys, batch_id, combine, buckets)
 
     return body
 
 
-def upsert_batches(path: str, keys: Sequence[str], order_by: Sequence[str]) -> Body:
+def upsert_batches(path: str, keys: Sequence[str], order_by: Sequence[str], buckets: int = BUCKETS) -> Body:
     """Keep the latest row per key across micro-batches; safe to replay."""
     return fold_batches(
-        path,
+        path, keys,
         lambda batch: dedup_latest(batch, keys, order_by),
-        lambda old, new: dedup_latest(old.unionByName(new), keys, order_by),
+        lambda old, new: dedup_latest(old.unionByName(new), keys, order_by), buckets,
     )

@@ -1,40 +1,86 @@
-"""Keyed state with a timeout."""
+"""Keyed state with timers."""
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-OUTPUT = "key long, salt int, n long, total_cents long, last_us long"
-_STATE = "n long, total_cents long, last_us long"
+OUTPUT = "key long, salt int, n long, total_cents long, last_us long, closed boolean"
+_TOTALS = "n long, total_cents long, last_us long"
+_LATEST = "us long, cents long"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def keyed_totals(df: DataFrame, key: str, salt: str, cents: str, micros: str, timeout_ms: int) -> DataFrame:
-    """Running count, total and last time per (key, salt), emitted on every batch that touches it.
+@contextlib.contextmanager
+def keyed_state_store(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which keyed state with timers needs."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    given = spark.conf.get(key, None)
+    spark.conf.set(key, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if given is None else spark.conf.set(key, given)
 
-    ``df`` needs a watermark. The state per key is three numbers and the rows of a batch
-    arrive in Arrow pieces, so no group is held whole; ``salt`` splits a hot key, and
-    readers add its parts up. The state of a key is dropped once the watermark is
-    ``timeout_ms`` past its last event. (A timeout on processing time would keep
-    ``availableNow`` running for ever.)
+
+class RunningTotals(StatefulProcessor):
+    """Per key a value state (count, total and last time), a list state (the latest amounts) and a timer.
+
+    The timer stands ``timeout_ms`` past the key's last event; each batch that moves it puts the old one away. When the watermark passes it, the key's
+    state is given out once more as closed and cleared.
     """
 
-    def update(group, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n, total, last = state.get if state.exists else (0, 0, 0)
-        for piece in pieces:
+    def __init__(self, cents: str, micros: str, timeout_ms: int, keep: int):
+        self.cents, self.micros, self.timeout_ms, self.keep = cents, micros, timeout_ms, keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.totals = handle.getValueState("totals", _TOTALS)
+        self.latest = handle.getListState("latest", _LATEST)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n, total, last = self.totals.get() or (0, 0, 0)
+        recent = list(self.latest.get())
+        due = last // 1000 + self.timeout_ms if n else None
+        for piece in rows:
             n += len(piece)
-            total += int(piece[cents].sum())
-            last = max(last, int(piece[micros].max()))
-        state.update((n, total, last))
-        state.setTimeoutTimestamp(last // 1000 + timeout_ms)
-        yield pd.DataFrame({"key": [group[0]], "salt": [group[1]], "n": [n], "total_cents": [total], "last_us": [last]})
-
-    return df.groupBy(key, salt).applyInPandasWithState(
-        update, OUTPUT, _STATE, "update", GroupStateTimeout.EventTimeTimeout
+            total += int(piece[self.cents].sum())
+            last = max(last, int(piece[self.micros].max()))
+            newest = piece.nlargest(self.keep, [self.micros, self.cents])
+            recent = sorted([*map(tuple, recent), *zip(newest[self.micros].astype(int), newest[self.cents].astype(int))])[-self.keep:]
+        self.totals.update((n, total, last))
+        self.latest.put([(int(us), int(cents)) for us, cents in recent])
+        if last // 1000 + self.timeout_ms != due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(last // 1000 + self.timeout_ms)
+        yield self._row(key, n, total, last, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.totals.exists():
+            n, total, last = self.totals.get()
+            self.totals.clear()
+            self.latest.clear()
+            yield self._row(key, n, total, last, True)
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _row(key, n: int, total: int, last: int, closed: bool) -> pd.DataFrame:
+        return pd.DataFrame({"key": [key[0]], "salt": pd.array([key[1]], "int32"), "n": [n], "total_cents": [total], "last_us": [last], "closed": [closed]})
+
+
+def keyed_totals(df: DataFrame, key: str, salt: str, cents: str, micros: str, timeout_ms: int, keep: int = 3) -> DataFrame:
+    """Running count, total and last time per (key, salt), emitted on every batch that touches it and once more, ``closed``, when it times out.
+
+    ``df`` needs a watermark, which drives the timers. The state of a key is three numbers and its ``keep`` latest amounts, and the rows of a batch
+    arrive in Arrow pieces, so no group is held whole; ``salt`` splits a hot key, and readers add its parts up. Start the query within ``keyed_state_store``.
+    """
+    return df.groupBy(key, salt).transformWithStateInPandas(
+        RunningTotals(cents, micros, timeout_ms, keep), outputStructType=OUTPUT, outputMode="update", timeMode="EventTime"
     )

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from spindrift.operators import history as h
+from spindrift.operators.merge import AmbiguousMerge
 
 DDL = "k int, a string, b int"
 
@@ -40,8 +41,8 @@ def test_cdc_any_order(spark, seed):
     log = spark.createDataFrame(shuffled, LOG_DDL).repartition(3)
     live = h.live_rows(h.apply_cdc(log, ["id"], "seq", "op"))
     assert {(r["id"], r["mail"]) for r in live.collect()} == {("c1", "c@x"), ("c2", "e@x")}
-    for chunk in (None, F.floor(F.col("seq") / 2)):
-        hist = h.apply_cdc(log, ["id"], "seq", "op", scd_type=2, chunk=chunk)
+    for hot_rows in (None, 2):
+        hist = h.apply_cdc(log, ["id"], "seq", "op", scd_type=2, hot_rows=hot_rows)
         assert {(r["id"], r["mail"], r["valid_from"], r["valid_to"]) for r in hist.collect()} == {
             ("c1", "a@x", 1, 3), ("c1", "b@x", 3, 5), ("c1", "c@x", 7, None), ("c2", "d@x", 2, 6), ("c2", "e@x", 6, None), ("c3", "f@x", 4, 8)}
 
@@ -83,3 +84,11 @@ def test_first_bad_version(spark):
         h.change_feed(v1, v2, ["k"], 2, "2024-01-03"))
     assert tuple(h.first_bad_version(feed, "a IS NOT NULL").first()) == (1, 1)
     assert h.first_bad_version(feed, "k > 0").isEmpty()
+
+
+def test_scd2_refuses_a_key_twice(spark):
+    dim = h.open_history(spark.createDataFrame([(1, "a")], "k int, v string"), "2024-01-01")
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(AmbiguousMerge):
+        h.scd2(dim, twice, ["k"], ["v"], "2024-02-01")
+    assert h.current(h.scd2(dim, twice.limit(1), ["k"], ["v"], "2024-02-01")).count() == 1

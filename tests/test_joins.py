@@ -54,6 +54,30 @@ def test_interval_bounds(spark):
     assert interval_join(facts, versions, "k", "at", "lo", "hi", "left").count() == 5
 
 
+@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
+def test_interval_join_equals_range_join(spark, hot_rows):
+    rnd = random.Random(hot_rows)
+    versions, facts = [], [(None, 3, -1), ("a", None, -2), ("zz", 5, -3)]
+    for k in "abc":
+        cuts = sorted(rnd.sample(range(500), 60))
+        for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            if rnd.random() < 0.8:  # gaps
+                versions.append((k, lo, hi, f"{k}{i}"))
+        versions += [(k, cuts[-1], None, f"{k}open"), (k, cuts[5], cuts[5], "empty")]
+    facts += [(rnd.choice("aaaab"), rnd.choice([7, rnd.randrange(520)]), i) for i in range(400)]  # a hot key and a hot moment
+    v = spark.createDataFrame([*versions, (None, 1, 9, "x"), ("a", None, 9, "y")], "k string, lo int, hi int, v string")
+    f = spark.createDataFrame(facts, "k string, at int, id int").repartition(3)
+    for how in ("inner", "left"):
+        side = v.withColumnRenamed("k", "vk")
+        on = (F.col("k") == F.col("vk")) & (F.col("at") >= F.col("lo")) & (F.col("hi").isNull() | (F.col("at") < F.col("hi")))
+        want = f.join(side, on, how).select("id", "k", "at", "lo", "hi", "v").collect()
+        got = interval_join(f, v, "k", "at", "lo", "hi", how, hot_rows=hot_rows)
+        assert sorted(map(repr, got.select("id", "k", "at", "lo", "hi", "v").collect())) == sorted(map(repr, want))
+    assert "Join" not in interval_join(f, v, "k", "at", "lo", "hi")._jdf.queryExecution().optimizedPlan().toString()  # one pass in order of time
+    with pytest.raises(ValueError):
+        interval_join(f, v, "k", "at", "lo", "hi", "full")
+
+
 def brute_travel(rows, limit):
     out = set()
     for (k, p, s, i) in rows:
@@ -65,13 +89,14 @@ def brute_travel(rows, limit):
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_nearest_other_place(spark, seed):
+@pytest.mark.parametrize("hot_rows", [15, 1_000_000])
+@pytest.mark.parametrize("seed", range(3))
+def test_nearest_other_place(spark, seed, hot_rows):
     rnd = random.Random(seed)
     rows = [(rnd.choice("ab"), rnd.choice("xyz"), T0 + rnd.randrange(0, 300), i) for i in range(120)]
     rows += [("hot", "x", T0 + i, 500 + i) for i in range(80)] + [("hot", "y", T0 + 79 + 30, 900), ("hot", "y", T0 + 79 + 31 + 100, 901)]
     df = spark.createDataFrame(rows, "k string, p string, s long, id long").withColumn("ts", F.timestamp_seconds("s"))
-    got = nearest_other_place(df, "k", "p", "ts", "id", 30).collect()
+    got = nearest_other_place(df, "k", "p", "ts", "id", 30, hot_rows=hot_rows).collect()
     assert {(r["k"], r["from_id"], r["to_id"], r["place_from"], r["place_to"], r["travel_seconds"]) for r in got} == brute_travel(rows, 30)
 
 
@@ -83,12 +108,13 @@ def test_travel_edges(spark):
     assert {r["to_id"] for r in nearest_other_place(df, "k", "p", "ts", "id", 1800).collect()} == {4, 6}
 
 
-def test_latest_before(spark):
+@pytest.mark.parametrize("hot_rows", [15, 1_000_000])
+def test_latest_before(spark, hot_rows):
     rnd = random.Random(3)
     a = [(rnd.choice("ab"), T0 + rnd.randrange(0, 400), i) for i in range(80)]
     b = [(rnd.choice("abc"), T0 + rnd.randrange(0, 400), 1000 + i) for i in range(80)]
     make = lambda rows: spark.createDataFrame(rows, "k string, s long, id long").withColumn("ts", F.timestamp_seconds("s"))
-    got = latest_before(make(a), make(b), "k", "ts", "ts", 40, ["ts", "id"], "id").collect()
+    got = latest_before(make(a), make(b), "k", "ts", "ts", 40, ["ts", "id"], "id", hot_rows=hot_rows).collect()
     want = set()
     for k, s, i in b:
         hits = [r for r in a if r[0] == k and 0 <= s - r[1] <= 40]

@@ -130,3 +130,24 @@ def test_pandas_tier_of_a_missing_balance():
     from spindrift.queries.subqueries import pandas_tier
 
     assert pandas_tier(pd.Series([None, 0.0, 2500.0, 7500.0])).tolist() == ["BRONZE", "BRONZE", "SILVER", "GOLD"]
+
+
+def test_drift_by_quantiles_and_categories(spark):
+    old = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS v", "IF(id % 4 = 0, 'a', 'b') AS c").union(spark.sql("SELECT NULL, NULL"))
+    same = q.quantile_drift(old, old, "v", 10).collect()
+    assert {r.bin: r.old_rows for r in same} == {-1: 1, **dict.fromkeys(range(10), 100)} and all(r.psi_term == 0 for r in same)
+    moved = q.quantile_drift(old, old.selectExpr("v + 500 AS v"), "v", 10).collect()
+    assert sum(r.new_rows for r in moved) == 1001 and {r.bin for r in moved if r.new_rows} == {-1, 5, 6, 7, 8, 9}
+    assert abs(sum(r.distance for r in moved) - 500 / 1001) < 0.01
+    flat = q.quantile_drift(old.selectExpr("1D AS v"), old, "v", 10).collect()  # one value: its edges are one
+    assert sum(r.old_rows for r in flat) == 1001
+    by = {r.category: r for r in q.category_drift(old, old.filter("c = 'a'").selectExpr("'z' AS c").union(old.select("c")), "c").collect()}
+    assert set(by) == {"a", "b", "z", None} and by["z"].old_rows == 0 and abs(sum(r.distance for r in by.values()) - 250 / 1251) < 1e-9
+    none = q.quantile_drift(old.filter("false"), old, "v", 10).collect()
+    assert sum(r.new_rows for r in none) == 1001 and q.category_drift(old.filter("false"), old.filter("false"), "c").isEmpty()
+
+
+def test_a_large_sketch_is_near_the_true_quantiles(spark):
+    rows = spark.range(200_000).selectExpr("CAST(pmod(hash(id), 100003) AS DOUBLE) AS v")
+    found = q.quantile_drift(rows, rows, "v", 10, accuracy=1000).collect()
+    assert all(abs(r.old_rows - 20_000) <= 2 * 200 + 10 for r in found)

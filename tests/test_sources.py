@@ -79,6 +79,24 @@ def test_ingest_each_file_once(spark):
     assert counts == [(0, 10), (-1, 10), (1, 25)]
 
 
+def test_a_load_reads_new_files_only(spark):
+    src, target, ledger = (new_dir(spark, x) for x in ("in", "target", "ledger"))
+    seen = set()
+    for lo, hi in ((0, 10), (10, 10), (10, 25), (25, 30)):
+        spark.range(lo, hi).repartition(2).write.mode("append").parquet(src)
+        fresh = {r._file for r in ingest.new_files(spark, src, ledger).collect()}
+        assert fresh and not fresh & seen
+        seen |= fresh
+        ingest.ingest_new_files(spark, src, "parquet", "id bigint", target, ledger)
+        assert ingest.new_files(spark, src, ledger).isEmpty()
+    recorded = spark.read.parquet(ledger).collect()
+    assert {r._file for r in recorded} == seen and len(recorded) == len(seen)  # the one without rows as well
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == list(range(30))
+    spark.range(30, 36).repartition(3).write.mode("append").parquet(src)
+    counts = [ingest.ingest_new_files(spark, src, "parquet", "id bigint", target, ledger, batch_files=2) for _ in range(3)]
+    assert counts[0] >= 0 and counts[-1] == -1 and spark.read.parquet(target).count() == 36
+
+
 def test_failed_load_is_repeated(spark):
     src, target, ledger = (new_dir(spark, x) for x in ("in", "target", "ledger"))
     spark.range(5).write.parquet(src)
@@ -117,8 +135,34 @@ def test_compaction_and_clustering(spark, tables):
     tables.lineitem.repartition(12).write.parquet(small)
     report = {r["stage"]: r["files"] for r in layout.compact(spark, small, big).collect()}
     assert report == {"before": 12, "after": 1} and spark.read.parquet(big).count() == tables.lineitem.count()
-    layout.zorder_write(tables.lineitem, ["l_partkey", "l_suppkey"], 8, z)
+    layout.zorder_write(tables.lineitem, ["l_partkey", "l_suppkey"], z, least_files=8)
     ranges = layout.file_ranges(spark.read.parquet(z), ["l_partkey", "l_suppkey"])
     assert layout.skippable(ranges, "l_suppkey", 0, 1).first()["files_skipped"] > 0
     assert layout.skippable(ranges, "l_partkey", 0, 10).first()["files_skipped"] > 0
     assert "small files" in layout.health(spark, small).first()["warnings"]
+
+
+def test_compaction_keeps_partition_folders(spark):
+    src, out = new_dir(spark, "parts"), new_dir(spark, "parts-out")
+    rows = spark.range(30_000).selectExpr("id", "CASE WHEN id % 10 < 8 THEN 'a b' WHEN id % 10 = 8 THEN NULL ELSE '01' END AS p", "uuid() AS u")
+    rows.repartition(20).write.partitionBy("p").parquet(src)
+    sizes = lambda path: layout.file_sizes(spark, path).selectExpr("regexp_replace(path, '/[^/]*$', '') AS folder", "length").collect()
+    before = sizes(src)
+    target = sum(r.length for r in before if "a%20b" in r.folder or "a b" in r.folder) // 4
+    layout.compact(spark, src, out, target)
+    after = sizes(out)
+    names = lambda rows: {r.folder.rsplit("/", 1)[-1] for r in rows}
+    assert names(before) == names(after) and len(names(after)) == 3 and len(after) <= 8 < len(before)
+    assert max(r.length for r in after) <= 2 * target
+    same = lambda path: sorted(map(repr, spark.read.parquet(path).select("id", "p", "u").collect()))
+    assert same(src) == same(out)
+    # a file above the target is split by rows
+    layout.compact(spark, out, new_dir(spark, "parts-split"), target // 3)
+
+
+def test_clustering_splits_a_hot_value(spark):
+    out = new_dir(spark, "hot-z")
+    rows = spark.range(40_000).selectExpr("IF(id % 10 < 9, 7, id % 1000) AS k", "id AS v")
+    layout.zorder_write(rows, ["k"], out)
+    sizes = sorted(r["rows"] for r in layout.file_ranges(spark.read.parquet(out), ["k"]).collect())
+    assert sum(sizes) == 40_000 and len(sizes) >= 14 and sizes[-1] <= 2 * sizes[len(sizes) // 2]

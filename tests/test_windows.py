@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from spindrift.functions.numeric import exact_sum
+from spindrift.operators import windows
 from spindrift.operators.aggregates import exact_quantiles, merge_stats, nest, read_stats, running_stats
 from spindrift.operators.windows import (
-    chunked_window, even_chunks, time_chunk, top_per_group, trailing_stats, value_chunk, value_ranks, with_group_values,
+    carry, chunked_window, split_hot, time_chunk, top_per_group, trailing_stats, value_ranks, with_group_values,
 )
 
 T0 = 1_700_000_000
@@ -80,7 +81,7 @@ def test_chunk_must_divide(rows):
 
 
 def test_exact_quantiles(rows):
-    got = exact_quantiles(rows, ["k"], "v", {"m": 0.5}, value_chunk("v", 5)).filter("k = 'hot'").first()["m"]
+    got = exact_quantiles(rows, ["k"], "v", {"m": 0.5}, hot_rows=50).filter("k = 'hot'").first()["m"]
     values = sorted(r["v"] for r in rows.filter("k = 'hot'").collect())
     assert got == values[len(values) // 2 - 1]
 
@@ -119,7 +120,49 @@ def test_group_values_and_top_k(rows):
     assert top_per_group(rows, ["k"], [F.desc("v"), F.asc("id")], 2).count() == 8
 
 
-def test_even_chunks(spark, rows):
-    chunks = rows.select(even_chunks(rows, "v", 100).alias("c")).distinct().count()
-    assert 5 <= chunks <= 9
-    assert spark.range(0).select(F.col("id").cast("double").alias("x")).select(even_chunks(spark.range(0), "id")).count() == 0
+@pytest.mark.parametrize("chunk", [None, "s"])
+def test_ranges_equal_plain_windows(rows, chunk):
+    """Every window column, over sampled ranges and over given chunks, of large keys only."""
+    w = Window.partitionBy("k").orderBy("s", "id")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    gaps = rows.withColumn("some", F.when(F.col("id") % 7 == 0, F.col("id")))
+    plain = gaps.select(
+        "id", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"), F.sum("id").over(so_far).alias("run"), F.last("some", True).over(so_far).alias("l"),
+        F.last("some", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("b"), F.row_number().over(w).cast("long").alias("rn"),
+        F.percent_rank().over(w).alias("pr"), F.count("*").over(Window.partitionBy("k")).alias("all"))
+    mine = chunked_window(gaps, ["k"], ["s", "id"], chunk and F.floor(F.col(chunk) / 500), hot_rows=30, rows_per_range=40, lag={"p": "v"}, lead={"n": "v"},
+                          running={"run": "id"}, latest={"l": "some"}, before={"b": "some"}, row_number="rn", percent_rank="pr", total="all")
+    same(plain, mine.select(plain.columns))
+
+
+def test_ranges_without_keys(rows):
+    w = Window.orderBy("s", "id")
+    plain = rows.select("id", F.row_number().over(w).cast("long").alias("rn"), F.sum("id").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    same(plain, chunked_window(rows, [], ["s", "id"], hot_rows=100, row_number="rn", running={"run": "id"}).select("id", "rn", "run"))
+    assert chunked_window(rows.filter("false"), [], ["s", "id"], row_number="rn").count() == 0
+    with pytest.raises(TypeError):
+        chunked_window(rows, ["k"], ["s"], no_such="x")
+
+
+@pytest.mark.parametrize("fan_out", [2, 5, 1000])
+def test_carry_tree(spark, monkeypatch, fan_out):
+    monkeypatch.setattr(windows, "FAN_OUT", fan_out)
+    rnd = random.Random(fan_out)
+    data = {(k, c): (rnd.randrange(9), rnd.choice([None, c]), rnd.choice([None, c])) for k in ("a", None) for c in rnd.sample(range(200), 60)}
+    summary = spark.createDataFrame([(k, c, *v) for (k, c), v in data.items()], "k string, _chunk long, n long, last long, first long")
+    for r in carry(summary, ["k"], ["n"], ["last"], ["first"]).collect():
+        earlier, later = ([v for (k, c), v in sorted(data.items(), key=repr) if k == r.k and (c < r._chunk if up else c > r._chunk)] for up in (True, False))
+        assert r.n == sum(v[0] for v in earlier)
+        assert r["last"] == max((v[1] for v in earlier if v[1] is not None), default=None)
+        assert r["first"] == min((v[2] for v in later if v[2] is not None), default=None)
+
+
+def test_one_value_is_spread(spark):
+    """Nine tenths of the rows on one day of one key: the ranges are cut within the day."""
+    rows = spark.range(40_000).select(F.lit("k").alias("k"), F.when(F.col("id") % 10 < 9, 5).otherwise(F.col("id") % 97).alias("day"), "id")
+    small, large = split_hot(rows, ["k"], ["day", "id"], 1000, 4000)
+    sizes = sorted(r["count"] for r in large.groupBy("_chunk").count().collect())
+    assert small.isEmpty() and sum(sizes) == 40_000 and len(sizes) >= 9 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    w = Window.partitionBy("k").orderBy("day", "id")
+    same(rows.select("id", F.row_number().over(w).cast("long").alias("rn")).filter("id % 50 = 0"),
+         chunked_window(rows, ["k"], ["day", "id"], hot_rows=1000, rows_per_range=4000, row_number="rn").select("id", "rn").filter("id % 50 = 0"))
