@@ -63,11 +63,13 @@ def exact_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text
             "_run", F.monotonically_increasing_id().alias("_group")
         ), "runs",
     )
-    numbered = df.select(*[name(c) for c in columns], name(id_column).alias("_id"), body.alias("_body"), first.alias("_run"))
+    # The columns of the input travel as one, so that none clashes with a helper's name.
+    own = F.struct(*[name(c) for c in columns]).alias("_own")
+    numbered = df.select(own, name(id_column).alias("_id"), body.alias("_body"), first.alias("_run"))
     bytes_of = lower_ascii(F.col("_body")).cast("binary")
     base, _ = written(
         numbered.join(shared.hint("merge"), "_run", "left").withColumn("_bytes", bytes_of).select(
-            *[name(c) for c in columns], "_id", "_group", F.when(F.col("_group").isNotNull(), F.col("_bytes")).alias("_bytes"),
+            "_own", "_id", "_group", F.when(F.col("_group").isNotNull(), F.col("_bytes")).alias("_bytes"),
             F.sha2("_bytes", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row"),
         ), "normal",
     )
@@ -85,7 +87,7 @@ def exact_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text
     discard(df.sparkSession, shared_in, heads_in, *folders)
     alone = F.col("kept").isNull()
     return base.drop("_bytes").join(members, "_row", "left").select(
-        *[name(c) for c in columns],
+        "_own.*",
         F.when(alone, F.col("_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce("kept", F.lit(True)).alias("kept"),

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spindrift.llm.rows import lower_ascii, name, slices, written
+from spindrift.llm.rows import lower_ascii, name, slices, unused, written
 
 TOKEN = re.compile(
     # a quote opens a value only after "=", and only if it is closed somewhere; a value may hold < and >
@@ -366,9 +366,10 @@ def main_text(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     agree, an empty table gives an empty one, columns named like a new one are replaced.
     """
     kept = [c for c in df.columns if c not in ("text", "n_chars", html)]
-    source = df.select(name(html).alias("_html"), host_of(name(url)).alias("_host"), *[name(c) for c in kept])
+    page, host, of, path = unused(df, "_html", "_host", "_of", "_path")
+    source = df.select(name(html).alias(page), host_of(name(url)).alias(host), *[name(c) for c in kept])
     # Written first: Spark splits a hot key of a join only where both sides come straight from a shuffle.
-    paths, _ = written(consensus_paths(df, url, html).select(F.col("host").alias("_of"), F.col("path").alias("_path")), "paths")
-    joined = source.join(paths, F.col("_host") == F.col("_of"), "left").select("_path", "_html", *[name(c) for c in kept])
+    paths, _ = written(consensus_paths(df, url, html).select(F.col("host").alias(of), F.col("path").alias(path)), "paths")
+    joined = source.join(paths, F.col(host) == F.col(of), "left").select(path, page, *[name(c) for c in kept])
     schema = df.select(*[name(c) for c in kept], F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
     return joined.mapInArrow(lambda batches: _cut(batches, schema.names), schema)

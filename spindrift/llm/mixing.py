@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spindrift.llm.rows import WORD, name
+from spindrift.llm.rows import WORD, name, unused
 from spindrift.session import cut_lineage
 
 MAX_EPOCHS = 3
@@ -73,8 +73,10 @@ def mix(
     an empty one. Columns named like a new one are replaced.
     """
     new = {"size", "source_size", "target", "repeats", "taken"}
+    # The columns of the input travel as one, so that none clashes with a helper's name.
+    own = F.struct(*[name(c) for c in df.columns if c not in new], F.lit(None).cast("int").alias(unused(df, "_none")[0]))
     hidden = df.select(
-        *[name(c) for c in df.columns if c not in new], name(source).alias("_source"),
+        own.alias("_own"), name(source).alias("_source"),
         word_count(name(text)).alias("size"), draw_number(name(id_column), seed).alias("_draw"), name(id_column).alias("_id"),
     )
     bins = (F.col("_draw") * BINS / _DRAW).cast("int")
@@ -115,15 +117,15 @@ def mix(
     result = certain.unionByName(border).withColumn(
         "repeats", F.col("_whole") + F.when(F.col("_more"), 1).otherwise(0)
     ).withColumn("repeats", F.when(F.col("source_size") > 0, F.col("repeats")).otherwise(F.lit(0)).cast("long"))
-    return result.withColumn("taken", F.col("size") * F.col("repeats")).drop(
-        "_source", "_draw", "_id", "_of", "_whole", "_extra", "_end", "_before", "_bin", "_more"
-    )
+    kept = [F.col("_own").getField(c).alias(c) for c in df.columns if c not in new]
+    return result.select(*kept, "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """One row per repetition of a document; those taken 0 times go."""
     turns = F.explode(F.array_repeat(F.lit(1), F.col("repeats").cast("int")))
-    return mixed.filter(F.col("repeats") > 0).withColumn("_turn", turns).drop("_turn")
+    turn, = unused(mixed, "_turn")
+    return mixed.filter(F.col("repeats") > 0).withColumn(turn, turns).drop(turn)
 
 
 #: DuckDB text of the registered query; the water level is found on prefix sums of the sources ordered by cap over weight.

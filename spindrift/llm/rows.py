@@ -24,6 +24,17 @@ def name(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for wanted in names:
+        while wanted.lower() in taken:
+            wanted = f"_{wanted}"
+        out.append(wanted)
+    return out
+
+
 def lower_ascii(value: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(value, _UPPER, _LOWER)
@@ -44,7 +55,7 @@ def add_columns(df: DataFrame, column: str, ddl: str, make: Callable[[], Callabl
     new = StructType.fromDDL(ddl)
     kept = [c for c in df.columns if c not in new.names and c not in drop]
     schema = StructType([df.schema[c] for c in kept] + new.fields)
-    source = df.select(name(column).alias("_value"), *[name(c) for c in kept if c != column])
+    source = df.select(name(column).alias(unused(df, "_value")[0]), *[name(c) for c in kept if c != column])
     order = [0 if c == column else 1 + [k for k in kept if k != column].index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spindrift.llm.rows import add_columns, lower_ascii, name
+from spindrift.llm.rows import add_columns, lower_ascii, name, unused
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -147,14 +147,15 @@ def judge_urls(df: DataFrame, url: str = "url", rules: tuple[HostRule, ...] = RU
     named like a new one are replaced.
     """
     parts = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-    kept = [name(c) for c in df.columns if c not in (url, "host", "path", "_canonical", *COLUMNS.replace(" string", "").split(", "))]
+    whole, = unused(df, "_canonical")
+    kept = [name(c) for c in df.columns if c not in (url, "host", "path", *COLUMNS.replace(" string", "").split(", "))]
     found = df.select(
         *kept,
         lower_ascii(F.coalesce(F.regexp_extract(name(url), parts, 1), F.lit(""))).alias("host"),
         F.coalesce(F.regexp_extract(name(url), parts, 2), F.lit("")).alias("path"),
     )
-    canonical = found.withColumn("_canonical", F.concat("host", "path"))
-    return add_columns(canonical, "_canonical", COLUMNS, partial(_judge, rules, globs), drop=("_canonical",))
+    canonical = found.withColumn(whole, F.concat("host", "path"))
+    return add_columns(canonical, whole, COLUMNS, partial(_judge, rules, globs), drop=(whole,))
 
 
 #: DuckDB text of the registered query, for ``RULES`` and ``GLOBS``.

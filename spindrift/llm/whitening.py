@@ -208,7 +208,7 @@ def leading(multiply: Callable, dimension: int, wanted: int) -> tuple[np.ndarray
 
 
 def scaled(df: DataFrame, vector: str = "embedding", scale: int = 256) -> DataFrame:
-    """``df`` with its vectors as x = floor(scale * c) in ``_scaled``, without rows whose vector is null, empty or holds null or non-finite entries.
+    """``df`` with its vectors as x = floor(scale * c) in ``scaled``, without rows whose vector is null, empty or holds null or non-finite entries.
 
     Vectors of another length than the commonest one (of ties the longest) cannot be compared with the rest and are left out too.
     """
@@ -218,7 +218,7 @@ def scaled(df: DataFrame, vector: str = "embedding", scale: int = 256) -> DataFr
     lengths = valid.groupBy(F.size(name(vector)).alias("size")).count().orderBy(F.desc("count"), F.desc("size")).limit(1).collect()
     if lengths:
         valid = valid.filter(F.size(name(vector)) == lengths[0][0])
-    return valid.withColumn("_scaled", F.transform(entries, lambda c: F.floor(F.lit(float(scale)) * c)))
+    return valid.withColumn("scaled", F.transform(entries, lambda c: F.floor(F.lit(float(scale)) * c)))
 
 
 def fit(vectors: DataFrame) -> Fit | None:
@@ -276,8 +276,8 @@ def whitened(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding"
     names = [id_column, "component", "n", "deviation", "whitened", "explained", "identity_error"]
     own = f"`{id_column.replace('`', '``')}`"
     schema = f"{own} {kind}, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    valid = scaled(df.select(name(id_column).alias("id"), name(vector).alias("vector")), "vector", scale).select("id", "_scaled")
-    found = fit(valid.select("_scaled"))
+    valid = scaled(df.select(name(id_column).alias("id"), name(vector).alias("vector")), "vector", scale).select("id", "scaled")
+    found = fit(valid.select("scaled"))
     if found is None:
         return spark.createDataFrame([], schema)
     trace = float(found.added(partial(_squares, found.mean), "f8")[0]) / found.n

@@ -206,4 +206,4 @@ def test_leading_pairs(dimension):
 def test_hot_vector_counts_once(spark):
     df = spark.createDataFrame([(i, [1.0, 2.0] if i % 3 else [float(i), float(i * i % 7)]) for i in range(90)], "vec_id long, embedding array<double>")
     n = len({tuple(r.embedding) for r in df.collect()})
-    assert {r.n for r in whitening.whitened(df.withColumn("_scaled", F.lit(1))).collect()} == {n}
+    assert {r.n for r in whitening.whitened(df.withColumn("scaled", F.lit(1)).withColumn("vector", F.lit(1))).collect()} == {n}
