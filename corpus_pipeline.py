@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spindrift.llm import bpe, exact_dedup, jaccard_join, mixing, quality_classifier
-from spindrift.llm.rows import written
+from spindrift.llm.rows import unused, written
 from spindrift.session import prepare
 from spindrift.sources.tables import Tables
 
@@ -27,10 +27,20 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts linked by runs of five words at 0.8 or more: the one with the least id. Rows without an id stay."""
-    groups = jaccard_join.jaccard_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of texts linked by runs of five words at 0.8 or more: the one with the least id.
+
+    Rows are told apart by a number of their own, so a row whose text is found nowhere else stays, whatever rows share its id. Rows without words are linked with
+    nothing and stay; of linked rows with one id, or without any, the first by number stays.
+    """
+    row, = unused(docs, "_row")
+    numbered, _ = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")  # written, so that the numbers hold
+    ids = numbered.select(F.col(row).alias("row"), "doc_id", "text")
+    groups = jaccard_join.jaccard_groups(ids, id_column="row", words=NEAR_WORDS, percent=NEAR_PERCENT)
+    shared = groups.groupBy("component_id").count().filter("count > 1").select("component_id")
+    linked, _ = written(groups.join(shared.hint("merge"), "component_id", "left_semi").join(ids.select("row", "doc_id").hint("merge"), "row"), "linked")
+    kept = linked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("least"))
+    dropped = linked.join(kept.select(F.col("least.row").alias("row")), "row", "left_anti").select(F.col("row").alias(row))
+    return numbered.join(dropped, row, "left_anti").select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
