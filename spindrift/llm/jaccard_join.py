@@ -197,12 +197,15 @@ def _alike(least: int) -> Column:
     return differing * (100 + least) <= (F.col("n") + F.col("m")) * (100 - least)
 
 
-def _possible(pairs: DataFrame, keys: DataFrame, least: int) -> DataFrame:
+def _possible(pairs: DataFrame, keys: DataFrame, least: int, keep) -> DataFrame:
     """The pairs (x, p) that may have a similarity of ``least`` percent, by their first n-grams.
 
-    Up to the smaller of the two last keys both sides are known in full; beyond, at most the smaller rest can be common.
+    Up to the smaller of the two last keys both sides are known in full; beyond, at most the smaller rest can be common. The first n-grams of the documents in
+    question are picked once for both sides.
     """
-    of = lambda side: keys.select(F.col("node").alias(side), F.col("keys").alias(f"of_{side}"))
+    wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("p").alias("node"))).distinct()
+    held = keep(keys.select("node", "keys").join(wanted.hint("merge"), "node", "left_semi"), "held")
+    of = lambda side: held.select(F.col("node").alias(side), F.col("keys").alias(f"of_{side}"))
     both = pairs.join(of("x").hint("merge"), "x").join(of("p").hint("merge"), "p")
     last = lambda side, n: F.when(F.size(side) < F.col(n), F.element_at(side, -1))  # noqa: E731  null: the whole set is known
     both = both.withColumn("until", F.least(last("of_x", "n"), last("of_p", "m")))  # least() passes over nulls
@@ -226,6 +229,15 @@ def _grouped(members: DataFrame, groups: DataFrame | None) -> DataFrame:
     return members.join(named, F.col("node") == F.col("same"), "left").withColumn("group", F.coalesce("to", "node")).drop("same", "to")
 
 
+def _regrouped(groups: DataFrame | None, moved: DataFrame) -> DataFrame:
+    """The groups of all nodes linked so far, after some groups became one: ``moved`` names the new group of each old one."""
+    if groups is None:
+        return moved
+    to = moved.select(F.col("node").alias("same"), F.col("component").alias("to")).hint("merge")
+    old = groups.join(to, F.col("component") == F.col("same"), "left").select("node", F.coalesce("to", "component").alias("component"))
+    return old.unionByName(moved.join(groups.select("node").hint("merge"), "node", "left_anti"))
+
+
 def _several(members: DataFrame, of: str) -> DataFrame:
     """Regions whose members differ in ``of``."""
     return members.groupBy("region").agg(F.min(of).alias("a"), F.max(of).alias("b")).filter("a <> b").select("region")
@@ -258,7 +270,6 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
     # What is joined is written first: Spark splits a hot key only where both sides come straight from a shuffle.
     folders: list[str] = []
     groups: DataFrame | None = None
-    edges: DataFrame | None = None
     passing: list[str] = []  # folders of a round that the next one does not read
 
     def keep(df: DataFrame, label: str) -> DataFrame:
@@ -277,9 +288,9 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
         # Only the first round needs distances beyond the threshold, for its cells.
         least = 2 * percent - 100 if turn == 0 else percent
         met = members.join(pivots, "region").filter((F.col("group") != F.col("of")) & _reach(least) & (F.lit(True) if turn == 0 else _alike(least)))
-        near = met.select("region", F.col("node").alias("x"), "p", "n", "m", "most")
+        near = met.select("region", F.col("node").alias("x"), "p", "n", "m", "most", "group", "of")
         near = keep(near, "met") if turn == 0 else near
-        pairs = keep(_possible(keep(near.select("x", "p", "n", "m").distinct(), "distinct"), keys, least), "pairs")
+        pairs = keep(_possible(keep(near.select("x", "p", "n", "m", "group", "of").distinct(), "distinct"), keys, least, keep), "pairs")
         wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("p").alias("node"))).distinct()
         if grams is not None:
             wanted = wanted.join(grams.select("node"), "node", "left_anti")
@@ -290,13 +301,13 @@ def linked_groups(regions: DataFrame, keys: DataFrame, sets_of, percent: int) ->
         union = F.col("n") + F.col("m") - F.col("common")
         within = keep(
             _measured(pairs, grams).filter(F.col("common") * 100 >= union * least).select(
-                "x", "p", ((union - F.col("common")) / union).alias("apart"), (F.col("common") * 100 >= union * percent).alias("linked")
+                "x", "p", "group", "of", ((union - F.col("common")) / union).alias("apart"), (F.col("common") * 100 >= union * percent).alias("linked")
             ), "measured",
         )
-        new = within.filter("linked").select(F.col("x").alias("src"), F.col("p").alias("dst"))
+        # Links of this round join groups of the last one: only those enter, however many documents they hold.
+        new = within.filter("linked").select(F.col("group").alias("src"), F.col("of").alias("dst"))
         if not new.isEmpty():
-            edges = new if edges is None else edges.unionByName(new)
-            groups = keep(components(edges), "groups")
+            groups = keep(_regrouped(groups, keep(components(new), "moved")), "groups")
         left = pivots.select("region", F.col("p").alias("node"))
         if turn == 0:
             after = _cells(members, pivots, near, within, keep)
