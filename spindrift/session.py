@@ -54,6 +54,12 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and host of its store: one without a scheme lies in the cluster's default store, not on the local disk."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Deletes a folder made by ``new_dir``; anything outside the scratch folder is refused."""
     if not path.startswith(scratch_root(spark) + "/"):
