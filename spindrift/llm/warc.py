@@ -1,8 +1,8 @@
 """WARC archives: records as single gzip members, read back in sequence.
 
 Every task writes the records of its rows to one archive after another in the shared folder, each archive closed at a size limit. The
-reader gets one archive per row, decompresses it piece by piece, and frames records by their content length, so neither side
-holds more than one record.
+reader gets one archive per row, inflates it piece by piece, and cuts each record by its content length and hashes its payload as the pieces come, so neither side
+holds more than one record, nor more of a damaged one than it declares.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -21,11 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from spindrift.llm.rows import name, slices, written
-from spindrift.session import new_dir
+from spindrift.session import new_dir, qualified
 
 MIN_SHARED_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
 READ_BYTES = 1 << 18
+#: What one step of inflating gives at most, so that a small file cannot unfold at once.
+INFLATED_BYTES = 1 << 22
 VERSION = "WARC/1.1"
 #: All records bear one date, so that a repeated task writes the same bytes.
 DATE = "2024-01-01T00:00:00Z"
@@ -49,17 +52,26 @@ def gzip_member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def record(kind: str, record_id: str, url: str | None, payload: bytes, refers_to: str | None, digest: str) -> bytes:
+def urn(key: str | None) -> str:
+    """A record id that any id survives: escaped, and told apart from none."""
+    return "<urn:none>" if key is None else f"<urn:page:{quote(key, safe='')}>"
+
+
+def key_of(named: str | None) -> str | None:
+    return unquote(named.removeprefix("<urn:page:").removesuffix(">")) if named and named != "<urn:none>" else None
+
+
+def record(kind: str, record_id: str | None, url: str | None, payload: bytes, refers_to: str | None, digest: str) -> bytes:
     """Bytes of one record. A revisit holds the HTTP head only; its payload's digest and size stand in the header."""
     code = base64.b32encode(bytes.fromhex(digest)).decode()
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if kind == "revisit" else head + payload
     target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
     fields = [
-        ("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{record_id}>"), ("WARC-Date", DATE),
+        ("WARC-Type", kind), ("WARC-Record-ID", urn(record_id)), ("WARC-Date", DATE),
         *([("WARC-Target-URI", target)] if target else []),
         ("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", f"sha1:{code}"),
-        *([("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}>")] if kind == "revisit" else []),
+        *([("WARC-Profile", PROFILE), ("WARC-Refers-To", urn(refers_to))] if kind == "revisit" else []),
         ("Content-Length", str(len(block))),
     ]
     lines = "".join(f"{k}: {v}\r\n" for k, v in fields)
@@ -117,11 +129,53 @@ def _write(folder: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterat
 class Record:
     offset: int
     fields: dict[str, str]
-    block: bytes
+    head: bytes
+    payload: bytes
+    sha1: str
+
+
+class Frame:
+    """One record, cut out of its inflated pieces as they come: header, HTTP head, then as much payload as the content length leaves."""
+
+    def __init__(self, start: int):
+        self.start, self.data, self.fields, self.body, self.end, self.hashed, self.sha1 = start, bytearray(), None, None, None, 0, hashlib.sha1()
+
+    def feed(self, piece: bytes) -> None:
+        self.data += piece
+        if self.fields is None:
+            at = self.data.find(b"\r\n\r\n")
+            if at < 0:
+                return
+            first, *lines = bytes(self.data[:at]).decode("utf-8").split("\r\n")
+            if not first.startswith("WARC/"):
+                raise ValueError(f"no record header at byte {self.start}")
+            self.fields = {k.lower(): v.strip(" ") for k, _, v in (line.partition(":") for line in lines)}
+            self.block, self.end = at + 4, at + 4 + int(self.fields["content-length"])
+        if len(self.data) > self.end + 4:
+            raise ValueError(f"the record at byte {self.start} does not end after {self.end - self.block} bytes")
+        if self.body is None:
+            at = self.data.find(b"\r\n\r\n", self.block, self.end)
+            if at < 0:
+                return
+            self.body = self.hashed = at + 4
+        upto = min(len(self.data), self.end)
+        with memoryview(self.data) as view:
+            self.sha1.update(view[self.hashed:upto])
+        self.hashed = upto
+
+    def record(self) -> Record:
+        if self.fields is None:
+            raise ValueError(f"no record header at byte {self.start}")
+        if len(self.data) != self.end + 4 or self.data[self.end:] != b"\r\n\r\n":
+            raise ValueError(f"the record at byte {self.start} does not end after {self.end - self.block} bytes")
+        if self.body is None:
+            raise ValueError(f"no HTTP head in the record at byte {self.start}")
+        with memoryview(self.data) as view:
+            return Record(self.start, self.fields, bytes(view[self.block:self.body]), bytes(view[self.body:self.end]), self.sha1.hexdigest())
 
 
 class Members:
-    """Reads an archive as decompressed records: a member at a time, a piece of the file at a time."""
+    """Reads an archive as records: a member at a time, a piece of the file at a time."""
 
     def __init__(self, stream, piece: int = READ_BYTES):
         self.stream, self.piece = stream, piece
@@ -131,43 +185,31 @@ class Members:
         while True:
             if not waiting and not (waiting := self.stream.read(self.piece)):
                 return
-            start, unpack, parts = position, zlib.decompressobj(31), []
+            frame, unpack = Frame(position), zlib.decompressobj(31)
             while not unpack.eof:
                 if not waiting and not (waiting := self.stream.read(self.piece)):
-                    raise ValueError(f"archive ends within the record at byte {start}")
-                parts.append(unpack.decompress(waiting))
+                    raise ValueError(f"archive ends within the record at byte {frame.start}")
+                frame.feed(unpack.decompress(waiting, INFLATED_BYTES))
+                while unpack.unconsumed_tail:
+                    frame.feed(unpack.decompress(unpack.unconsumed_tail, INFLATED_BYTES))
                 position += len(waiting) - len(unpack.unused_data)
                 waiting = unpack.unused_data
-            yield self.frame(start, b"".join(parts))
-
-    @staticmethod
-    def frame(start: int, data: bytes) -> Record:
-        head, found, rest = data.partition(b"\r\n\r\n")
-        first, *lines = head.decode("utf-8").split("\r\n")
-        if not found or not first.startswith("WARC/"):
-            raise ValueError(f"no record header at byte {start}")
-        fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        size = int(fields["content-length"])
-        if rest[size:] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {start} does not end after {size} bytes")
-        return Record(start, fields, rest[:size])
+            yield frame.record()
 
 
 def parsed(item: Record) -> dict:
     """Type, ids, payload and whether the payload agrees with the digest (null for a revisit, which holds none)."""
     fields = item.fields
-    http, _, payload = item.block.partition(b"\r\n\r\n")
     declared = fields["warc-payload-digest"].partition(":")[2]
     digest = base64.b32decode(declared).hex()
     whole = fields["warc-type"] == "response"
-    size = next(int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    if whole and size != len(payload):
-        raise ValueError(f"the payload at byte {item.offset} has {len(payload)} bytes, not {size}")
-    bare = lambda key: fields[key].removeprefix("<urn:page:").removesuffix(">") if key in fields else None
+    size = next(int(x.partition(b":")[2]) for x in item.head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+    if whole and size != len(item.payload):
+        raise ValueError(f"the payload at byte {item.offset} has {len(item.payload)} bytes, not {size}")
     return {
-        "offset": item.offset, "record_id": bare("warc-record-id"), "refers_to_id": bare("warc-refers-to"), "url": fields.get("warc-target-uri"),
+        "offset": item.offset, "record_id": key_of(fields.get("warc-record-id")), "refers_to_id": key_of(fields.get("warc-refers-to")), "url": fields.get("warc-target-uri"),
         "record_type": fields["warc-type"], "payload_bytes": size, "payload_digest": digest,
-        "digest_ok": hashlib.sha1(payload).hexdigest() == digest if whole else None, "payload": payload if whole else None,
+        "digest_ok": item.sha1 == digest if whole else None, "payload": item.payload if whole else None,
     }
 
 
@@ -206,20 +248,21 @@ def write_archives(
 
     The payload is the html in UTF-8, a null one is empty. Of records with equal payloads of at least ``min_shared`` bytes those with the
     largest id are responses and the others revisits that refer to it; rows that repeat that id are all responses, and where all
-    ids are null all are. Equal payloads are found by SHA-1 and size with a partial aggregate; only digests with
-    several rows come back, by a shuffle join whose hot digests Spark splits.
+    ids are null all are. Equal payloads are found by SHA-256 and size with a partial aggregate (records bear SHA-1, which crafted pages may share); only
+    digests with several rows come back, by a shuffle join whose hot digests Spark splits. ``folder`` without a scheme lies in the cluster's default store.
     """
+    folder = qualified(df.sparkSession, folder)
     pages = df.select(
         name(id_column).alias("id"), name(url).cast("string").alias("url"), F.coalesce(name(html), F.lit("")).alias("payload")
-    ).withColumn("n", F.octet_length("payload")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    shared = pages.filter(F.col("n") >= min_shared).groupBy("digest", "n").agg(F.max("id").alias("head"), F.count("*").alias("rows"))
+    ).withColumn("n", F.octet_length("payload")).withColumn("same", F.when(F.col("n") >= min_shared, F.sha2(F.col("payload").cast("binary"), 256)))
+    shared = pages.filter("same IS NOT NULL").groupBy("same", "n").agg(F.max("id").alias("head"), F.count("*").alias("rows"))
     # Written first: Spark splits a hot key of a join only where both sides come straight from a shuffle.
-    heads, _ = written(shared.filter("rows > 1").select(F.col("digest").alias("d"), F.col("n").alias("m"), "head"), "heads")
-    joined = pages.join(heads, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("m")), "left")
+    heads, _ = written(shared.filter("rows > 1").select(F.col("same").alias("d"), F.col("n").alias("m"), "head"), "heads")
+    joined = pages.join(heads, (F.col("same") == F.col("d")) & (F.col("n") == F.col("m")), "left")
     revisit = F.col("head").isNotNull() & ~F.col("id").eqNullSafe(F.col("head"))
     rows = joined.select(
-        F.when(revisit, "revisit").otherwise("response").alias("kind"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key"),
-        "url", "payload", F.when(revisit, F.col("head").cast("string")).alias("refers_to"), "digest",
+        F.when(revisit, "revisit").otherwise("response").alias("kind"), F.col("id").cast("string").alias("key"),
+        "url", "payload", F.when(revisit, F.col("head").cast("string")).alias("refers_to"), F.sha1(F.col("payload").cast("binary")).alias("digest"),
     )
     return rows.mapInArrow(partial(_write, folder, limit), ARCHIVES)
 
@@ -242,7 +285,7 @@ def round_trip(df: DataFrame, id_column: str = "page_id", url: str = "url", html
     listed, _ = written(write_archives(df, new_dir(spark, "warc"), id_column, url, html), "archives")
     kind = df.schema[id_column].dataType
     found = read_archives(listed.repartition(max(1, min(listed.count(), 4096))), with_payload=False)
-    key = lambda c: F.when(F.col(c) != "", F.col(c)).cast(kind)
+    key = lambda c: F.col(c).cast(kind)
     checked = F.when(
         F.coalesce(F.col("digest_ok"), F.lit(True)), F.col("payload_digest")
     ).otherwise(F.raise_error(F.concat(F.lit("wrong payload digest in "), "archive")))
