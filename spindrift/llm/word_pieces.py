@@ -1,7 +1,8 @@
 """Greedy word-piece lengths from a trie with failure links, without building the pieces.
 
-Greedy longest match takes the longest vocabulary entry at each position of a word. The automaton reads a word
-once: where the trie has no edge for the next byte, the node's failure link leads to the state in which greedy
+A word-piece vocabulary has two kinds of pieces: those that start a word and those that continue one. Greedy longest match takes the longest starting
+piece, then the longest continuing piece at each further position. The trie therefore has two roots; failure links lead into the one of
+continuing pieces. The automaton reads a word once: where the trie has no edge for the next byte, the node's failure link leads to the state in which greedy
 matching would stand after emitting its pieces, and the number of pieces emitted on the way is known beforehand.
 """
 
@@ -21,18 +22,22 @@ _REMEMBERED = 400_000
 
 
 class PieceCounter:
-    """Counts the pieces of a word; the vocabulary is extended by every single byte, so that each word has pieces.
+    """Counts the pieces of a word; both kinds are extended by every single byte, so that each word has pieces.
 
-    Tokens that hold the start mark stand at the start of a word, as in the vocabulary file: a word is read as mark and word.
+    Tokens that begin with the mark start a word (the mark is no part of the piece), those that hold none continue one.
     """
 
     def __init__(self, tokens: set[bytes], mark: bytes = b" "):
-        self.mark = mark
         self.next: dict[int, int] = {}
-        whole = [False]
-        edges: list[list[tuple[int, int]]] = [[]]
-        for token in sorted(tokens | {bytes([b]) for b in range(256)}):
-            node = 0
+        whole = [False, False]  # the roots of starting and of continuing pieces
+        edges: list[list[tuple[int, int]]] = [[], []]
+        single = {bytes([b]) for b in range(256)}
+        starting = {t.removeprefix(mark) for t in tokens if t.startswith(mark)} | single
+        continuing = {t for t in tokens if not t.startswith(mark)} | single
+        for root, token in [(0, t) for t in sorted(starting)] + [(1, t) for t in sorted(continuing)]:
+            if not token:
+                continue
+            node = root
             for byte in token:
                 key = node << 8 | byte
                 if key not in self.next:
@@ -47,8 +52,8 @@ class PieceCounter:
 
     def _link(self, whole: list[bool], edges: list[list[tuple[int, int]]]) -> None:
         """Failure link, pieces popped on it, and pieces left when a word ends, for every node by depth."""
-        self.fail, self.pops, self.left = [0] * len(whole), [0] * len(whole), [0] * len(whole)
-        queue = deque([0])
+        self.fail, self.pops, self.left = [1] * len(whole), [0] * len(whole), [0] * len(whole)
+        queue = deque([0, 1])
         while queue:
             node = queue.popleft()
             for byte, child in edges[node]:
@@ -66,7 +71,7 @@ class PieceCounter:
     def count(self, word: bytes) -> int:
         state, pieces = 0, 0
         follow, fail, pops = self.next.get, self.fail, self.pops
-        for byte in self.mark + word:
+        for byte in word:
             while (step := follow(state << 8 | byte)) is None:
                 pieces += pops[state]
                 state = fail[state]
