@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from functools import partial
+import unicodedata
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,10 @@ BOILERPLATE = re.compile(
     r"|lorem ipsum|click here|sign up for|subscribe to (?:our|the) |licensed under|skip to (?:main )?content|copyright ©|© ?\d{4}",
     re.IGNORECASE,
 )
+#: Scripts written without spaces between words: Han, Kana, Thai, Lao, Myanmar, Khmer and their neighbours.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+#: Letters of such a script that make about a word.
+LETTERS_A_WORD = 3
 SEPARATORS = re.compile(r"[|»›•]|(?<=\s)[>/·](?=\s)")
 
 
@@ -63,11 +68,24 @@ def measure(text: str) -> tuple[int, int, int, int, int, bool]:
     return len(words), len(text) - spaces, symbols, len(lines) - len(set(lines)), repeated, failed
 
 
+@lru_cache(maxsize=4096)
+def is_letter(character: str) -> bool:
+    """Letters and the marks that belong to them (vowel signs, accents)."""
+    return unicodedata.category(character)[0] in "LM"
+
+
 def line_fault(line: str) -> str | None:
-    """The first rule that a line with words fails."""
+    """The first rule that a line with words fails.
+
+    Rules on words take the letters of scripts without spaces for a word each ``LETTERS_A_WORD``, so that a line of those is not one word.
+    """
     n_words = len(line.split())
+    if not line.isascii():
+        n_words = max(n_words, len(UNSPACED.findall(line)) // LETTERS_A_WORD)
     solid = len(line) - line.count(" ")
     letters = sum(map(str.isalpha, line))
+    if 2 * letters < solid and not line.isascii():
+        letters = sum(map(is_letter, line))
     if 2 * letters < solid:
         return "few letters"
     if 10 * sum(map(line.count, "#*$%&|<>")) > solid:

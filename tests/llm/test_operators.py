@@ -64,23 +64,20 @@ def test_bpe_equals_tokenizers(docs, none):
 def test_word_pieces_are_greedy(docs, none):
     tokens = set(bpe.vocabulary(bpe.TOKENIZER)[0])
 
-    def greedy(word):
-        text, n = b" " + word, 0
-        while text:
-            size = next(k for k in range(len(text), 0, -1) if text[:k] in tokens or k == 1)
-            text, n = text[size:], n + 1
+    def greedy(word, tokens=tokens):
+        n = 0
+        while word:  # first the longest piece that starts a word, then the longest that continues one
+            size = next(k for k in range(len(word), 0, -1) if (word[:k] if n else b" " + word[:k]) in tokens or k == 1)
+            word, n = word[size:], n + 1
         return n
 
     for row in docs.select("doc_id", "text").join(word_pieces.token_counts(docs).select(F.col("doc_id").alias("d"), "n_words", "n_pieces"), F.expr("doc_id = d")).collect():
         assert (row.n_words, row.n_pieces) == (len(words(row.text)), sum(map(greedy, words(row.text))))
-    small = word_pieces.PieceCounter({b"ab", b"abcde", b"bc", b"cd", b"abcd"})
-    for _ in range(500):
-        word = bytes(random.Random(_).choices(b"abcdez", k=_ % 17))
-        text, n = b" " + word, 0
-        while text:
-            size = next(k for k in range(min(5, len(text)), 0, -1) if text[:k] in {b"ab", b"abcde", b"bc", b"cd", b"abcd"} or k == 1)
-            text, n = text[size:], n + 1
-        assert small.count(word) == n
+    few = {b" ab", b"abcde", b"bc", b" bcd", b"cd", b"abcd", b" abcdea", b"ea", b" "}
+    small = word_pieces.PieceCounter(few)
+    for seed in range(1500):
+        word = bytes(random.Random(seed).choices(b"abcdez", k=seed % 17))
+        assert small.count(word) == greedy(word, few)
     assert word_pieces.token_counts(none).count() == 0
 
 
@@ -181,6 +178,9 @@ def test_quality_rules(docs, none):
     assert not got[10].base_failed and got[10].reason == "few letters"
     plain = "A plain sentence of some words.\nAnother one, as plain as that!\nshort\n"
     assert quality_rules.clean(plain)[1:4] == (3, 1, 1)
+    for line in ("ภาษาไทยเป็นภาษาที่ไม่มีช่องว่างระหว่างคำ", "これは日本語の文で、", "हिन्दी में लिखा हुआ एक वाक्य", "နိုင်ငံတော်သစ်ကိုတည်ဆောက်", "今天天气很好我们去公园"):
+        assert quality_rules.line_fault(line) is None, line
+    assert quality_rules.line_fault("short") == "no sentence" and quality_rules.line_fault("年") == "no sentence" and quality_rules.line_fault("١٢٣٤ ٥٦٧٨") == "few letters"
     junk = "Home | News | Sport | Shop | Login\n" + "\n".join(f"THIS*** IS$$$ LINE%%% {i}###" for i in range(12))
     assert quality_rules.clean(junk)[0] == ""
     rng = random.Random(2)
@@ -230,6 +230,18 @@ def test_warc_reader_rejects_cut_archives():
     assert [warc.parsed(r)["payload"] for r in warc.Members(io.BytesIO(member * 3), piece=7)] == [b"abc"] * 3
     with pytest.raises(ValueError):
         list(warc.Members(io.BytesIO(member[:-12])))
+    whole = warc.record("response", "1", "u", b"abc" * 1000, None, digest)
+    for damaged in (whole[:-1], whole + b"x", whole.replace(b"WARC/", b"XARC/"), whole.replace(b"Content-Length: 3", b"Content-Length: 2"), whole + b"0" * 50_000_000):
+        with pytest.raises(ValueError):
+            list(warc.Members(io.BytesIO(warc.gzip_member(damaged))))
+    wrong = warc.gzip_member(warc.record("response", "1", "u", b"abd", None, digest))
+    assert [warc.parsed(r)["digest_ok"] for r in warc.Members(io.BytesIO(member + wrong), piece=5)] == [True, False]
+
+
+@pytest.mark.parametrize("key", ["", " a ", "x\r\ny", "é>", "<urn:none>", None])
+def test_warc_keeps_text_ids(spark, key):
+    df = spark.createDataFrame([(key, "u", "page"), ("other", "u", "z" * 2000), ("zz", "u", "z" * 2000)], "page_id string, url string, html string")
+    assert {(r.page_id, r.refers_to) for r in warc.round_trip(df).collect()} == {(key, None), ("other", "zz"), ("zz", None)}
 
 
 def test_html(spark):
