@@ -47,6 +47,32 @@ def a04(spark, t):
     return t.lineitem.groupBy("l_returnflag").agg(F.approx_count_distinct("l_orderkey", 0.02).alias("approx_orders"))
 
 
+@query("a04_sketch_error", """
+SELECT l_returnflag, COUNT(DISTINCT l_orderkey) AS orders, true AS within_error FROM lineitem GROUP BY 1""")
+def a04_error(spark, t):
+    """The sketch beside the exact count: within four times its relative standard deviation."""
+    return t.lineitem.groupBy("l_returnflag").agg(
+        F.count_distinct("l_orderkey").alias("orders"), F.approx_count_distinct("l_orderkey", 0.02).alias("approx")).select(
+        "l_returnflag", "orders", (F.abs(F.col("approx") - F.col("orders")) <= F.col("orders") * 0.08).alias("within_error"))
+
+
+@query("a05_sketch_rank_error", """
+SELECT event_type, COUNT(value) AS n, true AS within_error FROM events GROUP BY 1""")
+def a05_error(spark, t):
+    """Each sketched quantile splits the values within its rank error of 1/10,000 (and one row)."""
+    points = (0.5, 0.9, 0.99)
+    p = F.percentile_approx("value", F.array(*[F.lit(x) for x in points]), 10_000)
+    found = t.events.groupBy("event_type").agg(p.alias("p"), F.count("value").alias("n"))
+    sides = t.events.join(F.broadcast(found), "event_type")  # one row per event type
+    ok = []
+    for i, x in enumerate(points):
+        below = F.count_if(F.col("value") < F.col("p")[i])
+        upto = F.count_if(F.col("value") <= F.col("p")[i])
+        slack = F.max("n") / 10_000 + 1
+        ok.append((below <= F.max("n") * x + slack) & (upto >= F.max("n") * x - slack))
+    return sides.groupBy("event_type").agg(F.max("n").alias("n"), (ok[0] & ok[1] & ok[2]).alias("within_error"))
+
+
 @query("a05_exact_quantiles", """
 SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.9) AS p90, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY 1""")
 def a05(spark, t):

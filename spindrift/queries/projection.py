@@ -90,7 +90,21 @@ def prj08(spark, t):
 
 @query("prj09_bernoulli_sample")
 def prj09(spark, t):
-    return t.orders.select("o_orderkey", "o_totalprice").sample(0.1, seed=42)
+    return t.orders.select("o_orderkey", "o_totalprice").sample(fraction=0.1, seed=42)
+
+
+@query("prj09_sample_invariants", "SELECT COUNT(*) AS total, true AS share_as_asked, true AS rows_of_the_table, true AS repeatable FROM orders")
+def prj09_invariants(spark, t):
+    """A tenth of the rows within five standard deviations, each a row of the table and at most once, the same ones again with the same seed."""
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    first, second = (rows.sample(fraction=0.1, seed=42) for _ in range(2))
+    content = lambda df: df.agg(F.sum(F.xxhash64("o_orderkey", "o_totalprice").cast("decimal(38,0)"))).scalar()
+    count = F.count(F.lit(1))
+    drawn, keys = first.agg(count).scalar(), first.agg(F.count_distinct("o_orderkey")).scalar()
+    strangers = first.join(rows, rows.columns, "left_anti").agg(count).scalar()
+    return rows.agg(count.alias("total")).select(
+        "total", (F.abs(drawn - F.col("total") * 0.1) <= 5 * F.sqrt(F.col("total") * 0.09)).alias("share_as_asked"),
+        ((strangers == 0) & (drawn == keys)).alias("rows_of_the_table"), (content(first) == content(second)).alias("repeatable"))
 
 
 @query("prj10_temp_views", """

@@ -293,6 +293,18 @@ def c13_sketch(spark, t):
     return quality.profile(t.lineitem)
 
 
+@query("c13_sketch_error", """
+SELECT 'l_orderkey' AS column_name, COUNT(DISTINCT l_orderkey) AS distinct_values, true AS within_error FROM lineitem
+UNION ALL SELECT 'l_partkey', COUNT(DISTINCT l_partkey), true FROM lineitem UNION ALL SELECT 'l_shipdate', COUNT(DISTINCT l_shipdate), true FROM lineitem""")
+def c13_error(spark, t):
+    """The sketched profile beside the exact one, within four relative standard deviations of 5 %."""
+    columns = ["l_orderkey", "l_partkey", "l_shipdate"]
+    exact = quality.profile(t.lineitem, columns, exact_distinct=True).select("column_name", "distinct_values")
+    sketch = quality.profile(t.lineitem, columns).select("column_name", F.col("distinct_values").alias("about"))
+    return exact.join(sketch, "column_name").select(
+        "column_name", "distinct_values", (F.abs(F.col("about") - F.col("distinct_values")) <= F.col("distinct_values") * 0.2).alias("within_error"))
+
+
 @query("c14_drift", """
 WITH old AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16'), new AS (SELECT value * 1.2 AS value FROM events WHERE ts >= TIMESTAMP '2024-01-16'),
 b AS (SELECT min(value) AS lo, max(value) AS hi FROM old),
@@ -381,6 +393,14 @@ def c17(spark, t):
     return layout.health(spark, path)
 
 
+@query("c17_health_invariants", """
+SELECT COUNT(DISTINCT year(o_orderdate)) AS partitions, true AS a_file_each, true AS mean_of_bytes FROM orders""")
+def c17_invariants(spark, t):
+    report = c17(spark, t)
+    return report.select("partitions", (F.col("files") >= F.col("partitions")).alias("a_file_each"),
+                         (F.abs(F.col("mean_bytes") * F.col("files") - F.col("bytes")) < 1).alias("mean_of_bytes"))
+
+
 @query("c18_layer_health", """
 SELECT strftime(ts, '%Y-%m-%d %H') AS hour, COUNT(*) AS n, CAST(COUNT(*) FILTER (event_type = 'error') AS DOUBLE) / COUNT(*) AS rescued_ratio,
  CAST(COUNT(*) FILTER (event_type = 'error') AS DOUBLE) / COUNT(*) > 0.3 AS bad, CAST(COUNT(*) FILTER (value < 100) AS DOUBLE) / COUNT(*) AS pass_rate,

@@ -73,6 +73,15 @@ def f03_random(spark, t):
     return t.customer.select("c_custkey", F.rand(7).alias("u"), F.randn(7).alias("z"))
 
 
+@query("f03_random_invariants", "SELECT COUNT(*) AS n, true AS in_range, true AS mean_uniform, true AS mean_normal, true AS spread_normal FROM customer")
+def f03_invariants(spark, t):
+    """Seeded uniform and normal numbers keep their ranges and, within five standard errors, their moments."""
+    u, z, n = F.col("u"), F.col("z"), F.count(F.lit(1))
+    return f03_random(spark, t).agg(
+        n.alias("n"), F.bool_and((u >= 0) & (u < 1)).alias("in_range"), (F.abs(F.avg(u) - 0.5) <= 5 / F.sqrt(12 * n)).alias("mean_uniform"),
+        (F.abs(F.avg(z)) <= 5 / F.sqrt(n)).alias("mean_normal"), (F.abs(F.var_samp(z) - 1) <= 5 * F.sqrt(2 / n)).alias("spread_normal"))
+
+
 @query("f04_digests", """
 SELECT c_custkey, md5(c_name) AS m, sha256(c_name || '|' || c_mktsegment) AS s FROM customer""")
 def f04(spark, t):
@@ -249,6 +258,14 @@ def f13_engine(spark, t):
     return t.customer.select("c_custkey", F.monotonically_increasing_id().alias("id"), F.current_user().alias("who"))
 
 
+@query("f13_engine_ids_unique", "SELECT COUNT(*) AS n, COUNT(*) AS ids, true AS rising_in_partitions FROM customer")
+def f13_unique(spark, t):
+    """The engine's ids are unique; within a partition they are consecutive."""
+    ids = t.customer.select(F.monotonically_increasing_id().alias("id"), F.spark_partition_id().alias("part"))
+    per = ids.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("d"), (F.max("id") - F.min("id") + 1).alias("span"))
+    return per.agg(F.sum("n").alias("n"), F.sum("d").alias("ids"), F.bool_and(F.col("span") == F.col("n")).alias("rising_in_partitions"))
+
+
 @query("f14_provenance", """
 SELECT c_custkey, 'crm' AS _source, 'batch-7' AS _batch_id, '2024-02-01 00:00:00' AS _ingested_at, true AS from_file FROM customer""")
 def f14(spark, t):

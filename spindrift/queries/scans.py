@@ -116,6 +116,17 @@ def src08_seeded(spark, t):
     return t.orders.select("o_orderkey", F.rand(11).alias("u"), synthetic.hash_pick("o_orderkey", ["a", "b", "c"], 3).alias("bucket"))
 
 
+@query("src08_seeded_invariants", """
+SELECT bucket, n AS total, true AS fair_share, true AS follows_the_key FROM (SELECT COUNT(*) AS n FROM orders), (VALUES ('a'), ('b'), ('c')) AS v(bucket)""")
+def src08_invariants(spark, t):
+    """Hashed picks give each value its share within five standard deviations, and one key always the same value."""
+    keyed = t.lineitem.select("l_orderkey", synthetic.hash_pick("l_orderkey", ["a", "b", "c"], 3).alias("bucket"))
+    steady = keyed.groupBy("l_orderkey").agg((F.min("bucket") == F.max("bucket")).alias("one")).agg(F.bool_and("one")).scalar()
+    made, total = src08_seeded(spark, t), t.orders.agg(F.count(F.lit(1))).scalar()
+    return made.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        "bucket", total.alias("total"), (F.abs(F.col("n") - total / 3) <= 5 * F.sqrt(total * 2 / 9)).alias("fair_share"), steady.alias("follows_the_key"))
+
+
 @query("src09_skewed_rows", f"SELECT p_partkey, COUNT(*) AS n FROM (SELECT CAST({SKEW} AS BIGINT) AS p_partkey FROM lineitem) GROUP BY 1")
 def src09(spark, t):
     return skewed_lines(t).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"))

@@ -271,6 +271,14 @@ def st15(spark, t):
     return progress(spark, log)
 
 
+@query("st15_progress_totals", "SELECT COUNT(*) AS input_rows, 0 AS dropped_rows, true AS batches_in_order FROM events")
+def st15_totals(spark, t):
+    """The log holds every batch once, from 0 on, and their rows add up to the input."""
+    rows = st15(spark, t).agg(F.sum("input_rows").alias("input_rows"), F.sum("dropped_rows").alias("dropped_rows"),
+                              F.count(F.lit(1)).alias("n"), F.max("batch_id").alias("last"), F.count_distinct("batch_id").alias("ids"))
+    return rows.select("input_rows", "dropped_rows", ((F.col("n") == F.col("last") + 1) & (F.col("ids") == F.col("n"))).alias("batches_in_order"))
+
+
 @query("st16_trigger_equality", f"SELECT event_type, COUNT(*) AS n, {dsum('value')} AS total, true AS same FROM events GROUP BY 1")
 def st16(spark, t):
     """One run over everything and a run file by file give the same table."""

@@ -184,7 +184,9 @@ def load_word_model():
     return score
 
 
-@query("q11_batch_inference")
+@query("q11_batch_inference", r"""
+WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '), lambda x: x <> '') AS words FROM documents)
+SELECT doc_id, len(words) AS n_words, len(list_filter(words, lambda x: length(x) > 6)) AS long_words FROM w""")
 def q11(spark, t):
     return text.infer(t.documents, ["doc_id", "text"], load_word_model, "doc_id long, n_words long, long_words long")
 
