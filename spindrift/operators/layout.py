@@ -48,6 +48,11 @@ def compact(spark: SparkSession, path: str, out: str, target_bytes: int = 128 <<
     return sizes(path).select(F.lit("before").alias("stage"), "*").unionByName(sizes(out).select(F.lit("after").alias("stage"), "*"))
 
 
+def pieces(df: DataFrame, least: int, target_bytes: int = 128 << 20) -> int:
+    """How many parts to write a table in: one for each ``target_bytes`` of its planned size, ``least`` for a small one."""
+    return max(least, -(-planned_bytes(df) // target_bytes))
+
+
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Names of the partition folders (``name=value``) below a folder, outermost first."""
     one = file_sizes(spark, path).select("path").first()
@@ -118,7 +123,7 @@ def zorder_write(df: DataFrame, cols: Sequence[str], out: str, target_bytes: int
     As many files as the planned size has targets, ``least_files`` at least. Rows of one key are cut further by the columns themselves and the rest of the
     row, so a key that most rows share fills many files.
     """
-    files = max(least_files, -(-planned_bytes(df) // target_bytes))
+    files = pieces(df, least_files, target_bytes)
     keyed = with_zorder_key(df, cols, "_z").withColumn("_rest", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     (keyed.repartitionByRange(files, "_z", *cols, "_rest")
      .sortWithinPartitions("_z", *cols).drop("_z", "_rest").write.mode("error").parquet(out))

@@ -300,7 +300,7 @@ def m14(spark, t):
 def m15(spark, t):
     """Share of files a keyed update would rewrite, in load order and after clustering."""
     plain, clustered = new_dir(spark, "m15-plain"), new_dir(spark, "m15-clustered")
-    t.orders.repartition(16).write.parquet(plain)
+    t.orders.repartition(layout.pieces(t.orders, 16)).write.parquet(plain)
     layout.zorder_write(t.orders, ["o_custkey"], clustered)
     keys = t.customer.filter("c_custkey BETWEEN 100 AND 140").select(F.col("c_custkey").alias("o_custkey"))
     out = None

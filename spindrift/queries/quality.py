@@ -349,7 +349,7 @@ def c14_categories(spark, t):
 
 def _clustered(spark, t, label):
     path = new_dir(spark, label)
-    t.lineitem.repartitionByRange(16, "l_shipdate").sortWithinPartitions("l_shipdate").write.parquet(path)
+    t.lineitem.repartitionByRange(layout.pieces(t.lineitem, 16), "l_shipdate").sortWithinPartitions("l_shipdate").write.parquet(path)
     return path
 
 

@@ -86,7 +86,7 @@ def src04_text(spark, t):
 @query("src05_binary_scan")
 def src05(spark, t):
     path = new_dir(spark, "binary")
-    t.pages.repartition(8).write.parquet(path)
+    t.pages.repartition(layout.pieces(t.pages, 8)).write.parquet(path)
     return files.read_binary(spark, path, "*.parquet").select(
         F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length", F.length("content").alias("content_bytes"),
         F.hex(F.substring("content", 1, 4)).alias("magic"))
@@ -136,7 +136,7 @@ def src09(spark, t):
 def src11(spark, t):
     """A folder of files read as a stream, two files per micro-batch."""
     path = new_dir(spark, "stream-in")
-    t.events.repartition(6).write.parquet(path)
+    t.events.repartition(layout.pieces(t.events, 6)).write.parquet(path)
     return result_of(file_stream(spark, path, t.events, max_files=2).select("event_id", "user_id", "value"), "src11")
 
 
@@ -234,7 +234,8 @@ def src19_bucketed(spark, t):
     for df, key, name in ((t.lineitem.select("l_orderkey", "l_quantity"), "l_orderkey", names[0]),
                           (t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey", names[1])):
         # the rows of a bucket meet before the write, so there is one file per bucket
-        df.repartition(16, key).write.bucketBy(16, key).sortBy(key).option("path", new_dir(spark, "src19b")).saveAsTable(name)
+        buckets = layout.pieces(t.lineitem, 16)  # of the larger side, for both
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", new_dir(spark, "src19b")).saveAsTable(name)
     j = spark.table(names[0]).join(spark.table(names[1]).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), exact_sum("l_quantity").alias("units"))
 
@@ -243,7 +244,7 @@ def src19_bucketed(spark, t):
 def src20(spark, t):
     """No file holds more rows than asked for."""
     path = new_dir(spark, "src20")
-    files.save(t.orders.repartition(4), path, max_records_per_file=1000)
+    files.save(t.orders.repartition(layout.pieces(t.orders, 4)), path, max_records_per_file=1000)
     per = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.sum("n").alias("total_rows"), (F.max("n") <= 1000).alias("within_limit"))
 
@@ -251,8 +252,9 @@ def src20(spark, t):
 @query("src20_coalesce", "SELECT COUNT(*) AS total_rows, true AS fewer_files FROM events")
 def src20_coalesce(spark, t):
     many, few = new_dir(spark, "src20-many"), new_dir(spark, "src20-few")
-    t.events.repartition(16).write.parquet(many)
-    spark.read.parquet(many).coalesce(4).write.parquet(few)
+    parts = layout.pieces(t.events, 16)
+    t.events.repartition(parts).write.parquet(many)
+    spark.read.parquet(many).coalesce(parts // 4).write.parquet(few)
     counts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_metadata.file_path").alias("f")) for p in (many, few)]
     return counts[1].select(F.col("n").alias("total_rows"), (F.col("f") < counts[0].select("f").scalar()).alias("fewer_files"))
 
@@ -260,7 +262,7 @@ def src20_coalesce(spark, t):
 @query("src21_compaction", f"SELECT COUNT(*) AS total_rows, {dsum('value')} AS total, true AS fewer_files FROM events")
 def src21(spark, t):
     src, out = new_dir(spark, "src21-small"), new_dir(spark, "src21-compact")
-    t.events.repartition(24).write.parquet(src)
+    t.events.repartition(layout.pieces(t.events, 24, 16 << 20)).write.parquet(src)
     report = layout.compact(spark, src, out)
     files_of = {s: report.filter(F.col("stage") == s).select("files").scalar() for s in ("before", "after")}
     return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("total_rows"), exact_sum("value").alias("total")).withColumn(
@@ -272,7 +274,7 @@ SELECT event_type, COUNT(*) AS n, {dsum('value')} AS total, true AS fewer_files
 def src21_folders(spark, t):
     """A partitioned folder keeps its folders; each holds fewer files than before."""
     src, out = new_dir(spark, "src21p-small"), new_dir(spark, "src21p-compact")
-    t.events.repartition(24).write.partitionBy("event_type").parquet(src)
+    t.events.repartition(layout.pieces(t.events, 24, 16 << 20)).write.partitionBy("event_type").parquet(src)
     layout.compact(spark, src, out)
     files_in = lambda path, name: spark.read.parquet(path).groupBy("event_type").agg(F.count_distinct("_metadata.file_path").alias(name))
     rows = spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total"))
@@ -283,7 +285,7 @@ def src21_folders(spark, t):
 @query("src21_compaction_report")
 def src21_report(spark, t):
     src = new_dir(spark, "src21r")
-    t.events.repartition(24).write.parquet(src)
+    t.events.repartition(layout.pieces(t.events, 24, 16 << 20)).write.parquet(src)
     return layout.compact(spark, src, new_dir(spark, "src21r-out"))
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from spindrift.operators.layout import pieces
 from spindrift.queries import query
 
 
@@ -45,5 +46,5 @@ def s04_range(spark, t):
 @query("s05_partition_counts", "SELECT 16 AS partitions, COUNT(*) AS total_rows FROM lineitem")
 def s05(spark, t):
     """Rows per partition after a round-robin repartition, summed up."""
-    per = t.lineitem.select("l_orderkey").repartition(16).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    per = t.lineitem.select("l_orderkey").repartition(pieces(t.lineitem, 16)).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.count(F.lit(1)).cast("int").alias("partitions"), F.sum("n").alias("total_rows"))

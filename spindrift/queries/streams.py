@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from spindrift.functions.numeric import exact_avg, exact_sum
 from spindrift.operators import aggregates, joins
+from spindrift.operators.layout import pieces
 from spindrift.plans import iot
 from spindrift.queries import query
 from spindrift.queries.jobs import RANGES, readings
@@ -18,9 +19,9 @@ BY_TYPE = f"SELECT event_type, COUNT(*) AS n, {dsum('value')} AS total FROM even
 
 
 def split_files(spark, t, label, n=3):
-    """The events as ``n`` files in time order."""
+    """The events as ``n`` files in time order, more where they would be large."""
     path = new_dir(spark, label)
-    t.events.repartitionByRange(n, "ts").write.parquet(path)
+    t.events.repartitionByRange(pieces(t.events, n), "ts").write.parquet(path)
     return path
 
 

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# The optimiser knows the size of a scan as its compressed files, which decode to several times that in memory: four times is allowed for.
+BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
 
 def local_session(cores: str | int = "*", app: str = "spindrift", **conf) -> SparkSession:
