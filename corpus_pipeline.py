@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spindrift.llm import bpe, exact_dedup, jaccard_join, mixing, quality_classifier
 from spindrift.llm.rows import unused, written
@@ -26,6 +26,22 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.exact_duplicates(docs).filter("kept").select(docs.columns)
 
 
+def numbered(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with a number per row in ``column`` that is the same whenever it is read: its file's rank, times 2^40, plus its place in the file.
+
+    A stage gets a table of files; any other DataFrame is written first.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs, _ = written(docs, "numbered")
+    file, rank = unused(docs, "_file", "_rank")
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    files = docs.select(path.alias(file)).distinct()
+    # one row per file
+    ranked, _ = written(files.withColumn(rank, F.row_number().over(Window.orderBy(file)).cast("long")), "files")
+    own = docs.select("*", path.alias(file), place.alias(column))
+    return own.join(ranked, file).withColumn(column, F.shiftleft(F.col(rank), 40) + F.col(column)).select(*docs.columns, column)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of texts linked by runs of five words at 0.8 or more: the one with the least id.
 
@@ -33,14 +49,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     nothing and stay; of linked rows with one id, or without any, the first by number stays.
     """
     row, = unused(docs, "_row")
-    numbered, _ = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")  # written, so that the numbers hold
-    ids = numbered.select(F.col(row).alias("row"), "doc_id", "text")
+    rows = numbered(docs, row)
+    ids = rows.select(F.col(row).alias("row"), "doc_id", "text")
     groups = jaccard_join.jaccard_groups(ids, id_column="row", words=NEAR_WORDS, percent=NEAR_PERCENT)
     shared = groups.groupBy("component_id").count().filter("count > 1").select("component_id")
     linked, _ = written(groups.join(shared.hint("merge"), "component_id", "left_semi").join(ids.select("row", "doc_id").hint("merge"), "row"), "linked")
     kept = linked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("least"))
     dropped = linked.join(kept.select(F.col("least.row").alias("row")), "row", "left_anti").select(F.col("row").alias(row))
-    return numbered.join(dropped, row, "left_anti").select(docs.columns)
+    return rows.join(dropped, row, "left_anti").select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,6 +94,20 @@ def test_near_stage_drops_rows_not_ids(spark, docs):
     assert left[(500, "only one")] == left[(500, "another text under the same id")] == 1  # an id dropped a row with a text of its own before
 
 
+def test_row_numbers_hold(spark, docs, tmp_path):
+    path = f"file://{tmp_path}/docs"
+    docs.write.parquet(path)
+    for table in (spark.read.parquet(path), docs):  # a table of files, and one that is not
+        rows = corpus_pipeline.numbered(table, "_row")
+        first = {r._row: (r.doc_id, r.text) for r in rows.collect()}
+        assert len(first) == docs.count()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        try:  # other splits of the files change nothing
+            assert {r._row: (r.doc_id, r.text) for r in rows.select("_row", "doc_id", "text").collect()} == first
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_mixing_and_encoding_stages(spark, docs):
     mixed = corpus_pipeline.mixed(spark, docs, "")
     plan = {(r.doc_id, r.text): r for r in mixing.mix(docs).collect()}
