@@ -65,7 +65,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
     """
     keys = list(keys)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_copies"))
-    sums = chunked_window(counted, keys, [value], hot_rows=hot_rows, running={"_upto": "_copies"})
+    sums = chunked_window(counted, keys, [value], hot_rows=hot_rows, sizes=df, running={"_upto": "_copies"})
     totals = counted.groupBy(*keys).agg(F.sum("_copies").alias("_all"))
     joined = sums.join(totals, keys)
     return joined.groupBy(*keys).agg(*[

@@ -112,7 +112,7 @@ def apply_cdc(
     unique = log.groupBy(*keys, sequence).agg(F.max(F.struct(*rest)).alias("_r")).select(
         *keys, sequence, *[F.col(f"_r.{c}").alias(c) for c in rest]
     )
-    timed = chunked_window(unique, keys, [sequence], hot_rows=hot_rows, lead={"valid_to": sequence})
+    timed = chunked_window(unique, keys, [sequence], hot_rows=hot_rows, sizes=log, lead={"valid_to": sequence})
     return timed.filter(F.col(op) != "DELETE").select(
         *[c for c in log.columns if c not in (op, sequence)],
         F.col(sequence).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"),

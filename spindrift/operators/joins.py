@@ -127,7 +127,7 @@ def nearest_other_place(
         seen = seen.withColumn("_run", F.when(starts_run, F.struct(F.col("_prev").alias("m"))))
         return window(seen, before={"_before_run": "_run"})
 
-    seq = by_parts(moments, [key], ["_ts"], looked_back, hot_rows=hot_rows).select(
+    seq = by_parts(moments, [key], ["_ts"], looked_back, hot_rows=hot_rows, sizes=visits).select(
         F.col(key).alias("_mkey"), F.col("_ts").alias("_mts"), "_prev", "_prev_pure", F.col("_before_run.m").alias("_back")
     )
     arrivals = visits.join(seq, (F.col(key) == F.col("_mkey")) & (F.col("_ts") == F.col("_mts")))

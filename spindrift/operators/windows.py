@@ -43,16 +43,17 @@ def key_match(left: Sequence[str], right: Sequence[str]) -> Column:
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS, rows_per_range: int | None = None,
-              chunk: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
+              chunk: Column | None = None, sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The rows of keys that fit a task, and those of larger ones with ``_chunk``, the number of their range.
 
     Ranges are contiguous in the compound order of ``keys`` and ``order``. Spark samples their bounds from the rows themselves, so
     they hold about ``rows_per_range`` each however the values are spread; only rows equal in all of these columns stay together. There are
     at most ``MAX_RANGES``, beyond which ranges grow. The rows are written by range to the shared scratch folder, so that a range's number never
     changes. With ``chunk`` the larger keys are cut by that column instead. Keys are counted first, in a job of its own; without large keys there is no second part.
+    ``sizes`` are rows to count instead, where ``df`` is dear to compute: what it was made from, with at least as many rows of each key.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    counts = (df if sizes is None else sizes).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
     hot = cut_lineage(counts)
     found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
     if not found["keys"]:
@@ -192,7 +193,7 @@ def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], spec: M
 
 
 def by_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], work: Callable[[DataFrame, Callable], DataFrame], *, chunk: Column | None = None,
-             hot_rows: int | None = HOT_ROWS, rows_per_range: int | None = None) -> DataFrame:
+             hot_rows: int | None = HOT_ROWS, rows_per_range: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """``work(part, window)`` over the rows of small keys and of large ones, put together.
 
     ``window(part, lag=..., ...)`` adds window columns over ``keys`` in ``order`` (see ``chunked_window``) and may be called several times: rows are cut once, and
@@ -210,7 +211,7 @@ def by_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], work: Cal
 
     if hot_rows is None:
         return work(df.withColumn("_chunk", chunk), windows(_carried)).drop("_chunk")
-    small, large = split_hot(df, keys, order, hot_rows, rows_per_range, chunk)
+    small, large = split_hot(df, keys, order, hot_rows, rows_per_range, chunk, sizes)
     done = work(small, windows(_plain))
     return done if large is None else done.unionByName(work(large, windows(_carried)).drop("_chunk"))
 
@@ -223,6 +224,7 @@ def chunked_window(
     *,
     hot_rows: int | None = None,
     rows_per_range: int | None = None,
+    sizes: DataFrame | None = None,
     **columns,
 ) -> DataFrame:
     """Add window columns over ``keys`` ordered by ``order`` (ascending, not NULL).
@@ -232,13 +234,13 @@ def chunked_window(
     it. ``row_number``, ``rank``, ``dense_rank``, ``percent_rank`` and ``total`` name an output column.
 
     ``chunk``, a whole number or a date that never falls when ``order`` rises, cuts every key, or with ``hot_rows`` only keys above that many rows. Without it
-    keys above ``hot_rows`` (``HOT_ROWS`` unless given) are cut into sampled ranges of ``rows_per_range`` rows, see ``split_hot``.
+    keys above ``hot_rows`` (``HOT_ROWS`` unless given) are cut into sampled ranges of ``rows_per_range`` rows, see ``split_hot``, also for ``sizes``.
     """
     if chunk is None:
         hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     else:
         chunk = F.when(chunk.isNotNull(), F.datediff(chunk, F.lit("1970-01-01").cast("date"))).cast("long") if _is_date(df, chunk) else chunk.cast("long")
-    return by_parts(df, keys, order, lambda part, window: window(part, **columns), chunk=chunk, hot_rows=hot_rows, rows_per_range=rows_per_range)
+    return by_parts(df, keys, order, lambda part, window: window(part, **columns), chunk=chunk, hot_rows=hot_rows, rows_per_range=rows_per_range, sizes=sizes)
 
 
 def _is_date(df: DataFrame, column: Column) -> bool:
@@ -264,7 +266,7 @@ def value_ranks(
     keys, order = list(keys), list(order)
     on = [*keys, *order]
     counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"))
-    summed = chunked_window(counted, keys, order, chunk, hot_rows=hot_rows, running={"_upto": "_copies"}, row_number="_position")
+    summed = chunked_window(counted, keys, order, chunk, hot_rows=hot_rows, sizes=df, running={"_upto": "_copies"}, row_number="_position")
     sizes = counted.groupBy(*keys).agg(F.sum("_copies").alias("_rows"))
     first = F.col("_upto") - F.col("_copies")
     out = {}

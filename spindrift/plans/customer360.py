@@ -85,6 +85,6 @@ def training_rows(t: Tables) -> DataFrame:
     labels = t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderdate")
     daily = t.orders.groupBy("o_custkey", F.col("o_orderdate").alias("feature_time")).agg(
         F.sum(dec("o_totalprice")).cast("double").alias("day_spend"), F.count(F.lit(1)).alias("day_orders"))
-    versions = chunked_window(daily, ["o_custkey"], ["feature_time"], lead={"until": "feature_time"})
+    versions = chunked_window(daily, ["o_custkey"], ["feature_time"], sizes=t.orders, lead={"until": "feature_time"})
     return interval_join(labels, versions, "o_custkey", "o_orderdate", "feature_time", "until").select(
         "o_orderkey", "o_custkey", F.col("feature_time").cast("string").alias("feature_time"), "day_spend", "day_orders")
