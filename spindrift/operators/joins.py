@@ -25,6 +25,8 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], bucket
     """Equi join whose hot keys are spread over ``buckets`` tasks each.
 
     Every row of ``fact`` takes one salt; ``dim`` is repeated once per salt.
+    The optimiser's size of ``dim`` does not know of the repeats, so Spark is told to
+    shuffle and sort: it would broadcast all of them through the driver.
     ``how`` is inner, left, left_semi or left_anti.
     """
     on = [on] if isinstance(on, str) else list(on)
@@ -32,7 +34,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], bucket
         raise ValueError(f"salting keeps only the left side whole: {how}")
     left = fact.withColumn("_salt", row_salt(fact, buckets))
     right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:

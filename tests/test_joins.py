@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spindrift.operators import joins
 from spindrift.operators.joins import hot_key_join, interval_join, latest_before, nearest_other_place, salted_join
+from spindrift.plans.report import operators_of, plan_text
 
 T0 = 1_700_000_000
 
@@ -33,6 +34,16 @@ def test_salted_join_rejects_full(sides):
         salted_join(*sides, "k", 4, "full")
 
 
+def test_repeats_of_the_dimension_are_not_broadcast(spark, tables):
+    """The optimiser plans the dimension by its files, without the repeats: a sixteenth of what the driver would hold."""
+    dim = tables.part.select("p_partkey", "p_brand")
+    fact = tables.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_quantity")
+    for joined in (salted_join(fact, dim, "p_partkey"), hot_key_join(fact, dim, "p_partkey", 0.001).filter("l_quantity > 1")):
+        used = operators_of(plan_text(joined))
+        assert "SortMergeJoin" in used
+    assert "BroadcastExchange" not in plan_text(salted_join(fact, dim, "p_partkey"))
+
+
 def test_hot_key_join(sides):
     fact, dim = sides
     a = fact.join(dim, "k").select("k", "x", "d").collect()
