@@ -9,7 +9,7 @@ from spindrift.plans import iot
 from spindrift.queries import query
 from spindrift.queries.jobs import RANGES, readings
 from spindrift.queries.snippets import davg, dsum
-from spindrift.session import new_dir
+from spindrift.session import broadcast_few_rows, new_dir
 from spindrift.streaming import sinks, state
 from spindrift.streaming.buckets import read_state
 from spindrift.streaming.runner import event_time, file_stream, progress, result_of, run_available, start, table_stream
@@ -19,10 +19,13 @@ BY_TYPE = f"SELECT event_type, COUNT(*) AS n, {dsum('value')} AS total FROM even
 
 
 def split_files(spark, t, label, n=3):
-    """The events as ``n`` files in time order, more where they would be large."""
-    path = new_dir(spark, label)
-    t.events.repartitionByRange(pieces(t.events, n), "ts").write.parquet(path)
-    return path
+    """The events as files in time order, and how many of them make a batch so that there are ``n`` batches.
+
+    Large tables have more files, not more batches: a batch touches nearly every key, so that their number times the keys would grow with the square of the input.
+    """
+    path, each = new_dir(spark, label), -(-pieces(t.events, n, 16 << 20) // n)
+    t.events.repartitionByRange(n * each, "ts").write.parquet(path)
+    return path, each
 
 
 def by_type(df):
@@ -55,16 +58,16 @@ def st02(spark, t):
 
 @query("st02_complete_mode", BY_TYPE)
 def st02_complete(spark, t):
-    src = split_files(spark, t, "st02c-in")
-    return result_of(by_type(file_stream(spark, src, t.events, 1)), "st02c", "complete")
+    src, each = split_files(spark, t, "st02c-in")
+    return result_of(by_type(file_stream(spark, src, t.events, each)), "st02c", "complete")
 
 
 @query("st02_update_mode", BY_TYPE)
 def st02_update(spark, t):
     """Each batch emits the changed groups; the sink keeps the last of each."""
-    src, path = split_files(spark, t, "st02u-in"), new_dir(spark, "st02u")
+    (src, each), path = split_files(spark, t, "st02u-in"), new_dir(spark, "st02u")
     body = sinks.upsert_batches(path, ["event_type"], ["n"])
-    run_available(by_type(file_stream(spark, src, t.events, 1)), "st02u", mode="update", on_batch=body)
+    run_available(by_type(file_stream(spark, src, t.events, each)), "st02u", mode="update", on_batch=body)
     return read_state(spark, path)
 
 
@@ -166,11 +169,11 @@ FROM orders {_word} lineitem ON o_orderkey = l_orderkey AND l_shipdate >= o_orde
 SELECT 'raw' AS sink, event_type, COUNT(*) AS n, {dsum('value')} AS total FROM events GROUP BY 2
 UNION ALL SELECT 'summary', event_type, COUNT(*), {dsum('value')} FROM events GROUP BY 2""")
 def st08(spark, t):
-    src = split_files(spark, t, "st08-in")
+    src, each = split_files(spark, t, "st08-in")
     raw, summary = new_dir(spark, "st08-raw"), new_dir(spark, "st08-summary")
     body = sinks.multi_sink({raw: lambda b: b, summary: lambda b: b.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).alias("total"))})
-    run_available(file_stream(spark, src, t.events, 1), "st08", on_batch=body)
+    run_available(file_stream(spark, src, t.events, each), "st08", on_batch=body)
     a = by_type(spark.read.parquet(raw))
     b = spark.read.parquet(summary).groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"))
     return a.withColumn("sink", F.lit("raw")).unionByName(b.withColumn("sink", F.lit("summary")))
@@ -181,7 +184,7 @@ SELECT user_id, COUNT(value) AS n, {davg('value')} AS mean_value, round(stddev_s
  arg_max(value, (ts, event_id)) AS last_value FROM events GROUP BY 1""")
 def st09(spark, t):
     """Running statistics per user over micro-batches; the last batch is delivered twice."""
-    src, path = split_files(spark, t, "st09-in"), new_dir(spark, "st09")
+    (src, each), path = split_files(spark, t, "st09-in"), new_dir(spark, "st09")
     fold = sinks.fold_batches(
         path, ["user_id"], lambda b: aggregates.running_stats(b, ["user_id"], "value", "ts", "event_id"),
         lambda old, new: aggregates.merge_stats(old, new, ["user_id"]))
@@ -190,7 +193,7 @@ def st09(spark, t):
         fold(batch, batch_id)
         fold(batch, batch_id)
 
-    run_available(file_stream(spark, src, t.events, 1), "st09", on_batch=twice)
+    run_available(file_stream(spark, src, t.events, each), "st09", on_batch=twice)
     return aggregates.read_stats(read_state(spark, path), ["user_id"]).select(
         "user_id", "n", "mean_value", F.round("stddev_value", 4).alias("stddev_value"), "min_value", "max_value", "last_value")
 
@@ -198,8 +201,8 @@ def st09(spark, t):
 @query("st09_latest_upsert", """
 SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value, max(event_id) AS event_id FROM events GROUP BY 1""")
 def st09_latest(spark, t):
-    src, path = split_files(spark, t, "st09l-in"), new_dir(spark, "st09l")
-    rows = file_stream(spark, src, t.events, 1).select("user_id", "ts", "event_id", "event_type", "value")
+    (src, each), path = split_files(spark, t, "st09l-in"), new_dir(spark, "st09l")
+    rows = file_stream(spark, src, t.events, each).select("user_id", "ts", "event_id", "event_type", "value")
     run_available(rows, "st09l", on_batch=sinks.upsert_batches(path, ["user_id"], ["ts", "event_id"]))
     return read_state(spark, path).select("user_id", "event_type", "value", "event_id")
 
@@ -251,11 +254,12 @@ def st13(spark, t):
 @query("st14_keyed_state", """
 SELECT user_id AS key, COUNT(*) AS n, CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents, epoch_us(max(ts)) AS last_us FROM events GROUP BY 1""")
 def st14(spark, t):
-    """Own state per user (salted by event); the last emission per part, added up."""
-    src, path = split_files(spark, t, "st14-in"), new_dir(spark, "st14")
+    """Own state per user (salted by event for users with a hundredth of the rows or more); the last emission per part, added up."""
+    (src, each), path = split_files(spark, t, "st14-in"), new_dir(spark, "st14")
+    hot = broadcast_few_rows(joins.heavy_keys(t.events, "user_id", 0.01).withColumn("hot", F.lit(True)))
     # the files of one write come in any order, so the delay covers the span of the data
-    rows = event_time(file_stream(spark, src, t.events, 1), "ts", "90 days").select(
-        "user_id", "ts", F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int").alias("salt"),
+    rows = event_time(file_stream(spark, src, t.events, each), "ts", "90 days").join(hot, "user_id", "left").select(
+        "user_id", "ts", F.when(F.col("hot"), F.pmod(F.xxhash64("event_id"), F.lit(16))).otherwise(F.lit(0)).cast("int").alias("salt"),
         F.round(F.col("value") * 100).cast("bigint").alias("cents"), F.unix_micros("ts").alias("us"))
     totals = state.keyed_totals(rows, "user_id", "salt", "cents", "us", timeout_ms=90 * 86_400_000)
     body = sinks.upsert_batches(path, ["key", "salt"], ["n"])
@@ -267,8 +271,8 @@ def st14(spark, t):
 
 @query("st15_progress")
 def st15(spark, t):
-    src, log = split_files(spark, t, "st15-in"), new_dir(spark, "st15-log")
-    run_available(by_type(file_stream(spark, src, t.events, 1)), "st15", mode="complete", log=log)
+    (src, each), log = split_files(spark, t, "st15-in"), new_dir(spark, "st15-log")
+    run_available(by_type(file_stream(spark, src, t.events, each)), "st15", mode="complete", log=log)
     return progress(spark, log)
 
 
@@ -283,9 +287,9 @@ def st15_totals(spark, t):
 @query("st16_trigger_equality", f"SELECT event_type, COUNT(*) AS n, {dsum('value')} AS total, true AS same FROM events GROUP BY 1")
 def st16(spark, t):
     """One run over everything and a run file by file give the same table."""
-    src = split_files(spark, t, "st16-in")
+    src, each = split_files(spark, t, "st16-in")
     whole = result_of(by_type(file_stream(spark, src, t.events)), "st16-whole", "complete")
-    steps = result_of(by_type(file_stream(spark, src, t.events, 1)), "st16-steps", "complete")
+    steps = result_of(by_type(file_stream(spark, src, t.events, each)), "st16-steps", "complete")
     other = steps.select(F.col("event_type").alias("k"), F.col("n").alias("n2"), F.col("total").alias("total2"))
     return whole.join(other, F.col("event_type") == F.col("k")).select(
         "event_type", "n", "total", ((F.col("n") == F.col("n2")) & (F.col("total") == F.col("total2"))).alias("same"))

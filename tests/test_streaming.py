@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from spindrift.operators.aggregates import merge_stats, read_stats, running_stats
+from spindrift.queries import streams
 from spindrift.session import new_dir
 from spindrift.streaming import buckets, sinks, state
 from spindrift.streaming.runner import event_time, file_stream, progress, run_available
@@ -85,6 +86,27 @@ def test_progress_of_more_batches_than_spark_keeps(spark):
     assert sum(r.input_rows for r in batches) == 150
 
 
+def test_large_tables_have_more_files_not_more_batches(spark, tables, monkeypatch):
+    monkeypatch.setattr(streams, "pieces", lambda df, least, *_: 4 * least)  # as for a table of many files
+    src, each = streams.split_files(spark, tables, "split")
+    log = new_dir(spark, "split-log")
+    run_available(file_stream(spark, src, tables.events, each), "split", log=log)
+    batches = [r.input_rows for r in progress(spark, log).collect() if r.input_rows]
+    assert spark.read.parquet(src).select(F.input_file_name()).distinct().count() > 6 and len(batches) <= 3 and sum(batches) == tables.events.count()
+
+
+def test_keyed_state_of_rows_without_amount(spark):
+    src, path = new_dir(spark, "gaps-in"), new_dir(spark, "gaps")
+    rows = [(1, 5, None), (1, 6, 10), (1, 7, None), (1, 8, 20), (None, 9, 3), (2, 1, None)]
+    spark.createDataFrame(rows, "k long, us long, cents long").withColumn("ts", F.timestamp_micros("us")).withColumn("salt", F.lit(0)).coalesce(1).write.parquet(src)
+    stream = event_time(file_stream(spark, src, spark.read.parquet(src)), "ts", "1 minute")
+    with state.keyed_state_store(spark):
+        run_available(state.keyed_totals(stream, "k", "salt", "cents", "us", timeout_ms=60_000), "gaps", mode="update", out=path,
+                      on_batch=sinks.upsert_batches(path, ["key"], ["n"]))
+    got = {(r.key, r.n, r.total_cents, r.last_us) for r in buckets.read_state(spark, path).collect()}
+    assert got == {(1, 4, 30, 8), (None, 1, 3, 9), (2, 1, 0, 1)}
+
+
 def test_timers_close_keys_and_survive_a_restart(spark):
     src, path, mark = (new_dir(spark, x) for x in ("timer-in", "timer", "timer-mark"))
     minute, emitted = 60_000_000, []
