@@ -6,7 +6,7 @@ import contextlib
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spindrift.session import cut_lineage, planned_bytes
 
@@ -99,16 +99,14 @@ def with_zorder_key(df: DataFrame, cols: Sequence[str], name: str, bits: int = 6
     """Interleaved bits of each column's quantile number: rows near in every column get near keys."""
     edges = df.approxQuantile(list(cols), [i / (1 << bits) for i in range(1, 1 << bits)], error)
 
-    def bucket_of(c: str, bounds: Sequence[float]) -> Column:
-        found = sorted(set(bounds))
-        below = F.lit(0)
-        for x in found:
-            below = below + F.coalesce((F.col(c) >= F.lit(x)).cast("int"), F.lit(0))
-        # a column of few values has few bounds: spread them, so that its high bits count too
-        return F.floor(below * F.lit(1 << bits) / F.lit(len(found) + 1)).cast("int")
-
-    numbers = [f"_{name}_{i}" for i in range(len(cols))]
-    marked = df.withColumns({n: bucket_of(c, e) for n, c, e in zip(numbers, cols, edges)})
+    numbers, marked = [f"_{name}_{i}" for i in range(len(cols))], df.withColumns({f"_{name}_{i}": F.lit(0) for i in range(len(cols))})
+    bounds = [sorted(set(e)) for e in edges]
+    for step in [1 << b for b in reversed(range(bits))]:  # binary search, a step a projection: a row meets ``bits`` bounds, not all
+        marked = marked.withColumns({n: F.col(n) + F.when(
+            F.get(F.array(*[F.lit(float(x)) for x in found]), F.col(n) + F.lit(step - 1)) <= F.col(c).cast("double"), F.lit(step)).otherwise(F.lit(0))
+            for n, c, found in zip(numbers, cols, bounds) if found})
+    # a column of few values has few bounds: spread them, so that its high bits count too
+    marked = marked.withColumns({n: F.floor(F.col(n) * F.lit(1 << bits) / F.lit(len(found) + 1)).cast("int") for n, found in zip(numbers, bounds)})
     key = F.lit(0).cast("long")
     for b in range(bits):
         for i, n in enumerate(numbers):

@@ -2,11 +2,13 @@
 
 import json
 import pathlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from spindrift.operators import layout
+from spindrift.plans.report import plan_text
 from spindrift.session import broadcast_if_small, cut_lineage, new_dir, scratch_root
 from spindrift.sources import connectors, files, ingest, synthetic
 from spindrift.sources.versions import last_version, read_version, write_version
@@ -160,6 +162,21 @@ def test_compaction_keeps_partition_folders(spark):
     layout.compact(spark, out, new_dir(spark, "parts-split"), target // 3)
 
 
+def test_zorder_key_meets_few_bounds_a_row(spark):
+    rows = spark.range(2000).selectExpr("IF(id % 7 = 0, NULL, id * 37 % 1000) AS k", "IF(id % 5 = 0, double('NaN'), id % 3) AS few", "CAST(NULL AS BIGINT) AS none")
+    columns = ["k", "few", "none"]
+    edges = [sorted(set(e)) for e in rows.approxQuantile(columns, [i / 64 for i in range(1, 64)], 0.01)]
+    keyed = layout.with_zorder_key(rows, columns, "_z")
+    assert len(re.findall("<=|>=", plan_text(keyed))) <= 2 * 6 * len(columns)  # each comparison may be named twice, of 63 bounds a column
+
+    def number(x, bounds):
+        return sum(x is not None and (x != x or x >= b) for b in bounds) * 64 // (len(bounds) + 1)
+
+    for r in keyed.collect():
+        numbers = [number(r[c], b) for c, b in zip(columns, edges)]
+        assert r["_z"] == sum((n >> b & 1) << (b * 3 + i) for i, n in enumerate(numbers) for b in range(6))
+
+
 def test_clustering_splits_a_hot_value(spark):
     out = new_dir(spark, "hot-z")
     rows = spark.range(40_000).selectExpr("IF(id % 10 < 9, 7, id % 1000) AS k", "id AS v")
