@@ -1,5 +1,7 @@
 """Plans: what reaches the scan, which joins appear, what stays out."""
 
+import re
+
 import pytest
 
 from spindrift.plans import retail
@@ -51,3 +53,11 @@ def test_latest_rows_combine_before_the_shuffle(spark):
 def test_report(spark, tables):
     items = {r["item"] for r in plan_report(retail.daily_sales(tables)).collect()}
     assert {"join", "exchange", "read_schema"} <= items
+
+
+def test_sketch_beside_a_distinct_count_is_kept_by_group_alone(spark):
+    """In one aggregate Spark carries the sketch for every pair of flag and order."""
+    plan = text(spark, "a04_sketch_error")
+    found = re.findall(r"Keys \[\d+\]: (.*)\nFunctions \[\d+\]: (.*)", plan)
+    sketched = [keys for keys, functions in found if "approx_count_distinct" in functions]
+    assert sketched and not any("l_orderkey" in keys for keys in sketched)
