@@ -13,7 +13,7 @@ from spindrift.session import broadcast_few_rows, new_dir
 from spindrift.streaming import sinks, state
 from spindrift.streaming.buckets import read_state
 from spindrift.streaming.runner import event_time, file_stream, progress, result_of, run_available, start, table_stream
-from spindrift.streaming.windows import time_bounded_join, windowed
+from spindrift.streaming.windows import time_bounded_join, time_slices, windowed
 
 BY_TYPE = f"SELECT event_type, COUNT(*) AS n, {dsum('value')} AS total FROM events GROUP BY 1"
 
@@ -138,15 +138,16 @@ def st06(spark, t):
 
 
 def _stream_join(spark, t, how):
-    """Orders and lines shipped within 30 days, as streams. A last row of the far future on
+    """Orders and lines shipped within 30 days, as streams that arrive in slices of time, more for larger tables. A last row of the far future on
     both sides moves the watermark past everything, so unmatched rows come out too."""
     dirs = {x: new_dir(spark, f"st07-{how}-{x}") for x in ("orders", "lines", "out", "checkpoint")}
     orders = t.orders.select("o_orderkey", "o_orderdate")
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate")
     end = F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")
-    for last in (False, True):
-        o = orders.agg(F.lit(-1).cast("bigint").alias("o_orderkey"), end.alias("o_orderdate")) if last else orders
-        l = lines.agg(F.lit(-2).cast("bigint").alias("l_orderkey"), F.lit(-2).cast("bigint").alias("l_partkey"), end.alias("l_shipdate")) if last else lines
+    last = [orders.agg(F.lit(-1).cast("bigint").alias("o_orderkey"), end.alias("o_orderdate")),
+            lines.agg(F.lit(-2).cast("bigint").alias("l_orderkey"), F.lit(-2).cast("bigint").alias("l_partkey"), end.alias("l_shipdate"))]
+    slices = time_slices([(orders, "o_orderdate"), (lines, "l_shipdate")], pieces(lines, 2, 32 << 20), f"st07-{how}-slices")
+    for o, l in [*slices, last]:
         o.write.mode("append").parquet(dirs["orders"])
         l.write.mode("append").parquet(dirs["lines"])
         left = event_time(file_stream(spark, dirs["orders"], orders), "o_orderdate", "1 day")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from spindrift.functions.numeric import exact_sum
+from spindrift.session import new_dir
 
 
 def windowed(df: DataFrame, ts: str, keys: Sequence[str], value: str, duration: str, slide: str | None = None) -> DataFrame:
@@ -32,3 +34,23 @@ def time_bounded_join(left: DataFrame, right: DataFrame, on: Column, left_ts: st
     """
     bound = (F.col(right_ts) >= F.col(left_ts)) & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within}"))
     return left.join(right, on & bound, how)
+
+
+def time_slices(sides: Sequence[tuple[DataFrame, str]], n: int, label: str) -> list[list[DataFrame]]:
+    """The rows of several frames as ``n`` slices of time, cut at the same times for all: slice by slice, a frame for each side.
+
+    Fed to a stream join one after another, the watermark passes along and old state is dropped, so the state holds a slice and the join's bound, not
+    the whole input; a later slice holds no row older than the watermark. Rows without time are in the first slice. Each side is written once.
+    """
+    at = [F.col(ts).cast("timestamp").cast("double") for _, ts in sides]
+    times = sides[0][0].select(at[0].alias("at"))
+    for (df, _), t in zip(sides[1:], at[1:]):
+        times = times.unionByName(df.select(t.alias("at")))
+    cuts = times.approxQuantile("at", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
+    staged = []
+    for (df, ts), t in zip(sides, at):
+        path = new_dir(df.sparkSession, label)
+        number = sum((F.coalesce((t >= F.lit(c)).cast("int"), F.lit(0)) for c in cuts), F.lit(0))
+        df.withColumn("_slice", number).write.partitionBy("_slice").parquet(path)
+        staged.append(df.sparkSession.read.schema(StructType([*df.schema, StructField("_slice", IntegerType())])).parquet(path))
+    return [[s.filter(F.col("_slice") == i).drop("_slice") for s in staged] for i in range(n)]

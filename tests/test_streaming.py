@@ -7,7 +7,9 @@ from spindrift.queries import streams
 from spindrift.session import new_dir
 from spindrift.streaming import buckets, sinks, state
 from spindrift.streaming.runner import event_time, file_stream, progress, run_available
-from spindrift.streaming.windows import windowed
+from spindrift.streaming.windows import time_slices, windowed
+from tests.conftest import SF
+from tests.oracle import compare, connect
 
 
 def test_fold_survives_replay_and_ignores_old_batches(spark, tables):
@@ -107,6 +109,26 @@ def test_keyed_state_of_rows_without_amount(spark):
     assert got == {(1, 4, 30, 8), (None, 1, 3, 9), (2, 1, 0, 1)}
 
 
+def test_time_slices_hold_every_row_once_and_in_order(spark):
+    a = spark.range(500).selectExpr("id", "IF(id % 50 = 0, NULL, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, id * 7 % 500)) AS at")
+    b = spark.range(90).selectExpr("id AS k", "timestamp_ntz'2024-01-05' + make_interval(0, 0, 0, 0, 0, id * 11 % 90) AS day")
+    slices = time_slices([(a, "at"), (b, "day")], 4, "slices")
+    for side, whole in enumerate((a, b)):
+        parts = [s[side].collect() for s in slices]
+        assert sorted(map(repr, sum(parts, []))) == sorted(map(repr, whole.collect()))
+    spans = [[r[1] for side in s for r in side.collect() if r[1] is not None] for s in slices]
+    assert all(max(x) < min(y) for x, y in zip(spans, spans[1:])) and max(map(len, spans)) < 250
+
+
+def test_stream_join_of_a_large_table_arrives_in_many_slices(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(streams, "pieces", lambda df, *_: 5)
+    monkeypatch.setattr(streams, "run_available", lambda *a, **b: asked.append(1) or run_available(*a, **b))
+    matches, note = compare(spark, connect(SF), SF, "st07_stream_join_full_outer")
+    assert matches, note
+    assert len(asked) == 6  # and the row of the far future
+
+
 def test_timers_close_keys_and_survive_a_restart(spark):
     src, path, mark = (new_dir(spark, x) for x in ("timer-in", "timer", "timer-mark"))
     minute, emitted = 60_000_000, []
